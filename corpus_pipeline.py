@@ -1,16 +1,62 @@
-"""Corpus pipeline: stages over `documents`, each written and read again before the next."""
+"""Corpus pipeline: language ID, near-duplicates, personal data, mixing and packing, in that order."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-STAGES: list = []
+from provenir.llm import jaccard, language, mixing, packing, pii
+from provenir.llm.common import staged
+from provenir.llm.queries import tokenizer_path
+
+LEAST_SHARE = 0.5
+
+
+def keep_known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with a language that makes up half of the text or more; a missing `lang` is filled in."""
+    found = language.identify(docs, carried=docs.columns)
+    kept = found.filter((F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= LEAST_SHARE))
+    return kept.withColumn("lang", F.coalesce("lang", "lang_pred")).select(*docs.columns)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates: that with the smallest doc_id. Texts without a word stay."""
+    linked = jaccard.jaccard_components(docs, size=5, percent=80)
+    gone = linked.filter(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct()
+    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+
+
+def replace_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts with surrogates; n_chars follows."""
+    made = pii.pseudonymise(docs)
+    if "n_chars" in docs.columns:
+        made = made.withColumn("n_chars", F.when(F.col("n_replaced") > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
+    return made.select(*docs.columns)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """What the mix takes of each document, up to three copies."""
+    return mixing.mixed_documents(docs)
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of documents with their places in sequences of 2048 tokens."""
+    return packing.pack(docs, tokenizer_path(), 2048, 1, payload="crc32")
+
+
+STAGES = [
+    ("language", keep_known_language),
+    ("jaccard", drop_near_duplicates),
+    ("pii", replace_personal_data),
+    ("mixing", mix_sources),
+    ("packing", pack_sequences),
+]
+
+#: Learned models and token ids are beyond SQL; the stages are tested against plain versions instead.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from provenir.llm.common import staged
-
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for k, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)

@@ -129,7 +129,7 @@ def proportions(likelihood: np.ndarray, starts: np.ndarray, penalty: float, roun
     return best
 
 
-def _predicted(languages: list[str], slots: np.ndarray, table: np.ndarray, penalty: float):
+def _predicted(languages: list[str], slots: np.ndarray, table: np.ndarray, penalty: float, carried: list[str]):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         dense = np.full((SLOTS, max(1, len(languages))), -9.0, dtype=np.float32)
         if len(slots):
@@ -159,21 +159,25 @@ def _predicted(languages: list[str], slots: np.ndarray, table: np.ndarray, penal
             if waiting:
                 settle()
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(langs), pa.array(scores, pa.float64()), pa.array(mixes, pa.map_(pa.string(), pa.float64()))],
-                names=["doc_id", "lang_pred", "score", "mixture"],
+                [*(batch.column(n) for n in carried), pa.array(langs), pa.array(scores, pa.float64()), pa.array(mixes, pa.map_(pa.string(), pa.float64()))],
+                names=[*carried, "lang_pred", "score", "mixture"],
             )
 
     return run
 
 
-def identify(docs: DataFrame, labelled: DataFrame | None = None, penalty: float = 6.0, **fitting) -> DataFrame:
+def identify(docs: DataFrame, labelled: DataFrame | None = None, penalty: float = 6.0, carried: list[str] | None = None, **fitting) -> DataFrame:
     """The languages of every document of `docs` (doc_id, text), learned from `labelled` (doc_id, text, lang).
 
-    Returns doc_id, lang_pred (language of the largest proportion; `und` for null texts, texts without a letter, and
-    if nothing could be learned), score (its proportion, 0 for `und`) and mixture (language -> proportion over the
-    chosen set). `labelled` defaults to the rows of `docs` outside the held-out quarter. Predictions see the text
-    alone; repeated rows are predicted each; other columns are ignored; an empty table gives no rows.
+    Returns doc_id (or the columns named in `carried`), lang_pred (language of the largest proportion; `und` for null
+    texts, texts without a letter, and if nothing could be learned), score (its proportion, 0 for `und`) and mixture
+    (language -> proportion over the chosen set). `labelled` defaults to the rows of `docs` outside the held-out
+    quarter. Predictions see the text alone; repeated rows are predicted each; other columns are ignored; an empty
+    table gives no rows.
     """
     source = docs.filter(learnable(F.col("doc_id"))) if labelled is None else labelled
     languages, slots, table = fit(source.select("doc_id", "text", "lang"), **fitting)
-    return docs.select("doc_id", "text").mapInArrow(_predicted(languages, slots, table, penalty), "doc_id long, lang_pred string, score double, mixture map<string,double>")
+    carried = carried or ["doc_id"]
+    kinds = ", ".join(f"`{n}` {docs.schema[n].dataType.simpleString()}" for n in carried)
+    read = docs.select(*dict.fromkeys([*carried, "text"]))
+    return read.mapInArrow(_predicted(languages, slots, table, penalty, carried), f"{kinds}, lang_pred string, score double, mixture map<string,double>")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import embeddings, jaccard, language, packing, quality_model, warc
+from . import embeddings, jaccard, language, licenses, mixing, packing, pii, quality_model, quality_rules, warc
 from .common import documents, learnable
 
 
@@ -22,6 +22,16 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = quality_rules.apply_rules(documents(spark, sf_dir, "doc_id", "text", "lang", "source"))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "distance2")
+
+
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    told, _ = mixing.mix(documents(spark, sf_dir, "doc_id", "text", "source"))
+    return told.select("doc_id", "size", "source_size", "target", "taken")
+
+
 def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = warc.round_trip(spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url", "html"))
     return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
@@ -37,17 +47,29 @@ def op6_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id")
 
 
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.pseudonymise(documents(spark, sf_dir, "doc_id", "text"))
+
+
 def op8_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = embeddings.near_duplicates(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), threshold=0.93)
     return found.select("vec_id", "n_links", "component_id", "kept")
 
 
+def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.scan(documents(spark, sf_dir, "doc_id", "text"))
+    return found.select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
+
+
 def op10_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = quality_model.classify(documents(spark, sf_dir, "doc_id", "text"), spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return scored.select("doc_id", (~learnable(F.col("doc_id"))).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_packing, op4_warc, op5_language, op6_jaccard, op8_embeddings, op10_quality_model)
+    f.__name__: f
+    for f in (op1_packing, op2_quality_rules, op3_mixing, op4_warc, op5_language, op6_jaccard, op7_pii, op8_embeddings, op9_licenses, op10_quality_model)
 }
+
+#: WARC output follows from the pages alone.
 ORACLES: dict[str, str] = {}
