@@ -26,7 +26,7 @@ def missing_fields(rows: DataFrame, key: str, fields: list[str]) -> DataFrame:
     return rows.filter(reduce(lambda a, b: a | b, (F.col(f).isNull() for f in fields))).select(key)
 
 
-def without_evidence(rows: DataFrame, key: str, evidence: DataFrame, record_type: str) -> DataFrame:
+def without_evidence(rows: DataFrame, key: str, evidence: DataFrame, record_type) -> DataFrame:
     """Keys of rows that no evidence names."""
     known = evidence.filter((F.col("record_type") == record_type) & F.col("evidence_id").isNotNull()).select(F.col("record_id").alias(key))
     return rows.select(key).join(known, key, "left_anti")

@@ -1,4 +1,8 @@
-"""The engine's queries by name, each with the SQL it must agree with where SQL can say it."""
+"""The engine's queries by name, each with the SQL it must agree with where SQL can say it.
+
+The tables at hand hold no postings, so the operators are bound to views of them: documents with postings' texts by
+number, customers and suppliers as companies, events as runs and snapshots, orders and lines as evidence.
+"""
 
 from __future__ import annotations
 
@@ -7,6 +11,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import dates, ids, rules, text, urls
+from ..operators import lifecycle, quality, resolution, upsert
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -27,11 +34,425 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Posting texts, taken by the documents in turn: title, description, location, candidate location, type, salary.
+POSTINGS = (
+    ("machine learning engineer", "requires 1-2 years experience with python and aws", "remote", "worldwide", "full time", "USD 40k - 60k per year"),
+    ("junior software developer", "react, node.js and postgresql. at least 3 years", "remote", "us only", "contract", "$30/hour"),
+    ("senior sre", "kubernetes on gcp, 5+ years. hybrid", "kathmandu", "nepal", "permanent", "npr 120000 per month"),
+    ("product owner", "4 years of experience. must be in the united states", "berlin", "", "part-time", "€50,000 annual"),
+    ("cook", "kitchen work on-site", "paris", "", "internal", ""),
+    ("qa engineer", "selenium and c#, distributed team", "", "asia-pacific", "freelance", "£45k"),
+    ("head of engineering", "golang, rust, docker. work from anywhere", "", "", "trainee", "competitive"),
+    ("helpdesk intern", "it support, minimum 1 years", "remote in canada", "canada residents only", "", "INR 20000 - 30000 /month"),
+    ("ux designer", "typescript and generative ai. remote", "remote", "remote", "temporary", "AUD 90k"),
+    ("penetration tester", "appsec, intermediate level, office based", "pune", "anywhere", "odd job", "100 per hour"),
+)
+_COLUMNS = ("title", "description", "location_text", "candidate_location", "employment_type", "salary_text")
+_VALUES = ", ".join("(" + ", ".join([str(k), *("'" + v.replace("'", "''") + "'" for v in row)]) + ")" for k, row in enumerate(POSTINGS))
+B_POSTINGS = f"""SELECT d.doc_id, d.source AS source_id, p.title, p.description, p.location_text, p.candidate_location, p.employment_type, p.salary_text,
+  p.title || ' ' || p.description AS body
+  FROM documents d JOIN (VALUES {_VALUES}) AS p(k, {', '.join(_COLUMNS)}) ON d.doc_id % {len(POSTINGS)} = p.k"""
+
+
+def postings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.sql(B_POSTINGS.replace("documents d", "{documents} d"), documents=table(spark, sf_dir, "documents"))
+
+
+def companies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers as companies: active with a balance, named after their market where it is not negative."""
+    c = table(spark, sf_dir, "customer")
+    return c.select(
+        F.col("c_custkey").alias("company_id"), F.when(F.col("c_acctbal") > -900, F.col("c_name")).alias("canonical_name"), (F.col("c_acctbal") > 0).alias("active"),
+        F.col("c_mktsegment").alias("primary_source_id"), F.when(F.col("c_acctbal") < 9900, F.concat(F.lit("https://example.com/"), F.col("c_custkey"))).alias("primary_source_url"), F.col("c_acctbal").alias("confidence"),
+    )
+
+
+B_COMPANIES = """SELECT c_custkey AS company_id, CASE WHEN c_acctbal > -900 THEN c_name END AS canonical_name, c_acctbal > 0 AS active, c_mktsegment AS primary_source_id,
+  CASE WHEN c_acctbal < 9900 THEN 'https://example.com/' || c_custkey END AS primary_source_url, c_acctbal AS confidence FROM customer"""
+#: Fixed by these queries: terms of the sources that companies come from.
+TERMS = {"AUTOMOBILE": "attributed", "BUILDING": "restricted", "FURNITURE": "facts_only", "HOUSEHOLD": "unknown", "MACHINERY": "attributed"}
+B_RUNS = """SELECT event_type AS source_id, event_type || '/' || CAST(CAST(ts AS DATE) AS VARCHAR) AS run_id, 'completed' AS status, CAST(ts AS DATE) AS finished_at, count(*) AS job_count
+  FROM events GROUP BY event_type, CAST(ts AS DATE)"""
+
+
+def runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    day = F.to_date("ts")
+    e = table(spark, sf_dir, "events").groupBy(F.col("event_type").alias("source_id"), day.alias("finished_at")).agg(F.count("*").alias("job_count"))
+    return e.withColumn("run_id", F.concat_ws("/", "source_id", F.col("finished_at").cast("string"))).withColumn("status", F.lit("completed"))
+
+
+def snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = table(spark, sf_dir, "events")
+    return e.select(F.col("event_type").alias("source_id"), F.to_date("ts").alias("run_day"), F.col("user_id").alias("job_id")).distinct()
+
+
+# Public datasets and counts
+
+
+@query(f"SELECT * FROM ({B_COMPANIES}) WHERE active ORDER BY canonical_name, company_id")
+def export_companies(spark, sf_dir):
+    return companies(spark, sf_dir).filter("active").orderBy(F.asc_nulls_last("canonical_name"), "company_id")
+
+
 @query(
     """SELECT o_orderkey, o_custkey, o_totalprice, o_orderdate, o_orderpriority FROM orders
        WHERE o_orderstatus = 'O' AND o_orderpriority <> '5-LOW' ORDER BY o_orderdate DESC, o_orderkey"""
 )
-def export_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Active, not ineligible rows, newest first (orders stand for postings)."""
+def export_jobs(spark, sf_dir):
     rows = table(spark, sf_dir, "orders").filter((F.col("o_orderstatus") == "O") & (F.col("o_orderpriority") != "5-LOW"))
-    return rows.drop("o_orderstatus").orderBy(F.desc("o_orderdate"), "o_orderkey")
+    return rows.drop("o_orderstatus").orderBy(F.desc_nulls_last("o_orderdate"), "o_orderkey")
+
+
+@query(f"SELECT run_id, source_id, status, finished_at, job_count FROM ({B_RUNS}) ORDER BY finished_at DESC, run_id")
+def export_runs(spark, sf_dir):
+    return runs(spark, sf_dir).select("run_id", "source_id", "status", "finished_at", "job_count").orderBy(F.desc_nulls_last("finished_at"), "run_id")
+
+
+@query(
+    """SELECT o_orderkey, o_custkey, o_orderstatus FROM orders WHERE o_custkey IN
+       (SELECT c_custkey FROM customer WHERE c_acctbal > 0 UNION ALL SELECT s_suppkey FROM supplier WHERE s_acctbal > 0) ORDER BY o_orderkey"""
+)
+def export_evidence(spark, sf_dir):
+    known = table(spark, sf_dir, "customer").filter("c_acctbal > 0").select(F.col("c_custkey").alias("o_custkey"))
+    known = known.unionByName(table(spark, sf_dir, "supplier").filter("s_acctbal > 0").select(F.col("s_suppkey").alias("o_custkey")))
+    return table(spark, sf_dir, "orders").join(known, "o_custkey", "left_semi").select("o_orderkey", "o_custkey", "o_orderstatus").orderBy("o_orderkey")
+
+
+@query("SELECT event_id, ts, user_id FROM events WHERE event_type = 'click' ORDER BY ts, event_id")
+def review_pending(spark, sf_dir):
+    return table(spark, sf_dir, "events").filter("event_type = 'click'").select("event_id", "ts", "user_id").orderBy("ts", "event_id")
+
+
+@query(
+    """SELECT (SELECT count(*) FROM customer WHERE c_acctbal > 0) AS companies, (SELECT count(*) FROM orders WHERE o_orderstatus = 'O' AND o_orderpriority <> '5-LOW') AS active_jobs,
+       (SELECT count(*) FROM events WHERE event_type = 'click') AS pending_review, (SELECT count(*) FROM lineitem WHERE l_returnflag = 'R') AS failed_runs"""
+)
+def stats_overview(spark, sf_dir):
+    frames = {n: table(spark, sf_dir, n) for n in ("customer", "orders", "events", "lineitem")}
+    sql = ORACLES["stats_overview"]
+    for n in frames:
+        sql = sql.replace(f"FROM {n} ", f"FROM {{{n}}} ")
+    return spark.sql(sql, **frames)
+
+
+# Quality rules
+
+
+@query("SELECT c.c_custkey FROM customer c LEFT JOIN orders o ON o.o_custkey = c.c_custkey AND o.o_orderstatus = 'F' WHERE c.c_acctbal > 0 GROUP BY c.c_custkey HAVING count(o.o_orderkey) = 0")
+def provenance_missing_company(spark, sf_dir):
+    rows = table(spark, sf_dir, "customer").filter("c_acctbal > 0")
+    evidence = table(spark, sf_dir, "orders").select(F.col("o_orderstatus").alias("record_type"), F.col("o_custkey").alias("record_id"), F.col("o_orderkey").alias("evidence_id"))
+    return quality.without_evidence(rows, "c_custkey", evidence, "F")
+
+
+@query("SELECT p.p_partkey FROM part p LEFT JOIN lineitem l ON l.l_partkey = p.p_partkey AND l.l_quantity = 50 WHERE p.p_size > 10 GROUP BY p.p_partkey HAVING count(l.l_orderkey) = 0")
+def provenance_missing_job(spark, sf_dir):
+    lines = table(spark, sf_dir, "lineitem").select(F.col("l_quantity").alias("record_type"), F.col("l_partkey").alias("record_id"), F.col("l_orderkey").alias("evidence_id"))
+    return quality.without_evidence(table(spark, sf_dir, "part").filter("p_size > 10"), "p_partkey", lines, 50)
+
+
+@query("SELECT p_brand || '|' || p_type AS fingerprint, count(*) AS n FROM part GROUP BY p_brand || '|' || p_type HAVING count(*) > 1")
+def duplicate_fingerprints(spark, sf_dir):
+    return quality.duplicate_fingerprints(table(spark, sf_dir, "part").select(F.concat_ws("|", "p_brand", "p_type").alias("fingerprint")))
+
+
+@query(f"SELECT company_id FROM ({B_COMPANIES}) WHERE canonical_name IS NULL OR primary_source_url IS NULL OR primary_source_id IS NULL")
+def required_fields_issues(spark, sf_dir):
+    return quality.missing_fields(companies(spark, sf_dir), "company_id", quality.COMPANY_FIELDS[:3])
+
+
+@query("SELECT o_orderkey FROM orders WHERE o_orderpriority = '5-LOW' AND o_orderstatus = 'O'")
+def ineligible_active(spark, sf_dir):
+    return table(spark, sf_dir, "orders").filter("o_orderpriority = '5-LOW' and o_orderstatus = 'O'").select("o_orderkey")
+
+
+@query(f"SELECT company_id FROM ({B_COMPANIES}) WHERE primary_source_id IN ({', '.join(repr(k) for k, v in TERMS.items() if v in quality.RESTRICTED)})")
+def restricted_source_rows(spark, sf_dir):
+    terms = spark.createDataFrame(list(TERMS.items()), "id string, redistribution string")
+    return quality.from_restricted(companies(spark, sf_dir), "company_id", "primary_source_id", terms)
+
+
+@query(f"SELECT count(*) AS total, count(*) FILTER (canonical_name IS NOT NULL AND primary_source_id IS NOT NULL AND primary_source_url IS NOT NULL AND confidence IS NOT NULL) AS complete, round(complete / total, 9) AS ratio FROM ({B_COMPANIES})")
+def completeness_ratio(spark, sf_dir):
+    return quality.completeness(companies(spark, sf_dir), quality.COMPANY_FIELDS).withColumn("ratio", F.round("ratio", 9))
+
+
+@query(
+    f"""SELECT source_id, max(CASE WHEN r = 1 THEN job_count END) AS newest, max(CASE WHEN r = 2 THEN job_count END) AS previous, round(newest / previous, 9) AS ratio FROM
+        (SELECT *, row_number() OVER (PARTITION BY source_id ORDER BY finished_at DESC, run_id DESC) AS r FROM ({B_RUNS})) WHERE r <= 2 GROUP BY source_id HAVING previous <> 0"""
+)
+def source_drop_latest_two(spark, sf_dir):
+    return quality.latest_two(runs(spark, sf_dir)).withColumn("ratio", F.round("ratio", 9))
+
+
+# State
+
+
+@query(
+    """WITH s AS (SELECT DISTINCT event_type AS source_id, CAST(ts AS DATE) AS run_day, user_id AS job_id FROM events),
+       runs AS (SELECT source_id, run_day, row_number() OVER (PARTITION BY source_id ORDER BY run_day) AS run FROM (SELECT DISTINCT source_id, run_day FROM s)),
+       seen AS (SELECT source_id, job_id, min(run_day) AS first_day, max(run_day) AS last_day FROM s GROUP BY ALL),
+       missed AS (SELECT seen.*, least(2, (SELECT max(run) FROM runs q WHERE q.source_id = seen.source_id) - run) AS missing_runs FROM seen JOIN runs ON runs.source_id = seen.source_id AND run_day = last_day)
+       SELECT source_id, job_id, first_day, last_day, missing_runs, CASE WHEN missing_runs >= 2 THEN 'closed' ELSE 'active' END AS status FROM missed"""
+)
+def lifecycle_status(spark, sf_dir):
+    return lifecycle.history(snapshots(spark, sf_dir))
+
+
+@query(
+    """WITH last AS (SELECT event_type, max(CAST(ts AS DATE)) AS d FROM events GROUP BY 1), observed AS (SELECT DISTINCT user_id FROM events JOIN last USING (event_type) WHERE event_type = 'click' AND CAST(ts AS DATE) = d)
+       SELECT c_custkey AS job_id, CASE WHEN c_nationkey < 15 THEN 'click' ELSE 'other' END AS source_id,
+       CASE WHEN miss AND c_nationkey % 2 + 1 >= 2 THEN 'closed' ELSE st END AS status, CASE WHEN miss THEN c_nationkey % 2 + 1 ELSE c_nationkey % 2 END AS missing_runs
+       FROM (SELECT *, CASE WHEN c_acctbal > 0 THEN 'active' ELSE 'closed' END AS st, c_nationkey < 15 AND c_acctbal > 0 AND c_custkey NOT IN (SELECT user_id FROM observed) AS miss FROM customer)"""
+)
+def lifecycle_step(spark, sf_dir):
+    c = table(spark, sf_dir, "customer")
+    jobs = c.select(F.col("c_custkey").alias("job_id"), F.when(F.col("c_nationkey") < 15, "click").otherwise("other").alias("source_id"), F.when(F.col("c_acctbal") > 0, "active").otherwise("closed").alias("status"), (F.col("c_nationkey") % 2).alias("missing_runs"))
+    own = snapshots(spark, sf_dir).filter("source_id = 'click'")
+    observed = own.join(own.agg(F.max("run_day").alias("run_day")), "run_day").select("job_id")
+    return lifecycle.age_missing(jobs, observed, "click")
+
+
+@query("SELECT user_id, event_id, event_type, value FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS r FROM events) WHERE r = 1")
+def upsert_last_wins(spark, sf_dir):
+    e = table(spark, sf_dir, "events")
+    old, new = e.filter("event_id % 2 = 0"), e
+    before = upsert.last_per_key(old, "user_id", "ts", "event_id")
+    return upsert.upsert(before, upsert.last_per_key(new, "user_id", "ts", "event_id"), "user_id").select("user_id", "event_id", "event_type", "value")
+
+
+@query("SELECT c_custkey AS id, c_name AS name FROM customer UNION ALL SELECT s_suppkey + 1000, s_name FROM supplier WHERE s_suppkey + 1000 NOT IN (SELECT c_custkey FROM customer)")
+def upsert_do_nothing(spark, sf_dir):
+    old = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id"), F.col("c_name").alias("name"))
+    return upsert.insert_missing(old, table(spark, sf_dir, "supplier").select((F.col("s_suppkey") + 1000).alias("id"), F.col("s_name").alias("name")), "id")
+
+
+@query(
+    """SELECT c_custkey AS id, c_name AS name, coalesce(s_acctbal, c_acctbal) AS balance FROM customer LEFT JOIN supplier ON s_suppkey = c_custkey"""
+)
+def document_upsert(spark, sf_dir):
+    old = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id"), F.col("c_name").alias("name"), F.col("c_acctbal").alias("balance"))
+    new = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("id"), F.col("s_name").alias("name"), F.col("s_acctbal").alias("balance"))
+    return upsert.upsert_columns(old, new, "id", ["balance"])
+
+
+@query("SELECT user_id, min(event_type) AS fingerprint, arg_min(event_id, (ts, event_id)) AS job_id, min(ts) AS first_seen_at FROM events GROUP BY user_id")
+def fingerprint_first_seen(spark, sf_dir):
+    return table(spark, sf_dir, "events").groupBy("user_id").agg(F.min("event_type").alias("fingerprint"), F.min_by("event_id", F.struct("ts", "event_id")).alias("job_id"), F.min("ts").alias("first_seen_at"))
+
+
+_NAMED = "CASE event_type WHEN 'click' THEN 'lever' WHEN 'view' THEN 'remoteok' WHEN 'purchase' THEN 'ashby' ELSE event_type END"
+
+
+@query(f"SELECT user_id, source_id, CASE WHEN source_id IN ('greenhouse', 'lever', 'ashby') THEN 100 WHEN source_id IN ('himalayas', 'remoteok', 'remotive') THEN 50 ELSE 75 END AS priority FROM (SELECT user_id, {_NAMED} AS source_id, row_number() OVER (PARTITION BY user_id ORDER BY CASE {_NAMED} WHEN 'lever' THEN 100 WHEN 'ashby' THEN 100 WHEN 'remoteok' THEN 50 ELSE 75 END DESC, ts, event_id) AS r FROM events) WHERE r = 1")
+def source_priority_pick(spark, sf_dir):
+    named = table(spark, sf_dir, "events").select("user_id", "ts", "event_id", F.expr(_NAMED).alias("source_id")).withColumn("priority", rules.source_priority(F.col("source_id")))
+    best = named.groupBy("user_id").agg(F.min_by(F.struct("source_id", "priority"), F.struct(-F.col("priority"), "ts", "event_id")).alias("b"))
+    return best.select("user_id", "b.source_id", "b.priority")
+
+
+# Functions
+
+_URL = r"^(https?)://([^/?#]+)([^?#]*)(?:\?([^#]*))?"
+_KEPT = "list_filter(string_split(regexp_extract(url, '" + _URL + "', 4), '&'), lambda p: p <> '' AND NOT list_contains([" + ", ".join(f"'{t}'" for t in urls.TRACKING) + "], lower(split_part(p, '=', 1))) AND NOT starts_with(lower(split_part(p, '=', 1)), 'utm_'))"
+_CANONICAL = f"""regexp_extract(url, '{_URL}', 1) || '://' || lower(regexp_extract(url, '{_URL}', 2)) ||
+  CASE WHEN trim(regexp_extract(url, '{_URL}', 3), '/') = '' THEN '/' ELSE rtrim(regexp_replace(regexp_extract(url, '{_URL}', 3), '/+', '/', 'g'), '/') END ||
+  CASE WHEN len({_KEPT}) = 0 THEN '' ELSE '?' || array_to_string(list_sort({_KEPT}), '&') END"""
+
+
+@query(f"SELECT page_id, {_CANONICAL} AS canonical FROM pages")
+def canonical_url(spark, sf_dir):
+    return table(spark, sf_dir, "pages").select("page_id", urls.canonical_url(F.col("url")).alias("canonical"))
+
+
+@query(f"SELECT regexp_replace(lower(regexp_extract(url, '{_URL}', 2)), '^www\\.', '') AS domain, count(*) AS pages, count(DISTINCT {_CANONICAL}) AS urls FROM pages GROUP BY 1")
+def domain_group(spark, sf_dir):
+    made = table(spark, sf_dir, "pages").select(urls.canonical_url(F.col("url")).alias("u"))
+    return made.groupBy(urls.domain_of(F.col("u")).alias("domain")).agg(F.count("*").alias("pages"), F.countDistinct("u").alias("urls"))
+
+
+_HASH = "sha1(unhex('55a45f42cbd54f91a2e3665fd125ba16') || encode('company|' || lower(c_name) || '|' || c_nationkey))"
+
+
+@query(
+    f"""SELECT c_custkey, substr(h, 1, 8) || '-' || substr(h, 9, 4) || '-5' || substr(h, 14, 3) || '-' || substr('89ab', CAST('0x' || substr(h, 17, 1) AS INT) % 4 + 1, 1) || substr(h, 18, 3) || '-' || substr(h, 21, 12) AS company_id
+        FROM (SELECT c_custkey, {_HASH} AS h FROM customer)"""
+)
+def stable_uuid5(spark, sf_dir):
+    return table(spark, sf_dir, "customer").select("c_custkey", ids.stable_id("company", text.normalize_ascii(F.col("c_name")), F.col("c_nationkey").cast("string")).alias("company_id"))
+
+
+@query("SELECT page_id, octet_length(encode(html)) AS bytes, sha256(html) AS sha256 FROM pages")
+def content_sha256_manifest(spark, sf_dir):
+    return table(spark, sf_dir, "pages").select("page_id", F.octet_length("html").cast("long").alias("bytes"), ids.content_hash(F.col("html").cast("binary")).alias("sha256"))
+
+
+def _re2(words) -> str:
+    return r"(^|[^\p{L}\p{N}_])(" + "|".join(text.escaped(w) for w in words) + r")($|[^\p{L}\p{N}_])"
+
+
+def _case(expression: str, patterns: dict[str, str], otherwise: str) -> str:
+    return "CASE " + " ".join(f"WHEN regexp_matches({expression}, '{p}') THEN '{k}'" for k, p in patterns.items()) + f" ELSE {otherwise} END"
+
+
+@query(f"SELECT doc_id, {_case('body', {k: _re2(v) for k, v in rules.ROLES.items()}, repr('other'))} AS role_family FROM ({B_POSTINGS})")
+def classify_role(spark, sf_dir):
+    return postings(spark, sf_dir).select("doc_id", rules.classify_role(F.col("body")).alias("role_family"))
+
+
+@query(f"SELECT doc_id, {_case('body', {k: _re2(v) for k, v in rules.SENIORITY.items()}, repr('unspecified'))} AS seniority FROM ({B_POSTINGS})")
+def classify_seniority(spark, sf_dir):
+    return postings(spark, sf_dir).select("doc_id", rules.classify_seniority(F.col("body")).alias("seniority"))
+
+
+_SKILLS = ", ".join(f"CASE WHEN regexp_matches(body, '{_re2(v)}') THEN '{k}' END" for k, v in sorted(rules.SKILLS.items()))
+
+
+@query(f"SELECT doc_id, array_to_string(list_filter([{_SKILLS}], lambda s: s IS NOT NULL), ',') AS skills FROM ({B_POSTINGS})")
+def extract_skills(spark, sf_dir):
+    return postings(spark, sf_dir).select("doc_id", F.array_join(rules.extract_skills(F.col("body")), ",").alias("skills"))
+
+
+_NUMBER = r"(\d+(?:\.\d+)?)"
+_FORMS = (
+    (rf"{_NUMBER}\s*(?:-|–|to)\s*{_NUMBER}\+?\s*years?", 1, 2), (rf"(?:minimum|min\.?|at least)\s*{_NUMBER}\+?\s*years?", 1, 0), (rf"{_NUMBER}\+\s*years?", 1, 0), (rf"{_NUMBER}\s*years? (?:of )?experience", 1, 1),
+)
+
+
+def _years(k: int) -> str:
+    return "CASE " + " ".join(f"WHEN regexp_matches(description, '{f[0]}') THEN " + (f"CAST(regexp_extract(description, '{f[0]}', {f[k]}) AS DOUBLE)" if f[k] else "NULL") for f in _FORMS) + " END"
+
+
+@query(f"SELECT doc_id, {_years(1)} AS min_years, {_years(2)} AS max_years FROM ({B_POSTINGS})")
+def extract_experience(spark, sf_dir):
+    y = rules.extract_experience(F.col("description"))
+    return postings(spark, sf_dir).select("doc_id", y["min"].alias("min_years"), y["max"].alias("max_years"))
+
+
+_PAY = "replace(salary_text, ',', '')"
+_AMOUNT = f"list_transform(regexp_extract_all({_PAY}, '\\d+(?:\\.\\d+)?\\s*[kK]?'), lambda m: CAST(regexp_extract(m, '^(\\d+(?:\\.\\d+)?)', 1) AS DOUBLE) * CASE WHEN regexp_matches(m, '[kK]$') THEN 1000 ELSE 1 END)"
+_CODE = r"(?i)\b(USD|NPR|EUR|GBP|INR|AUD|CAD)\b|([$€£])"
+
+
+@query(
+    f"""SELECT doc_id, {_AMOUNT}[1] AS low, {_AMOUNT}[2] AS high,
+        CASE upper(regexp_extract({_PAY}, '{_CODE}', 0)) WHEN '' THEN NULL WHEN '$' THEN 'USD' WHEN '€' THEN 'EUR' WHEN '£' THEN 'GBP' ELSE upper(regexp_extract({_PAY}, '{_CODE}', 0)) END AS currency,
+        CASE WHEN regexp_matches({_PAY}, '(?i)(?:/|per\\s+)hour|annual') THEN 'hour' WHEN regexp_matches({_PAY}, '(?i)(?:/|per\\s+)month') THEN 'month' WHEN regexp_matches({_PAY}, '(?i)(?:/|per\\s+)year') THEN 'year' END AS period
+        FROM ({B_POSTINGS})"""
+)
+def parse_salary(spark, sf_dir):
+    p = rules.parse_salary(F.col("salary_text"))
+    return postings(spark, sf_dir).select("doc_id", p["min"].alias("low"), p["max"].alias("high"), p["currency"].alias("currency"), p["period"].alias("period"))
+
+
+_EVIDENCE = "left(concat_ws(' | ', nullif(candidate_location, ''), nullif(location_text, ''), nullif(description, '')), 1000)"
+_FOUND = lambda patterns: "coalesce(" + ", ".join(f"nullif(regexp_extract({_EVIDENCE}, '{p}'), '')" for p in patterns) + ")"
+_PLACE = _case("body", rules.WORKPLACE, repr("unknown"))
+
+
+@query(
+    f"""SELECT doc_id, CASE WHEN a IS NOT NULL THEN 'ineligible' WHEN b IS NOT NULL THEN 'eligible' WHEN w = 'onsite' THEN 'ineligible' WHEN c IS NOT NULL THEN 'likely' ELSE 'unknown' END AS eligibility,
+        CASE WHEN a IS NOT NULL THEN 0.98 WHEN b IS NOT NULL THEN 0.95 WHEN w = 'onsite' THEN 0.9 WHEN c IS NOT NULL THEN 0.65 ELSE 0.35 END::DOUBLE AS confidence,
+        CASE WHEN a IS NOT NULL THEN a WHEN b IS NOT NULL THEN b WHEN w = 'onsite' THEN coalesce(nullif(location_text, ''), 'onsite') WHEN c IS NOT NULL THEN c ELSE left(coalesce(nullif(candidate_location, ''), nullif(location_text, ''), 'No geographic evidence'), 300) END AS evidence
+        FROM (SELECT *, {_FOUND(rules.INELIGIBLE)} AS a, {_FOUND(rules.ELIGIBLE)} AS b, {_FOUND(rules.LIKELY)} AS c, {_PLACE} AS w FROM ({B_POSTINGS}))"""
+)
+def assess_eligibility(spark, sf_dir):
+    rows = postings(spark, sf_dir).withColumn("w", rules.infer_workplace(F.col("body"))).withColumn("e", rules.evidence_text(F.col("candidate_location"), F.col("location_text"), F.col("description")))
+    v = rules.eligibility(F.col("e"), F.col("w"), F.col("candidate_location"), F.col("location_text"))
+    return rows.withColumn("v", v).select("doc_id", F.col("v.status").alias("eligibility"), F.col("v.confidence").alias("confidence"), F.col("v.evidence").alias("evidence"))
+
+
+@query(f"SELECT doc_id, {_PLACE} AS workplace_type FROM ({B_POSTINGS})")
+def infer_workplace(spark, sf_dir):
+    return postings(spark, sf_dir).select("doc_id", rules.infer_workplace(F.col("body")).alias("workplace_type"))
+
+
+@query(f"SELECT doc_id, CASE WHEN employment_type = '' THEN NULL ELSE {_case('employment_type', {k: '|'.join(v) for k, v in rules.EMPLOYMENT.items()}, 'left(employment_type, 50)')} END AS employment_type FROM ({B_POSTINGS})")
+def normalize_employment(spark, sf_dir):
+    return postings(spark, sf_dir).select("doc_id", rules.employment_type(F.col("employment_type")).alias("employment_type"))
+
+
+@query(f"SELECT doc_id, coalesce({_case('body', {k: _re2(v) for k, v in rules.SENIORITY.items()}, repr('unspecified'))} IN ('intern', 'entry') OR {_years(1)} <= 2, false) AS early FROM ({B_POSTINGS})")
+def early_career(spark, sf_dir):
+    return postings(spark, sf_dir).select("doc_id", rules.is_early_career(rules.classify_seniority(F.col("body")), rules.extract_experience(F.col("description"))["min"]).alias("early"))
+
+
+@query(r"SELECT doc_id, regexp_matches(text, '(^|[^\p{L}\p{N}_])(the|und|que)($|[^\p{L}\p{N}_])') AS found FROM documents")
+def keyword_match(spark, sf_dir):
+    return table(spark, sf_dir, "documents").select("doc_id", F.col("text").rlike(text.keywords(("the", "und", "que"))).alias("found"))
+
+
+@query("SELECT c_custkey, CASE WHEN c_nationkey % 5 = 0 THEN NULL WHEN c_nationkey % 5 = 1 THEN NULL ELSE 'info' || c_custkey || '@' || CASE WHEN c_nationkey % 5 = 2 THEN 'hr.' ELSE '' END || 'example.com' END AS email FROM customer")
+def organization_email(spark, sf_dir):
+    kind = F.col("c_nationkey") % 5
+    local = F.when(kind == 1, "Recruiter").otherwise("Info")
+    host = F.when(kind == 0, "other.org").when(kind == 2, "HR.example.com").otherwise("example.com")
+    address = F.concat(F.lit(" "), local, F.col("c_custkey").cast("string"), F.lit("@"), host)
+    return table(spark, sf_dir, "customer").select("c_custkey", rules.organization_email(address, F.lit("example.com")).alias("email"))
+
+
+@query(f"SELECT source_id, count(*) AS seen, count(*) FILTER (role = 'other') AS skipped FROM (SELECT source_id, {_case('body', {k: _re2(v) for k, v in rules.ROLES.items()}, repr('other'))} AS role FROM ({B_POSTINGS})) GROUP BY source_id")
+def nontech_skip_counts(spark, sf_dir):
+    rows = postings(spark, sf_dir).withColumn("role", rules.classify_role(F.col("body")))
+    return rows.groupBy("source_id").agg(F.count("*").alias("seen"), F.count_if(F.col("role") == "other").alias("skipped"))
+
+
+@query(f"SELECT audited, count(*) AS n FROM (SELECT {_FOUND(rules.INELIGIBLE)} IS NOT NULL AS audited FROM ({B_POSTINGS})) GROUP BY audited")
+def ineligible_audit_split(spark, sf_dir):
+    rows = postings(spark, sf_dir).withColumn("e", rules.evidence_text(F.col("candidate_location"), F.col("location_text"), F.col("description")))
+    v = rules.eligibility(F.col("e"), F.lit("remote"), F.col("candidate_location"), F.col("location_text"))
+    return rows.select((v["confidence"] == 0.98).alias("audited")).groupBy("audited").agg(F.count("*").alias("n"))
+
+
+@query("SELECT event_type, isoyear(ts) AS iso_year, weekofyear(ts) AS iso_week, count(*) AS n FROM events GROUP BY ALL")
+def weekly_runs(spark, sf_dir):
+    e = table(spark, sf_dir, "events")
+    return e.groupBy("event_type", F.extract(F.lit("YEAROFWEEK"), "ts").cast("long").alias("iso_year"), F.weekofyear("ts").cast("long").alias("iso_week")).agg(F.count("*").alias("n"))
+
+
+@query()
+def weekly_run_id(spark, sf_dir):
+    return table(spark, sf_dir, "events").select(F.col("event_type").alias("source_id"), ids.weekly_run_id(F.col("event_type"), F.to_date("ts")).alias("run_id")).distinct()
+
+
+@query("SELECT event_id, CAST(json_extract(props, '$.k') AS INT) AS k FROM events")
+def job_feed_explode(spark, sf_dir):
+    return table(spark, sf_dir, "events").select("event_id", F.from_json("props", "k int")["k"].alias("k"))
+
+
+@query("SELECT c_nationkey AS id, array_to_string(list_sort(list_distinct(list(c_mktsegment))), ',') AS sectors, max(c_acctbal) AS confidence, arg_max(c_name, c_custkey) AS last_name, arg_min(c_name, c_custkey) AS first_name FROM customer GROUP BY 1")
+def company_merge(spark, sf_dir):
+    c = table(spark, sf_dir, "customer")
+    return c.groupBy(F.col("c_nationkey").alias("id")).agg(F.array_join(F.array_sort(F.collect_set("c_mktsegment")), ",").alias("sectors"), F.max("c_acctbal").alias("confidence"), F.max_by("c_name", "c_custkey").alias("last_name"), F.min_by("c_name", "c_custkey").alias("first_name"))
+
+
+@query()
+def company_resolution(spark, sf_dir):
+    """Suppliers resolved against customers, by the names they share."""
+    seen = F.to_timestamp(F.lit("2026-01-01"))
+    known = table(spark, sf_dir, "customer").select(F.col("c_custkey").cast("string").alias("company_id"), F.col("c_name").alias("canonical_name"), F.lit(None).cast("string").alias("domain"), seen.alias("first_seen_at"))
+    wanted = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("pos"), F.col("s_name").alias("name"), F.lit(None).cast("string").alias("website"), F.lit(None).cast("string").alias("external_id"), F.lit("").alias("country"))
+    return resolution.resolve(known, wanted)
+
+
+@query()
+def normalize_text_nfkc(spark, sf_dir):
+    return table(spark, sf_dir, "documents").select("doc_id", F.sha2(text.normalize_text("text"), 256).alias("digest"))
+
+
+@query()
+def clean_html_text(spark, sf_dir):
+    return table(spark, sf_dir, "pages").select("page_id", text.clean_text(F.col("html"), 2000).alias("text"))
+
+
+@query()
+def parse_datetime_mixed(spark, sf_dir):
+    o = table(spark, sf_dir, "orders")
+    shown = F.when(F.col("o_orderkey") % 3 == 0, F.date_format("o_orderdate", "yyyy-MM-dd")).when(F.col("o_orderkey") % 3 == 1, F.date_format("o_orderdate", "dd MMM yyyy")).otherwise(F.col("o_orderkey").cast("string"))
+    return o.select("o_orderkey", dates.parse_datetime(shown).alias("at"))
+
+
+@query()
+def token_set_ratio_pairs(spark, sf_dir):
+    p = table(spark, sf_dir, "part")
+    return p.select("p_partkey", text.token_set_ratio(F.lower("p_name"), F.lower("p_type")).alias("score"))
