@@ -14,9 +14,10 @@ LEAST_SHARE = 0.5
 
 def keep_known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a language that makes up half of the text or more; a missing `lang` is filled in."""
-    found = language.identify(docs, carried=docs.columns)
+    read = docs.select("doc_id", "text", "lang", F.struct("*").alias("row"))
+    found = language.identify(read, carried=["row"])
     kept = found.filter((F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= LEAST_SHARE))
-    return kept.withColumn("lang", F.coalesce("lang", "lang_pred")).select(*docs.columns)
+    return kept.select(F.col("row").withField("lang", F.coalesce("row.lang", "lang_pred")).alias("row")).select("row.*").select(*docs.columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -36,7 +36,8 @@ def _unit(v: np.ndarray) -> np.ndarray:
 def _usable(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """vec_id, label, dimensions and the unit vector as bytes (null: links with nothing)."""
     for batch in batches:
-        made = [None if v is None or label is None else _unit(v) + 0.0 for v, label in zip(_vectors(batch.column("embedding")), batch.column("label").to_pylist())]
+        known = [i is not None and k is not None for i, k in zip(batch.column("vec_id").to_pylist(), batch.column("label").to_pylist())]
+        made = [_unit(v) + 0.0 if v is not None and k else None for v, k in zip(_vectors(batch.column("embedding")), known)]
         yield pa.RecordBatch.from_arrays(
             [batch.column("vec_id"), batch.column("label"), pa.array([0 if v is None else len(v) for v in made], pa.int32()),
              pa.array([None if v is None else v.tobytes() for v in made], pa.binary())],
@@ -164,8 +165,8 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.93, tile_rows: int
 
     Returns per vector: vec_id, class_id (smallest vec_id of equal direction and label), n_links (other vectors
     linked directly), component_id (smallest vec_id reachable by links, itself included) and kept. Vectors that are
-    null, empty, zero, of another length, or hold a null or non-finite component, and rows with a null label, link
-    with nothing. Equal unit vectors form a class, compared once and counted by their copies. Other columns are
+    null, empty, zero, of another length, or hold a null or non-finite component, and rows with a null label or vec_id,
+    link with nothing. Equal unit vectors form a class, compared once and counted by their copies. Other columns are
     ignored; an empty table gives no rows; rows that share a vec_id count as one vector each.
 
     Within a label classes are ordered by their first principal component and cut into tiles at its quantiles; two
@@ -198,4 +199,4 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.93, tile_rows: int
         "vec_id", "class_id", (F.coalesce("degree", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("component", "class_id").alias("component_id")
     )
     alone = usable.filter("unit is null").select("vec_id", F.col("vec_id").alias("class_id"), F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
-    return linked.unionByName(alone).withColumn("kept", F.col("vec_id") == F.col("component_id"))
+    return linked.unionByName(alone).withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))

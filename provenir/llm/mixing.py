@@ -153,16 +153,17 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     _, pieces = mix(docs, **options)
     parts = pieces.groupBy("doc_id", "order_key", "first_word", "n_words").agg(F.count("*").alias("uses"))
     plan = parts.groupBy("doc_id", "order_key").agg(F.array_sort(F.collect_list(F.struct("first_word", "n_words", "uses"))).alias("parts"))
-    keyed = docs.withColumn("order_key", F.coalesce(F.xxhash64("text"), F.lit(0).cast("long")))
     plan = plan.select(F.col("doc_id").alias("_doc"), F.col("order_key").alias("_key"), "parts")
-    joined = keyed.join(plan, keyed["doc_id"].eqNullSafe(plan["_doc"]) & (keyed["order_key"] == plan["_key"])).drop("_doc", "_key", "order_key")
+    keyed = docs.select("doc_id", "text", F.coalesce(F.xxhash64("text"), F.lit(0).cast("long")).alias("order_key"), F.struct("*").alias("_row"))
+    joined = keyed.join(plan, keyed["doc_id"].eqNullSafe(plan["_doc"]) & (keyed["order_key"] == plan["_key"]))
     pieces_of = F.split(F.regexp_replace("text", f"^{SPACE}", ""), r"(?<=[\x20\x09-\x0D])(?=[^\x20\x09-\x0D])")
-    copies = joined.withColumn("_tokens", pieces_of).withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.array_max(F.transform("parts", lambda p: p["uses"])))))
+    most = F.array_max(F.transform("parts", lambda p: p["uses"]))
+    copies = joined.select("_row", "text", "parts", pieces_of.alias("_tokens"), F.explode(F.sequence(F.lit(1).cast("long"), most)).alias("_copy"))
     taken = F.filter("parts", lambda p: p["uses"] >= F.col("_copy"))
-    whole = F.size(taken) == F.size("parts")
-    covered = F.aggregate("parts", F.lit(0).cast("long"), lambda a, p: a + p["n_words"]) >= F.size("_tokens")
+    covered = F.aggregate(taken, F.lit(0).cast("long"), lambda a, p: a + p["n_words"]) >= F.size("_tokens")
     cut = F.array_join(F.transform(taken, lambda p: F.array_join(F.slice("_tokens", (p["first_word"] + 1).cast("int"), p["n_words"].cast("int")), "")), "")
-    made = copies.withColumn("text", F.when(whole & covered, F.col("text")).otherwise(cut))
+    made = copies.select("_row", F.when(covered, F.col("text")).otherwise(cut).alias("_text"))
+    row = F.col("_row").withField("text", F.col("_text"))
     if "n_chars" in docs.columns:
-        made = made.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return made.select(*docs.columns)
+        row = row.withField("n_chars", F.length("_text").cast(docs.schema["n_chars"].dataType))
+    return made.select(row.alias("_row")).select("_row.*").select(*docs.columns)

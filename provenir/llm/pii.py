@@ -159,19 +159,19 @@ def pseudonymise(docs: DataFrame, key: str = "provenir") -> DataFrame:
     mentions = F.regexp_extract_all(text, F.lit(UNION), F.lit(0))
     flagged = F.coalesce(text.rlike(HINT) & text.rlike(UNION), F.lit(False))
     kept = [c for c in docs.columns if c != "n_replaced"]
-    marked = docs.select(*kept, flagged.alias("_flag"))
-    held = staged(marked.filter("_flag").drop("_flag").withColumn("_key", F.md5("text")).withColumn("_found", mentions), "mentions")
+    marked = docs.select("text", F.struct(*kept).alias("_row"), flagged.alias("_flag"))
+    held = staged(marked.filter("_flag").select("text", "_row", F.md5("text").alias("_key"), mentions.alias("_found")), "mentions")
     seen = held.select("_key", F.explode("_found").alias("mention")).distinct().withColumn("kind", entity_type(F.col("mention"))).filter("kind is not null")
     named = staged(seen.withColumn("entity", canonical(F.col("kind"), F.col("mention"))), "entities")
     table = surrogate_table(named.select("kind", "entity"), key)
     changed = named.join(table, ["kind", "entity"]).select("_key", "mention", render(F.col("kind"), F.col("mention"), F.col("value")).alias("new"))
     by_text = changed.groupBy("_key").agg(F.map_from_entries(F.collect_list(F.struct("mention", "new"))).alias("_new"))
-    joined = held.join(by_text, "_key", "left").withColumn("_between", F.split("text", UNION, -1))
-    new = F.coalesce(F.col("_new"), F.create_map().cast("map<string,string>"))
-    filled = joined.withColumn("_map", new).select(
-        *(c for c in kept if c != "text"),
-        F.array_join(F.concat(F.array(F.element_at("_between", 1)), F.flatten(F.transform("_found", lambda m, i: F.array(F.coalesce(F.try_element_at("_map", m), m), F.element_at("_between", i + 2))))), "").alias("text"),
+    none = F.create_map().cast("map<string,string>")
+    joined = held.join(by_text, "_key", "left").select("_row", "_found", F.split("text", UNION, -1).alias("_between"), F.coalesce("_new", none).alias("_map"))
+    follow = F.flatten(F.transform("_found", lambda m, i: F.array(F.coalesce(F.try_element_at("_map", m), m), F.element_at("_between", i + 2))))
+    filled = joined.select(
+        F.col("_row").withField("text", F.array_join(F.concat(F.array(F.element_at("_between", 1)), follow), "")).alias("_row"),
         F.size(F.filter("_found", lambda m: F.try_element_at("_map", m).isNotNull())).cast("long").alias("n_replaced"),
-    )
-    rest = marked.filter("not _flag").drop("_flag").withColumn("n_replaced", F.lit(0).cast("long"))
-    return rest.select(*kept, "n_replaced").unionByName(filled.select(*kept, "n_replaced"))
+    )
+    rest = marked.filter("not _flag").select("_row", F.lit(0).cast("long").alias("n_replaced"))
+    return rest.unionByName(filled).select("_row.*", "n_replaced")
