@@ -45,7 +45,7 @@ def resolve(existing: DataFrame, candidates: DataFrame) -> DataFrame:
     candidates of one domain follow the first of them, and each name sees the companies made before it in its block.
     A block (companies that hold one word) is one group; domains, blocks and ids shuffle once each.
     """
-    ready = prepared(candidates)
+    ready = prepared(candidates).persist()
     oldest = W.partitionBy("domain").orderBy("first_seen_at", "company_id")
     by_domain = existing.filter("domain is not null").withColumn("_rank", F.row_number().over(oldest)).filter("_rank = 1").select("domain", F.col("company_id").alias("known_id"))
     joined = ready.join(by_domain, "domain", "left")
@@ -55,7 +55,7 @@ def resolve(existing: DataFrame, candidates: DataFrame) -> DataFrame:
     asked = led.filter("known_id is null and pos = leader").select("pos", "name_key", "block", "new_id")
     words = existing.select("company_id", normalize_text("canonical_name").alias("name_key"), "first_seen_at").withColumn("block", F.explode(F.array_distinct(F.split("name_key", " "))))
     schema = "pos long, company_id string, is_new boolean, needs_review boolean, score double"
-    named = words.groupBy("block").cogroup(asked.groupBy("block")).applyInPandas(_within_block, schema)
+    named = words.groupBy("block").cogroup(asked.groupBy("block")).applyInPandas(_within_block, schema).persist()
     followers = led.filter("known_id is null and pos <> leader").select("pos", "leader")
     followed = followers.join(named.select(F.col("pos").alias("leader"), "company_id"), "leader").select("pos", "company_id", F.lit(False).alias("is_new"), F.lit(False).alias("needs_review"), F.lit(100.0).alias("score"))
     return found.unionByName(named).unionByName(followed)

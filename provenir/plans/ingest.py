@@ -52,9 +52,9 @@ def persist(store: Store, batch: Batch, source: Source, run: str, now: datetime)
     def settle(candidates: DataFrame, reason: str, hashed: DataFrame | None) -> DataFrame:
         """Resolves candidates, with their evidence and review items; gives pos and company_id."""
         nonlocal companies, evidence, reviews
-        verdict = resolve(companies, candidates).cache()
-        ready = prepared(candidates).join(verdict.select("pos", "company_id"), "pos")
-        companies = upsert(companies, merge(companies, ready), "company_id")
+        verdict = resolve(companies, candidates).persist()
+        ready = prepared(candidates).join(verdict.select("pos", "company_id"), "pos").persist()
+        companies = upsert(companies, merge(companies, ready), "company_id").persist()
         evidence = upsert(evidence, postings.evidence(ready, "company", "company_id", F.coalesce(F.nullif(F.col("profile"), F.lit("")), F.col("name")), F.col("confidence"), F.lit(source.attribution), hashed), "evidence_id")
         asked = ready.join(verdict.filter("needs_review").select("pos"), "pos", "left_semi").select(F.to_json(F.struct(*candidates.columns)).alias("payload"))
         reviews = insert_missing(reviews, review_rows(spark, asked, "company_merge", source.id, reason, now), "review_id")
