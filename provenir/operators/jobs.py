@@ -77,7 +77,7 @@ def deduplicate(existing: DataFrame, fresh: DataFrame) -> DataFrame:
     first = lambda c: F.min_by(c, "pos").over(group)
     batch = fresh.withColumn("_first_id", first("job_id")).withColumn("_first_seen", first("first_seen_at"))
     joined = last_per_key(batch, "fingerprint", "pos").join(known, "fingerprint", "left")
-    held = rules.source_priority(F.col("_source")) > rules.source_priority(F.col("source_id"))
+    held = F.col("_id").isNotNull() & (rules.source_priority(F.col("_source")) > rules.source_priority(F.col("source_id")))
     chosen = joined.withColumns({
         "job_id": F.coalesce("_id", "_first_id"), "first_seen_at": F.coalesce("_seen", "_first_seen"), "source_url": F.when(held, F.col("_url")).otherwise(F.col("source_url")),
         "attribution": F.when(held, truthy(F.col("_by"))).otherwise(F.col("attribution")), "source_id": F.when(held, F.col("_source")).otherwise(F.col("source_id")),
