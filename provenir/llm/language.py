@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
-from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -17,9 +16,14 @@ CHARS = 1 << 21
 UNKNOWN = "und"
 
 
-@cache
+_LETTERS: list[np.ndarray] = []
+
+
 def _letters() -> np.ndarray:
-    return np.array([chr(i).isalpha() for i in range(0x110000)])
+    """Whether each code point is a letter; made once a worker."""
+    if not _LETTERS:
+        _LETTERS.append(np.array([chr(i).isalpha() for i in range(0x110000)]))
+    return _LETTERS[0]
 
 
 def _trigrams(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
