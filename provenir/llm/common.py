@@ -69,7 +69,7 @@ def components(edges: DataFrame, label: str = "components") -> DataFrame:
     reduced by partial aggregates and joined back (a join that adaptive execution can split), and nothing but
     two numbers a round reaches the driver. Nodes without an edge are not returned.
     """
-    now = staged(_stars(edges.filter("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()), label)
+    now = staged(edges.filter("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), label)
     seen = None
     while True:
         state = tuple(now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())

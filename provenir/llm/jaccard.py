@@ -45,8 +45,16 @@ def _texts(batch: pa.RecordBatch) -> Iterator[tuple[int, bytes | None]]:
     return zip(batch.column(0).to_pylist(), (x.as_py() for x in batch.column(1)))
 
 
+def _set_key(shingles: np.ndarray) -> bytes:
+    return xxhash.xxh3_128_digest(shingles.tobytes())
+
+
+def _short(key: bytes) -> int:
+    return int.from_bytes(key[:8], "little", signed=True)
+
+
 def _summaries(size: int):
-    """Per document: number of shingles and a 128-bit hash of the set; per task: counts of shingles by hash bucket."""
+    """Per document: number of shingles and a hash of the set, long and short; per task: counts of shingles by hash bucket."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles, counts = Shingles(size), np.zeros(BUCKETS, dtype=np.int64)
@@ -56,19 +64,68 @@ def _summaries(size: int):
                 s = shingles.of(text)
                 ids.append(doc_id)
                 sizes.append(len(s))
-                keys.append(xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None)
+                keys.append(_set_key(s) if len(s) else None)
                 np.add.at(counts, (s & np.uint64(BUCKETS - 1)).astype(np.int64), 1)
-            yield _batch(ids, sizes, keys, [None] * len(ids))
+            yield _batch(ids, sizes, keys, [None if k is None else _short(k) for k in keys], [None] * len(ids))
         if counts.any():
             parts = counts.reshape(64, -1)
-            yield _batch([None] * 64, list(range(64)), [None] * 64, [p.tobytes() for p in parts])
+            yield _batch([None] * 64, list(range(64)), [None] * 64, [None] * 64, [p.tobytes() for p in parts])
 
-    return run, "doc_id long, n_shingles long, set_key binary, counts binary"
+    return run, "doc_id long, n_shingles long, set_key binary, key long, counts binary"
 
 
 def _batch(*columns: list) -> pa.RecordBatch:
-    kinds = (pa.int64(), pa.int64(), pa.binary(), pa.binary())
-    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["doc_id", "n_shingles", "set_key", "counts"])
+    kinds = (pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.binary())
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["doc_id", "n_shingles", "set_key", "key", "counts"])
+
+
+MARKS = 1 << 25
+
+
+def _mark(ids: pa.Array) -> np.ndarray:
+    """Places of ids in a bitmap of MARKS bits."""
+    return ((ids.fill_null(0).to_numpy(zero_copy_only=False).astype(np.uint64) * _MULTIPLIER) >> np.uint64(39)).astype(np.int64)
+
+
+def _marked(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    bits = np.zeros(MARKS // 8, dtype=np.uint8)
+    for batch in batches:
+        at = _mark(batch.column(0))
+        np.bitwise_or.at(bits, at >> 3, (1 << (at & 7)).astype(np.uint8))
+    if bits.any():
+        yield pa.RecordBatch.from_arrays([pa.array(range(64), pa.int64()), pa.array([p.tobytes() for p in bits.reshape(64, -1)], pa.binary())], names=["part", "bits"])
+
+
+def _united(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    total: dict[int, np.ndarray] = {}
+    for batch in batches:
+        for part, raw in zip(batch.column(0).to_pylist(), batch.column(1)):
+            bits = np.frombuffer(raw.as_py(), dtype=np.uint8)
+            total[part] = total[part] | bits if part in total else bits
+    yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int64()), pa.array([b.tobytes() for b in total.values()], pa.binary())], names=["part", "bits"])
+
+
+def _holding(bits: np.ndarray):
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = _mark(batch.column(0))
+            yield batch.filter(pa.array((bits[at >> 3] >> (at & 7)) & 1 == 1))
+
+    return run
+
+
+def rows_of(rows: DataFrame, wanted: DataFrame) -> DataFrame:
+    """`rows` (doc_id, data) without most of those that `wanted` (doc_id) lacks, to be joined with it.
+
+    The wanted ids are marked in a bitmap of 4 MB, whatever their number; a row whose mark is not set is left where
+    it is, so that texts which no join needs are not shuffled.
+    """
+    bits = np.zeros(MARKS // 8, dtype=np.uint8)
+    width = len(bits) // 64
+    marks = wanted.select("doc_id").mapInArrow(_marked, "part long, bits binary").repartition("part").mapInArrow(_united, "part long, bits binary")
+    for r in marks.collect():
+        bits[r["part"] * width : (r["part"] + 1) * width] = np.frombuffer(r["bits"], dtype=np.uint8)
+    return rows.mapInArrow(_holding(bits), rows.schema)
 
 
 def _added_up(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -87,36 +144,64 @@ def _needed(n: np.ndarray | int, percent: int):
     return -(-n * percent // 100)
 
 
-def _prefixes(size: int, percent: int, load: np.ndarray):
-    """The rarest shingles of each set: two linked sets share one of their first n - needed + 1 in any common order."""
+def _common(n: np.ndarray | int, percent: int, share: int):
+    """Tokens that a set of n must have in common with a partner inside their lengthened prefixes."""
+    return n * share // 100 + 1
+
+
+def _prefixes(size: int, percent: int, share: int, load: np.ndarray):
+    """The rarest shingles of each set, and how many of them a linked set must hold as well.
+
+    In any common order two linked sets share l of their first n - needed + l. l is a share of n that grows with it,
+    and a partner holds at least percent % of n, so it is taken at that size.
+    """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles = Shingles(size)
         for batch in batches:
-            ids, tokens, counts = [], [], []
-            for doc_id, text in _texts(batch):
+            keys, tokens, counts, sizes = [], [], [], []
+            for _, text in _texts(batch):
                 s = shingles.of(text)
-                k = len(s) - int(_needed(len(s), percent)) + 1
+                if not len(s):
+                    continue
+                least = int(_needed(len(s), percent))
+                k = len(s) - least + int(_common(len(s), percent, share))
                 rare = s[np.lexsort((s, load[(s & np.uint64(BUCKETS - 1)).astype(np.int64)]))[:k]]
                 tokens.append(rare.view(np.int64))
-                ids.append(doc_id)
+                keys.append(_short(_set_key(s)))
                 counts.append(len(rare))
+                sizes.append(len(s))
             flat = np.concatenate(tokens) if tokens else np.empty(0, dtype=np.int64)
-            owner = np.repeat(np.array(ids, dtype=np.int64), np.array(counts, dtype=np.int64))
-            yield pa.RecordBatch.from_arrays([pa.array(flat), pa.array(owner)], names=["token", "doc_id"])
+            owner, n = (np.repeat(np.array(x, dtype=np.int64), np.array(counts, dtype=np.int64)) for x in (keys, sizes))
+            yield pa.RecordBatch.from_arrays([pa.array(flat), pa.array(owner), pa.array(n.astype(np.int32))], names=["token", "key", "n"])
 
-    return run, "token long, doc_id long"
+    return run, "token long, key long, n int"
 
 
-def _sets(size: int):
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingles = Shingles(size)
-        for batch in batches:
-            data = [shingles.of(x.as_py()).tobytes() for x in batch.column("data")]
-            kept = [n for n in batch.schema.names if n != "data"]
-            yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in kept), pa.array(data, pa.binary())], names=[*kept, "shingles"])
+def _partners(tokens: DataFrame, percent: int) -> DataFrame:
+    """The rows whose token stands in another set of a size that may link, copies once; `before`: the next smaller such set."""
+    by_size = W.partitionBy("token").orderBy("n", "key")
+    once = tokens.withColumn("_p", F.lag("key").over(by_size)).filter("_p is null or _p <> key")
+    near = once.select(
+        "token", "key", "n",
+        F.lag("key").over(by_size).alias("_l"), F.lag("n").over(by_size).alias("_ln"), F.lead("n").over(by_size).alias("_rn"),
+    )
+    left, right = F.col("_ln") * 100 >= F.col("n") * percent, F.col("n") * 100 >= F.col("_rn") * percent
+    return near.filter(left | right).select("token", "key", "n", F.when(left, F.col("_l")).alias("before"))
 
-    return run, "doc_id long, block long, tile int, tiles int, shingles binary"
+
+def _candidates(tokens: DataFrame, percent: int, share: int, rounds: int = 3) -> DataFrame:
+    """Pairs (u, v) of set keys that connect every two sets which may link.
+
+    A set with fewer shared tokens than a link needs goes, and with it what others shared with it alone; after
+    `rounds` of that, neighbours in the postings (in order of size) are paired. No posting is written out as pairs.
+    """
+    left = staged(_partners(tokens, percent), "postings")
+    for _ in range(rounds - 1):
+        need = F.floor(F.ceil(F.col("n") * percent / 100) * share / 100) + 1
+        enough = left.groupBy("key").agg(F.count("*").alias("shared"), F.first("n").alias("n")).filter(F.col("shared") >= need).select("key")
+        left = staged(_partners(left.select("token", "key", "n").join(enough, "key"), percent), "postings")
+    return left.filter("before is not null").select(F.col("key").alias("u"), F.col("before").alias("v")).distinct()
 
 
 COLUMNS = 4096
@@ -168,12 +253,12 @@ def product_links(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, p
     return forest
 
 
-def _cell(percent: int):
+def _cell(size: int, percent: int):
     def run(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
         _, first, second = key
-        ids = frame["doc_id"].to_numpy()
-        sets = [np.frombuffer(raw, dtype=np.uint64) for raw in frame["shingles"]]
-        tile = frame["tile"].to_numpy()
+        shingles = Shingles(size)
+        ids, tile = frame["doc_id"].to_numpy(), frame["tile"].to_numpy()
+        sets = [shingles.of(bytes(data)) for data in frame["data"]]
         left, right = np.nonzero(tile == first)[0], np.nonzero(tile == second)[0]
         links = product_links(sets, left, right, percent) if len(left) and len(right) else []
         return pd.DataFrame({"u": [ids[i] for i, _ in links], "v": [ids[j] for _, j in links]}, dtype="int64")
@@ -181,18 +266,20 @@ def _cell(percent: int):
     return run
 
 
-def jaccard_components(docs: DataFrame, size: int = 5, percent: int = 80, tile_rows: int = 64, most_tiles: int = 24, tile_shingles: int = 4_000_000) -> DataFrame:
+def jaccard_components(docs: DataFrame, size: int = 5, percent: int = 80, share: int = 10, tile_rows: int = 64, most_tiles: int = 24, tile_shingles: int = 4_000_000) -> DataFrame:
     """Links documents of `docs` (doc_id, text) whose shingle sets have a Jaccard similarity of percent % or more.
 
     Returns per document: doc_id, n_shingles (0 for null and blank texts, which link with nothing), class_id (the
-    smallest doc_id with the same set) and component_id (the smallest doc_id reachable by links). Every link between
+    smallest doc_id with the same set) and component_id (the smallest doc_id reachable by links). A row without doc_id
+    links with its copies only, under their id. Every link between
     different sets is checked on the whole sets; equal sets are one class and never compared. Repeated rows are
     copies; other columns of `docs` are ignored; an empty table gives no rows. Sets are compared by 64-bit hashes
     of shingles.
 
     1. Equal sets are grouped by a 128-bit hash. 2. Sets are ordered rarest shingle first (by counts over all
-    documents in 2^20 buckets; any order is exact, this one keeps common passages out), and two classes that share
-    a shingle of their size-derived prefixes fall in one block. 3. Blocks are cut into tiles, the sparse product of
+    documents in 2^20 buckets; any order is exact, this one keeps common passages out). A class whose size-derived
+    prefix shares less than a link needs is left out; the others fall in blocks that no link leaves. Texts are read
+    a third time for the blocks alone. 3. Blocks are cut into tiles, the sparse product of
     each pair of tiles is one task of bounded size, which returns a spanning forest of its links.
     """
     rows = docs.select("doc_id", F.col("text").cast("binary").alias("data"))
@@ -204,29 +291,25 @@ def jaccard_components(docs: DataFrame, size: int = 5, percent: int = 80, tile_r
         load[r["part"] * (BUCKETS // 64) : (r["part"] + 1) * (BUCKETS // 64)] = np.frombuffer(r["counts"], dtype=np.int64)
     load = np.minimum(load, np.iinfo(np.int32).max).astype(np.int32)
 
-    sized = made.filter("counts is null and doc_id is not null").select("doc_id", "n_shingles", "set_key")
+    sized = made.filter("counts is null").select("doc_id", "n_shingles", "set_key", "key")
     full = sized.filter("set_key is not null")
-    firsts = staged(full.groupBy("set_key").agg(F.min("doc_id").alias("class_id"), F.first("n_shingles").alias("n_shingles")), "classes")
-    ids = firsts.select(F.col("class_id").alias("doc_id"), "n_shingles")
-    unique = rows.join(ids, "doc_id", "left_semi").dropDuplicates(["doc_id"]) if _repeats(sized) else rows.join(ids, "doc_id", "left_semi")
-
-    prefix, schema = _prefixes(size, percent, load)
-    shared = unique.mapInArrow(prefix, schema).select("token", "doc_id", F.lag("doc_id").over(W.partitionBy("token").orderBy("doc_id")).alias("other"))
-    near = components(shared.filter("other is not null and other <> doc_id").select(F.col("doc_id").alias("u"), F.col("other").alias("v")).distinct(), "blocks")
-    near = near.select(F.col("node").alias("doc_id"), F.col("component").alias("block"))
+    firsts = staged(full.groupBy("set_key").agg(F.min("doc_id").alias("class_id"), F.first("n_shingles").alias("n_shingles"), F.first("key").alias("key")), "classes")
 
-    counted = near.join(ids, "doc_id")
+    prefix, schema = _prefixes(size, percent, share, load)
+    near = components(_candidates(rows.mapInArrow(prefix, schema), percent, share), "blocks")
+    counted = near.join(firsts, near["node"] == firsts["key"]).select(F.col("class_id").alias("doc_id"), F.col("component").alias("block"), "n_shingles")
+    counted = staged(counted.filter("doc_id is not null"), "blocks")
     extent = counted.groupBy("block").agg(F.count("*").alias("members"), F.sum("n_shingles").alias("total"))
     tiles = F.greatest(F.least(F.ceil(F.col("members") / tile_rows), F.lit(most_tiles)), F.ceil(F.col("total") / tile_shingles)).cast("int")
-    tiled = near.join(extent.select("block", tiles.alias("tiles")), "block").select(
+    tiled = counted.join(extent.select("block", tiles.alias("tiles")), "block").select(
         "doc_id", "block", F.pmod(F.xxhash64("doc_id"), "tiles").cast("int").alias("tile"), "tiles"
     )
-    attach, schema = _sets(size)
-    members = unique.join(tiled, "doc_id").select("doc_id", "block", "tile", "tiles", "data").mapInArrow(attach, schema)
+    texts = rows_of(rows, counted)
+    members = (texts.dropDuplicates(["doc_id"]) if _repeats(sized) else texts).join(tiled, "doc_id")
     cells = members.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1))).select(
-        "doc_id", "block", "tile", F.least("tile", "other").alias("first"), F.greatest("tile", "other").alias("second"), "shingles"
+        "doc_id", "block", "tile", F.least("tile", "other").alias("first"), F.greatest("tile", "other").alias("second"), "data"
     )
-    links = cells.groupBy("block", "first", "second").applyInPandas(_cell(percent), "u long, v long")
+    links = cells.groupBy("block", "first", "second").applyInPandas(_cell(size, percent), "u long, v long")
     merged = components(links, "links")
 
     classes = firsts.join(merged, F.col("class_id") == F.col("node"), "left").select("set_key", "class_id", F.coalesce("component", "class_id").alias("component_id"))
