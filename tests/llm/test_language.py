@@ -16,8 +16,9 @@ def test_held_out_accuracy(spark):
 
 def test_mixture_of_two_languages(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", "lang")
-    texts = {lang: [r["text"] for r in docs.filter((F.col("lang") == lang) & ~learnable(F.col("doc_id"))).limit(3).collect()] for lang in ("de", "en")}
+    texts = {lang: [r["text"] for r in docs.filter((F.col("lang") == lang) & ~learnable(F.col("doc_id"))).orderBy(F.desc(F.length("text")), "doc_id").limit(3).collect()] for lang in ("de", "en")}
     words = [(" ".join(texts["en"])).split()[:300], (" ".join(texts["de"])).split()[:100]]
+    assert [len(w) for w in words] == [300, 100]
     frame = spark.createDataFrame([(1, " ".join(words[0] + words[1]), None, 0.0, "")], SCHEMA)
     row = language.identify(frame, labelled=docs.filter(learnable(F.col("doc_id")))).first()
     assert row["lang_pred"] == "en" and {"de", "en"} <= set(row["mixture"])
