@@ -24,14 +24,24 @@ SYLLABLES = {"latin": ("ba", "den", "fal", "gor", "hal", "jen", "kel", "lam", "m
              "cyrillic": ("ба", "ден", "гор", "кал", "лев", "мир", "нов", "пет", "рос", "сав", "тор", "ур", "фед", "хом", "чер", "яр")}
 
 _TITLE = "|".join(t for names in TITLES.values() for t in names)
+#: A word of a name; a possessive 's is not part of it.
+_WORD = r"\p{Lu}(?:[\p{L}\p{M}]+|'[\p{L}\p{M}]+)(?:-[\p{L}\p{M}]+|['’][\p{L}\p{M}]{2,}){0,3}"
+#: What assigns a secret, and its value: up to the closing quote, or else up to white space, a quote, an angle bracket or
+#: the next assignment of a list, without punctuation at its end. Repetition is possessive, so length costs no stack.
+_ASSIGNED = r"(?i:token|secret|password|passwd|api[_-]?key|access[_-]?key)\\?[\"']?\s{0,3}[=:]{1,2}>?\s{0,3}"
+_QUOTED = r"\"(?:[^\"\\\r\n]|\\.)++\"|'(?:[^'\\\r\n]|\\.)++'"
+_BARE = r"(?:(?![&;,][\w.-]{1,32}=)[.,;:!?)\]}\\]*+[^\s\"'<>.,;:!?)\]}\\])++"
+#: Phones: after a plus, groups with 5 digits or more in all, or 7 or more without a separator; else dotted forms and forms after a 1.
+_PLUS = r"\+(?=\d{1,6}[ .(-]|\d{7})(?=(?:[ .()-]{0,2}\d){5})\d{1,15}(?:[ .-]\d(?=[ .-]\d\d))?(?:[ .-]?\(\d{1,4}\)[ .-]?\d{2,12}|[ .-]\d{2,12}){0,6}(?!\d)"
+_NATIONAL = r"1[ .-]?\(\d{3}\)[ .-]?\d{3}[ .-]?\d{4}|1[ .-]\d{3}[ .-]\d{3}[ .-]\d{4}|\d{3}\.\d{3}\.\d{4}"
 PATTERNS = {
     "email": rf"(?<![{_L}._%+-])[{_L}][{_L}._%+-]{{0,63}}@[{_L}-]{{1,63}}(?:\.[{_L}-]{{1,63}}){{0,6}}\.\p{{L}}{{2,24}}",
-    "secret": rf"{_EDGE}(?i:token|secret|password|passwd|api[_-]?key|access[_-]?key)\s{{0,3}}[=:]\s{{0,3}}[\"']?[A-Za-z0-9+/_-]{{8,128}}[\"']?",
-    "phone": rf"(?<![{_L}+])(?:\+\d{{1,3}}[ .-]?)(?:\(\d{{1,4}}\)[ .-]?)?\d{{2,4}}(?:[ .-]\d{{2,4}}){{1,4}}(?!\d)|(?<![{_L}])\(\d{{3}}\) ?\d{{3}}-\d{{4}}(?!\d)|(?<![{_L}-])\d{{3}}-\d{{3}}-\d{{4}}(?![\d-])",
+    "secret": rf"{_EDGE}{_ASSIGNED}(?:{_QUOTED}|\\?[\"']?{_BARE})",
+    "phone": rf"(?<![{_L}+]){_PLUS}|(?<![{_L}])\(\d{{3}}\)[ .-]?\d{{3}}[ .-]\d{{4}}(?!\d)|(?<![{_L}-])\d{{3}}-\d{{3}}-\d{{4}}(?![\d-])|(?<![{_L}+.-])(?:{_NATIONAL})(?!\d|[.-]\d)",
     "ssn": r"(?<![\p{L}\p{N}-])\d{3}-\d{2}-\d{4}(?![\d-])",
     "card": r"(?<![\p{L}\p{N}.-])(?:\d{4}(?:[ -]\d{4}){3}|\d{13,19})(?![\p{L}\p{N}])",
     "ip": rf"(?<![{_L}.]){_OCTET}(?:\.{_OCTET}){{3}}(?!\.?\d)",
-    "name": rf"{_EDGE}(?:{_TITLE})\.? \p{{Lu}}[\p{{L}}'-]{{1,30}}(?: \p{{Lu}}[\p{{L}}'-]{{1,30}})?",
+    "name": rf"{_EDGE}(?:{_TITLE})\.? {_WORD}(?: {_WORD})?",
 }
 UNION = "|".join(f"(?:{p})" for p in PATTERNS.values())
 #: What every match holds; read before the patterns are tried.
@@ -51,15 +61,16 @@ def _luhn(digits: Column, doubled_first: bool) -> Column:
 
 
 def entity_type(mention: Column) -> Column:
-    """The kind of a match of UNION, by the pattern that it fits whole; null for numbers that fail the Luhn sum."""
+    """The kind of a match of UNION, by the pattern that it fits whole; null for numbers that fail the Luhn sum and for
+    secrets without a letter or digit."""
     fits = lambda kind: mention.rlike(rf"^(?:{PATTERNS[kind]})$")
     found = F.when(fits("email"), F.lit("email"))
     for kind in ("secret", "phone", "ssn", "ip", "name"):
-        found = found.when(fits(kind), F.lit(kind))
+        found = found.when(fits(kind) & F.regexp_extract(mention, _VALUE, 2).rlike(r"[\p{L}\p{N}]") if kind == "secret" else fits(kind), F.lit(kind))
     return found.when(fits("card") & (_luhn(_digits(mention), False) % 10 == 0), F.lit("card"))
 
 
-_VALUE = r"^(?s)(.*?[=:]\s*[\"']?)([A-Za-z0-9+/_-]+)([\"']?)$"
+_VALUE = rf"^(?s)({_ASSIGNED}(?:\\?[\"'])?)(.+?)([\"']?)$"
 _NAME = rf"^({_TITLE})(\.? )(.*)$"
 
 
@@ -104,7 +115,8 @@ def surrogate(key: str, kind: Column, entity: Column, attempt: Column) -> Column
     body = F.concat(F.substr(entity, F.lit(1), F.lit(1)), _same_shape(F.substr(entity, F.lit(2), size - 2), h))
     card = F.concat(body, ((10 - _luhn(body, True) % 10) % 10).cast("string"))
     ip = F.concat_ws(".", F.lit("10"), *(_draw(h, i).cast("string") for i in (0, 1)), (_draw(h, 2) % 254 + 1).cast("string"))
-    secret = F.when(entity.rlike("^[0-9a-f]+$") | entity.rlike("^[0-9A-F]+$"), _same_shape(entity, h, True)).otherwise(_same_shape(entity, h))
+    drawn = F.when(entity.rlike("^[0-9a-f]+$") | entity.rlike("^[0-9A-F]+$"), _same_shape(entity, h, True)).otherwise(_same_shape(entity, h))
+    secret = F.when(attempt > 2, F.substr(h, F.lit(1), F.lit(24))).otherwise(drawn)
     gender, full = F.substr(entity, F.lit(1), F.lit(1)), F.substr(entity, F.lit(3), size)
     given, family = F.substring_index(full, " ", 1), F.substring_index(full, " ", -1)
     by_script = []
@@ -147,11 +159,28 @@ def surrogate_table(entities: DataFrame, key: str) -> DataFrame:
         now = checked.select("kind", "entity", (F.col("attempt") + F.col("again").cast("int")).alias("attempt"))
 
 
+def _untitled(mention: Column, new: Column) -> Column:
+    """What a titled name (and its surrogate) is called without the title: in full, by its last and by its first word, also in capitals."""
+    old, now = F.regexp_extract(mention, _NAME, 3), F.regexp_extract(new, _NAME, 3)
+    pair = lambda a, b: F.struct(a.alias("old"), b.alias("new"))
+    pairs = F.array(pair(old, now), *(pair(F.substring_index(old, " ", k), F.substring_index(now, " ", k)) for k in (-1, 1)))
+    return F.concat(pairs, F.transform(pairs, lambda p: pair(F.upper(p["old"]), F.upper(p["new"]))))
+
+
+def _renamed(part: Column, pattern: Column, names: Column) -> Column:
+    """(text, n): a piece of text with the matches of `pattern` replaced by the map `names`."""
+    found, between = F.regexp_extract_all(part, pattern, F.lit(0)), F.split(part, pattern, -1)
+    follow = F.flatten(F.transform(found, lambda m, i: F.array(F.element_at(names, m), F.element_at(between, i + 2))))
+    return F.struct(F.array_join(F.concat(F.array(F.element_at(between, 1)), follow), "").alias("text"), F.size(found).alias("n"))
+
+
 def pseudonymise(docs: DataFrame, key: str = "provenir") -> DataFrame:
     """`docs` with personal data and secrets in `text` replaced, and n_replaced (long), the places replaced.
 
     Emails, phone numbers, social security and card numbers (Luhn-valid), IPv4 addresses, assigned secrets and names
-    after a title are detected in whole texts. One entity has one surrogate in all documents and all its formats;
+    after a title are detected in whole texts; a secret is the whole value, of any length, that holds a letter or digit.
+    A name that stands after a title is replaced in the whole of its text: with and without the title, in full, by its
+    first and by its last word (persons of one text that share such a word share what the first by order gets). One entity has one surrogate in all documents and all its formats;
     two entities never share one; the same key gives the same surrogates. Null texts stay null, texts without an
     entity come back unchanged, repeated rows are treated alike; other columns pass; an empty table gives no rows.
     """
@@ -164,14 +193,22 @@ def pseudonymise(docs: DataFrame, key: str = "provenir") -> DataFrame:
     seen = held.select("_key", F.explode("_found").alias("mention")).distinct().withColumn("kind", entity_type(F.col("mention"))).filter("kind is not null")
     named = staged(seen.withColumn("entity", canonical(F.col("kind"), F.col("mention"))), "entities")
     table = surrogate_table(named.select("kind", "entity"), key)
-    changed = named.join(table, ["kind", "entity"]).select("_key", "mention", render(F.col("kind"), F.col("mention"), F.col("value")).alias("new"))
-    by_text = changed.groupBy("_key").agg(F.map_from_entries(F.collect_list(F.struct("mention", "new"))).alias("_new"))
+    changed = named.join(table, ["kind", "entity"]).select("_key", "kind", "mention", render(F.col("kind"), F.col("mention"), F.col("value")).alias("new"))
+    calls = F.flatten(F.array_sort(F.collect_list(F.when(F.col("kind") == "name", _untitled(F.col("mention"), F.col("new"))))))
+    by_text = changed.groupBy("_key").agg(F.map_from_entries(F.collect_list(F.struct("mention", "new"))).alias("_new"), calls.alias("_calls"))
+    longest = F.array_sort(F.array_distinct(F.transform("_calls", lambda c: F.struct((-F.length(c["old"])).alias("k"), c["old"].alias("old")))))
+    first = F.transform(longest, lambda w: F.struct(w["old"], F.element_at(F.filter("_calls", lambda c: c["old"] == w["old"]), 1)["new"]))
+    pattern = F.concat(F.lit(f"{_EDGE}(?:"), F.array_join(F.transform(longest, lambda w: w["old"]), "|"), F.lit(rf")(?![{_L}\p{{M}}])"))
+    by_text = by_text.select("_key", "_new", F.map_from_entries(first).alias("_names"), F.when(F.size("_calls") > 0, pattern).alias("_pattern"))
     none = F.create_map().cast("map<string,string>")
-    joined = held.join(by_text, "_key", "left").select("_row", "_found", F.split("text", UNION, -1).alias("_between"), F.coalesce("_new", none).alias("_map"))
-    follow = F.flatten(F.transform("_found", lambda m, i: F.array(F.coalesce(F.try_element_at("_map", m), m), F.element_at("_between", i + 2))))
+    whole = F.transform(F.split("text", UNION, -1), lambda part: F.struct(part.alias("text"), F.lit(0).alias("n")))
+    parts = F.when(F.col("_pattern").isNull(), whole).otherwise(F.transform(F.split("text", UNION, -1), lambda part: _renamed(part, F.col("_pattern"), F.col("_names"))))
+    joined = held.join(by_text, "_key", "left").select("_row", "_found", parts.alias("_parts"), F.coalesce("_new", none).alias("_map"))
+    follow = F.flatten(F.transform("_found", lambda m, i: F.array(F.coalesce(F.try_element_at("_map", m), m), F.element_at("_parts", i + 2)["text"])))
+    untitled = F.aggregate("_parts", F.lit(0), lambda n, part: n + part["n"])
     filled = joined.select(
-        F.col("_row").withField("text", F.array_join(F.concat(F.array(F.element_at("_between", 1)), follow), "")).alias("_row"),
-        F.size(F.filter("_found", lambda m: F.try_element_at("_map", m).isNotNull())).cast("long").alias("n_replaced"),
+        F.col("_row").withField("text", F.array_join(F.concat(F.array(F.element_at("_parts", 1)["text"]), follow), "")).alias("_row"),
+        (F.size(F.filter("_found", lambda m: F.try_element_at("_map", m).isNotNull())) + untitled).cast("long").alias("n_replaced"),
     )
     rest = marked.filter("not _flag").select("_row", F.lit(0).cast("long").alias("n_replaced"))
     return rest.unionByName(filled).select("_row.*", "n_replaced")

@@ -76,3 +76,31 @@ def test_clean_documents_stay(spark):
     joined = pii.pseudonymise(docs).join(docs.withColumnRenamed("text", "before"), "doc_id")
     assert joined.filter((F.col("n_replaced") == 0) & (F.col("text") != F.col("before"))).count() == 0
     assert joined.filter(F.col("text").rlike(r"@mail\d\.example\.com|555-\d{4}") & (F.col("n_replaced") == 0)).count() == 0
+
+
+def test_whole_secrets_phone_forms_and_untitled_names(spark):
+    jwt, long, wide = "eyJhbGciOi.eyJzdWIiOiIx.SflKxwRJSM-_x", "Ab3" * 70, "x9" * 20_000
+    texts = [
+        f"token={long} then", f"token: {jwt}.", "password: p@ss!word1, ok", "secret = 'two words 7' end", 'x {"password": "h7k2"} y', f"api_key={wide} z", "url?token=abc123&user=5 q", "password: h7k2.", "password: ...",
+        "a +15551234567 b", "a 555.123.4567 b", "a 1-800-555-1234 b", "a +49 30 12345678 b", "a 1 (800) 555-1234 b", "version 1.555.123.45678 and 2024.01.02", "a +44 (0) 20 7946 0958 b", "a +33 1 23 45 67 89 b",
+        "Mrs. Anna Smith came. Anna Smith spoke, Smith's car; ANNA SMITH left. Smithson and Annabel stayed. Mrs. Smith's", "Smith alone stays",
+    ]
+    got = {r["doc_id"]: (r["text"], r["n_replaced"]) for r in pii.pseudonymise(frame(spark, enumerate(texts))).collect()}
+    shown = lambda k, pattern: re.fullmatch(pattern, got[k][0])
+    assert shown(0, r"token=[A-Za-z0-9]{210} then") and not any(got[0][0][6 + i : 14 + i] == long[i : i + 8] for i in range(200))
+    assert shown(1, r"token: \w{10}\.\w{12}\.\w{10}-_\w\.") and not any(p in got[1][0] for p in jwt.split(".")[:2])
+    assert shown(2, r"password: [a-z]@[a-z]{2}![a-z]{4}\d, ok") and "ss!word" not in got[2][0]
+    assert shown(3, r"secret = '[a-z]{3} [a-z]{5} \d' end") and "two words" not in got[3][0]
+    assert shown(4, r'x \{"password": "\w{4}"\} y') and "h7k2" not in got[4][0] and got[4][0][16:20] == got[7][0][10:14]
+    assert len(got[5][0]) == len(texts[5]) and wide[:20] not in got[5][0] and shown(6, r"url\?token=\w{6}&user=5 q") and "abc123" not in got[6][0]
+    assert got[8] == (texts[8], 0) and got[14] == (texts[14], 0) and got[18] == (texts[18], 0)
+    for k in (9, 10, 11, 12, 13, 15, 16):
+        assert got[k][1] == 1 and re.sub(r"\d", "0", got[k][0]) == re.sub(r"\d", "0", texts[k]) and got[k][0] != texts[k]
+    first, last = re.match(r"Mrs\. (\w+) (\w+) came", got[17][0]).groups()
+    said = f"Mrs. {first} {last} came. {first} {last} spoke, {last}'s car; {first.upper()} {last.upper()} left. Smithson and Annabel stayed. Mrs. {last}'s"
+    assert got[17] == (said, 5)
+
+
+def test_short_secrets_end(spark):
+    table = pii.surrogate_table(spark.createDataFrame([("secret", str(k)) for k in range(10)] + [("secret", "!1!")], "kind string, entity string"), "k").collect()
+    assert len({r["value"] for r in table}) == 11 and not {r["value"] for r in table} & {str(k) for k in range(10)}
