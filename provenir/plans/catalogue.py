@@ -442,7 +442,7 @@ def normalize_text_nfkc(spark, sf_dir):
 
 @query()
 def clean_html_text(spark, sf_dir):
-    return table(spark, sf_dir, "pages").select("page_id", text.clean_text(F.col("html"), 2000).alias("text"))
+    return table(spark, sf_dir, "pages").select("page_id", text.clean_text(F.col("html")).alias("text"))
 
 
 @query()

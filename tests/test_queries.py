@@ -6,6 +6,7 @@ import os
 import pytest
 
 import __spark_entry__ as entry
+from provenir.functions.text import plain_text
 from provenir.plans import catalogue
 
 SF = "/root/testdata/sf0.001"
@@ -53,3 +54,10 @@ def test_entry(spark):
 
 def test_root():
     assert os.path.exists(os.path.join(os.path.dirname(entry.__file__), "provenir"))
+
+
+def test_html_is_cleaned_whole(spark, tmp_path):
+    pages = {1: "<p>" + "some &amp; more <b>words</b> " * 500 + "</p>", 2: "short", 3: None}
+    spark.createDataFrame(list(pages.items()), "page_id long, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    got = {r["page_id"]: r["text"] for r in catalogue.QUERIES["clean_html_text"](spark, str(tmp_path)).collect()}
+    assert got == {k: plain_text(v) for k, v in pages.items()} and len(got[1]) > 8000
