@@ -253,6 +253,34 @@ def product_links(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, p
     return forest
 
 
+#: Rows of a tile that are multiplied at once.
+PART_ROWS = 1024
+
+
+def tile_links(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, percent: int, part_rows: int = PART_ROWS) -> list[tuple[int, int]]:
+    """`product_links` of tiles of any number of rows: part by part, so that no matrix has more than `part_rows` rows a side."""
+    root = list(range(len(sets)))
+
+    def find(x: int) -> int:
+        while root[x] != x:
+            root[x] = root[root[x]]
+            x = root[x]
+        return x
+
+    forest, same = [], np.array_equal(left, right)
+    for i in range(0, len(left), part_rows):
+        for j in range(i if same else 0, len(right), part_rows):
+            one, two = left[i : i + part_rows], right[j : j + part_rows]
+            held, at = np.unique(np.concatenate([one, two]), return_inverse=True)
+            for x, y in product_links([sets[k] for k in held], at[: len(one)], at[len(one) :], percent):
+                u, v = int(held[x]), int(held[y])
+                a, b = find(u), find(v)
+                if a != b:
+                    root[max(a, b)] = min(a, b)
+                    forest.append((u, v))
+    return forest
+
+
 def _cell(size: int, percent: int):
     def run(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
         _, first, second = key
@@ -260,7 +288,7 @@ def _cell(size: int, percent: int):
         ids, tile = frame["doc_id"].to_numpy(), frame["tile"].to_numpy()
         sets = [shingles.of(bytes(data)) for data in frame["data"]]
         left, right = np.nonzero(tile == first)[0], np.nonzero(tile == second)[0]
-        links = product_links(sets, left, right, percent) if len(left) and len(right) else []
+        links = tile_links(sets, left, right, percent) if len(left) and len(right) else []
         return pd.DataFrame({"u": [ids[i] for i, _ in links], "v": [ids[j] for _, j in links]}, dtype="int64")
 
     return run
@@ -280,7 +308,8 @@ def jaccard_components(docs: DataFrame, size: int = 5, percent: int = 80, share:
     documents in 2^20 buckets; any order is exact, this one keeps common passages out). A class whose size-derived
     prefix shares less than a link needs is left out; the others fall in blocks that no link leaves. Texts are read
     a third time for the blocks alone. 3. Blocks are cut into tiles, the sparse product of
-    each pair of tiles is one task of bounded size, which returns a spanning forest of its links.
+    each pair of tiles is one task, which multiplies PART_ROWS rows at a time whatever the block, and returns a spanning
+    forest of its links. The cap on tiles limits the copies of texts alone.
     """
     rows = docs.select("doc_id", F.col("text").cast("binary").alias("data"))
     summary, schema = _summaries(size)

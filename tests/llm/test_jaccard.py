@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pandas as pd
 import pytest
 
 from provenir.llm import jaccard
@@ -83,3 +84,25 @@ def test_components(spark):
     edges = [(k, k + 1) for k in range(0, 40)] + [(100, k) for k in range(101, 160)] + [(7, 7)]
     got = {r["node"]: r["component"] for r in components(spark.createDataFrame(edges, "u long, v long")).collect()}
     assert got == {k: 0 for k in range(41)} | {k: 100 for k in range(100, 160)}
+
+
+def test_tiles_are_multiplied_in_parts(monkeypatch):
+    pick = np.random.default_rng(9)
+    base = [np.unique(pick.integers(0, 1 << 60, 40)).astype(np.uint64) for _ in range(12)]
+    sets = [np.unique(np.concatenate([b[k:], pick.integers(0, 1 << 60, k).astype(np.uint64)])) for b in base for k in range(4)]
+    seen, product = [], jaccard.product_links
+    monkeypatch.setattr(jaccard, "product_links", lambda s, a, b, p: seen.append((len(a), len(b))) or product(s, a, b, p))
+
+    def groups(links):
+        root = list(range(len(sets)))
+        for u, v in links:
+            a, b = root[u], root[v]
+            root = [min(a, b) if r in (a, b) else r for r in root]
+        return root
+
+    every, even, odd = np.arange(len(sets)), np.arange(0, len(sets), 2), np.arange(1, len(sets), 2)
+    for left, right in ((every, every), (even, odd)):
+        assert groups(jaccard.tile_links(sets, left, right, 80, part_rows=7)) == groups(product(sets, left, right, 80))
+    assert max(map(max, seen)) == 7
+    frame = pd.DataFrame({"doc_id": range(40), "tile": 0, "data": [b"one two three four five six"] * 40})
+    assert len(jaccard._cell(5, 80)((0, 0, 0), frame)) == 39
