@@ -50,11 +50,12 @@ def _counts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array([lang] * len(gram), pa.string()), *columns], names=["lang", "context", "gram", "n"])
 
 
-def fit(labelled: DataFrame, most_rows: int = 2000, most_grams: int = 100_000, smoothing: float = 0.5) -> tuple[list[str], np.ndarray, np.ndarray]:
+def fit(labelled: DataFrame, most_rows: int = 2000, smoothing: float = 0.5) -> tuple[list[str], np.ndarray, np.ndarray]:
     """(languages, slots, log-likelihood of each slot under each language) from `labelled` (doc_id, text, lang).
 
     Per language about `most_rows` rows are taken, those with the smallest hashes of doc_id: the bound of the sample.
-    Of their letter trigrams (conditional on the first two) the `most_grams` most frequent are kept.
+    All their letter trigrams (conditional on the first two) are kept, rare ones and those of rare languages too; they
+    share SLOTS slots by hash, so the table is bounded.
     """
     known = labelled.filter("lang is not null and text is not null")
     sizes = {r["lang"]: r["count"] for r in known.groupBy("lang").count().collect()}
@@ -63,7 +64,7 @@ def fit(labelled: DataFrame, most_rows: int = 2000, most_grams: int = 100_000, s
     share = F.create_map(*(x for k, n in sizes.items() for x in (F.lit(k), F.lit(min(1.0, most_rows / n)))))
     drawn = known.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < share[F.col("lang")] * (1 << 20))
     counted = drawn.select("lang", "text").mapInArrow(_counts, "lang string, context long, gram long, n long").groupBy("lang", "context", "gram").agg(F.sum("n").alias("n"))
-    rows = counted.orderBy(F.desc("n"), "lang", "context", "gram").limit(most_grams).toPandas()
+    rows = counted.orderBy(F.desc("n"), "lang", "context", "gram").toPandas()
     languages = sorted(sizes)
     slots = np.unique(rows["gram"].to_numpy())
     table = np.empty((len(slots), len(languages)))
@@ -115,7 +116,7 @@ def proportions(likelihood: np.ndarray, starts: np.ndarray, penalty: float, roun
     best[np.arange(len(starts)), alone] = 1
     best_value = single[np.arange(len(starts)), alone]
     limit = np.add.reduceat(likelihood.max(1), starts)
-    for k in range(2, min(count, 4) + 1):
+    for k in range(2, count + 1):
         cost = (k - 1) * penalty * np.log(n + 1) / 2
         open_docs = np.nonzero(limit - cost > best_value)[0]
         if not len(open_docs):

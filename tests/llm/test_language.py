@@ -54,3 +54,22 @@ def test_em_finds_proportions():
     assert best[0, 2] == 0 and abs(best[0, 0] - 0.7) < 0.05
     alone = np.where(np.arange(3) == 1, -5.0, -9.0) * np.ones((50, 1))
     assert language.proportions(alone, np.array([0, 20]), 6.0).tolist() == [[0, 1, 0], [0, 1, 0]]
+
+
+def test_trigrams_of_rare_languages_are_kept(spark):
+    pick = np.random.default_rng(7)
+    rows = [(k, " ".join("".join(map(chr, 0x4E00 + pick.integers(0, 3000, 3))) for _ in range(600)), "zh", 0.0, "") for k in range(100)] * 2
+    rows += [(200 + k, " ".join("".join(pick.choice(list("abcdefghij"), 4)) for _ in range(20)), "rare", 0.0, "") for k in range(3)]
+    labelled = spark.createDataFrame(rows, SCHEMA)
+    languages, slots, table = language.fit(labelled)
+    grams = np.unique(np.concatenate([language._trigrams(r[1])[1] for r in rows]))
+    assert languages == ["rare", "zh"] and len(slots) == len(grams) > 100_000
+    got = language.identify(spark.createDataFrame([(1, rows[-1][1], None, 0.0, "")], SCHEMA), labelled=labelled).first()
+    assert got["lang_pred"] == "rare" and got["score"] == 1.0
+
+
+def test_sets_of_more_than_four_languages():
+    kind = np.repeat(np.arange(6), 200)
+    likelihood = np.where(np.arange(8) == kind[:, None], -5.0, -14.0)
+    best = language.proportions(likelihood, np.array([0]), 6.0)
+    assert np.abs(best[0] - np.array([1 / 6] * 6 + [0, 0])).max() < 0.01
