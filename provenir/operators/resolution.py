@@ -12,22 +12,44 @@ from ..functions.text import clean_text, first_truthy, normal_form, normalize_te
 MERGE_AT, REVIEW_AT, MOST_COMPARED = 96, 84, 50
 
 
-def _within_block(key, known: pd.DataFrame, wanted: pd.DataFrame) -> pd.DataFrame:
-    """Candidates of one block in batch order; each sees the companies made before it."""
-    companies = sorted(zip(known["company_id"], known["name_key"], known["first_seen_at"]), key=lambda c: (c[2], c[0]))
-    named = [(c, n) for c, n, _ in companies]
+def _within_group(key, known: pd.DataFrame, wanted: pd.DataFrame) -> pd.DataFrame:
+    """Candidates of connected blocks in batch order; each sees the companies made before it that hold its first word."""
+    companies = sorted(zip(known["company_id"], known["name_key"], known["first_seen_at"], known["block"]), key=lambda c: (c[2], c[0]))
+    blocks: dict[str, list[tuple[str, str]]] = {}
+    for c, n, _, block in companies:
+        blocks.setdefault(block, []).append((c, n))
     rows = []
     for w in wanted.sort_values(["pos"]).itertuples(index=False):
+        named = blocks.get(w.block, [])
         scored = sorted(((-token_set_similarity(w.name_key, n), i) for i, (_, n) in enumerate(named)))[:MOST_COMPARED]
         score = -scored[0][0] if scored else 0.0
         if score >= MERGE_AT:
             rows.append((w.pos, named[scored[0][1]][0], False, False, score))
             continue
         rows.append((w.pos, w.new_id, True, score >= REVIEW_AT, score))
-        named.append((w.new_id, w.name_key))
+        for word in dict.fromkeys(w.name_key.split(" ")):
+            blocks.setdefault(word, []).append((w.new_id, w.name_key))
     return pd.DataFrame(rows, columns=["pos", "company_id", "is_new", "needs_review", "score"])
 
 
+def _connected(asked: DataFrame) -> DataFrame:
+    """(block, group): blocks that a candidate's name connects, named by the smallest; only first words are blocks."""
+    blocks = asked.select("block").distinct()
+    words = asked.select("block", F.explode(F.array_distinct(F.split("name_key", " "))).alias("other"))
+    edges = words.join(blocks.select(F.col("block").alias("other")), "other").filter("block <> other").select("block", "other")
+    edges = edges.unionByName(edges.select(F.col("other").alias("block"), F.col("block").alias("other"))).distinct().persist()
+    groups = blocks.withColumn("group", F.col("block")).localCheckpoint()
+    while True:
+        near = edges.join(groups.select(F.col("block").alias("other"), "group"), "other").groupBy("block").agg(F.min("group").alias("near"))
+        hopped = groups.join(near, "block", "left").withColumn("next", F.least("group", "near")).select("block", "group", "next")
+        over = groups.select(F.col("block").alias("next"), F.col("group").alias("far"))
+        made = hopped.join(over, "next", "left").select("block", "group", F.least("next", "far").alias("next")).localCheckpoint()
+        groups = made.select("block", F.col("next").alias("group"))
+        if made.filter(F.col("next") != F.col("group")).isEmpty():
+            edges.unpersist()
+            return groups
+
+
 def prepared(candidates: DataFrame) -> DataFrame:
     """Candidates with canonical website, domain, name key, block and the id a new company would get."""
     site = urls.canonical_url(F.col("website"))
@@ -42,8 +64,8 @@ def resolve(existing: DataFrame, candidates: DataFrame) -> DataFrame:
 
     A known domain decides (oldest company first). Else the name is compared with the companies that hold its first
     word: 96 or more merges, 84 or more is left for review as a new company. Within a batch the order is `pos`:
-    candidates of one domain follow the first of them, and each name sees the companies made before it in its block.
-    A block (companies that hold one word) is one group; domains, blocks and ids shuffle once each.
+    candidates of one domain follow the first of them, and each name sees the companies made before it that hold its first
+    word anywhere. Blocks (companies that hold one word) that a name of the batch connects are one group, taken in order.
     """
     ready = prepared(candidates).persist()
     oldest = W.partitionBy("domain").orderBy("first_seen_at", "company_id")
@@ -55,7 +77,9 @@ def resolve(existing: DataFrame, candidates: DataFrame) -> DataFrame:
     asked = led.filter("known_id is null and pos = leader").select("pos", "name_key", "block", "new_id")
     words = existing.select("company_id", normalize_text("canonical_name").alias("name_key"), "first_seen_at").withColumn("block", F.explode(F.array_distinct(F.split("name_key", " "))))
     schema = "pos long, company_id string, is_new boolean, needs_review boolean, score double"
-    named = words.groupBy("block").cogroup(asked.groupBy("block")).applyInPandas(_within_block, schema).persist()
+    groups = _connected(asked).persist()
+    led_groups = groups.select("block", F.col("group").alias("joined"))
+    named = words.join(groups, "block").groupBy("group").cogroup(asked.join(led_groups, "block").groupBy("joined")).applyInPandas(_within_group, schema).persist()
     followers = led.filter("known_id is null and pos <> leader").select("pos", "leader")
     followed = followers.join(named.select(F.col("pos").alias("leader"), "company_id"), "leader").select("pos", "company_id", F.lit(False).alias("is_new"), F.lit(False).alias("needs_review"), F.lit(100.0).alias("score"))
     return found.unionByName(named).unionByName(followed)

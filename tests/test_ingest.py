@@ -280,3 +280,11 @@ def test_stream_of_snapshots(spark, tmp_path):
     assert got == {"a": ("active", 0), "b": ("closed", 2)}
     counts = stream.windowed_counts(spark.read.schema(schema).json(str(tmp_path / "in"))).collect()
     assert len(counts) == 2 and {r["n"] for r in counts} == {1}
+
+
+def test_companies_of_a_batch_meet_under_each_word(spark):
+    none = spark.createDataFrame([], TABLES["companies"])
+    made = resolved(spark, none, {"name": "Nepal Acme"}, {"name": "Himal Tea"}, {"name": "Tea"}, {"name": "Acme"}, {"name": "Acme Nepal"})[0]
+    one, two, three, four, five = made
+    assert one["is_new"] and two["is_new"] and not (three["is_new"] or four["is_new"] or five["is_new"])
+    assert three["company_id"] == two["company_id"] and one["company_id"] == four["company_id"] == five["company_id"]
