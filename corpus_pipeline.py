@@ -21,10 +21,23 @@ def keep_known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates: that with the smallest doc_id. Texts without a word stay."""
-    linked = jaccard.jaccard_components(docs, size=5, percent=80)
-    gone = linked.filter(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    """One row of each group of near-duplicates: that with the smallest doc_id. Texts without a word stay.
+
+    A group is made of rows: those that repeat a doc_id, share one with another text, or have none are members by their
+    text like any other. A row without doc_id is taken if no member has one; of repeated rows that with the smallest hash.
+    """
+    keyed = docs.select(F.xxhash64("doc_id", "text").alias("id"), F.struct(*docs.columns).alias("row"))
+    linked = jaccard.jaccard_components(keyed.select(F.col("id").alias("doc_id"), "row.text"), size=5, percent=80)
+    members = staged(linked.filter("n_shingles > 0").groupBy(F.col("doc_id").alias("id")).agg(F.first("component_id").alias("group"), F.count("*").alias("n")), "members")
+    named = members.join(keyed.select("id", "row.doc_id").distinct(), "id")
+    first = F.min_by("id", F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "id")).alias("id")
+    picked = staged(named.groupBy("group").agg(first).select("id"), "picked")
+    kept = keyed.join(members.join(picked, "id", "left_anti").select("id"), "id", "left_anti")
+    repeated = members.filter("n > 1").join(picked, "id", "left_semi").select("id")
+    if repeated.isEmpty():
+        return kept.select("row.*")
+    one = kept.join(repeated, "id", "left_semi").groupBy("id").agg(F.min_by("row", F.xxhash64(F.to_json("row"))).alias("row"))
+    return kept.join(repeated, "id", "left_anti").select("row.*").unionByName(one.select("row.*"))
 
 
 def replace_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

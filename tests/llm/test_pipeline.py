@@ -54,3 +54,11 @@ def test_nulls_empty_texts_and_clashing_columns(spark):
     for _, stage in p.STAGES:
         empty = staged(stage(spark, empty, SF), "empty") if stage is not p.pack_sequences else stage(spark, empty, SF)
         assert empty.count() == 0
+
+
+def test_one_row_of_each_group_whatever_its_ids(spark):
+    text = [" ".join(f"{w}{k}" for k in range(40)) for w in "abcd"]
+    near = text[0] + " end"
+    rows = [(1, text[0], "x"), (1, text[0], "x"), (1, text[0], "y"), (2, near, "x"), (None, text[0], "x"), (None, near, "x"), (None, text[1], "x"), (None, text[1], "x"), (3, text[2], "x"), (3, text[3], "x"), (4, text[3], "x"), (5, "", "x"), (5, "", "x"), (None, None, "x")]
+    got = [tuple(r) for r in p.drop_near_duplicates(spark, spark.createDataFrame(rows, "doc_id long, text string, source string"), SF).collect()]
+    assert sorted((str(k), t or "") for k, t, _ in got) == sorted([("1", text[0]), ("None", text[1]), ("3", text[2]), ("3", text[3]), ("5", ""), ("5", ""), ("None", "")])
