@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from ..functions import ids, rules, urls
 from ..functions.text import clean_text, first_truthy, normal_form, normalize_text, token_set_similarity, truthy
+from ..staging import staged
 
 MERGE_AT, REVIEW_AT, MOST_COMPARED = 96, 84, 50
 
@@ -38,12 +39,12 @@ def _connected(asked: DataFrame) -> DataFrame:
     words = asked.select("block", F.explode(F.array_distinct(F.split("name_key", " "))).alias("other"))
     edges = words.join(blocks.select(F.col("block").alias("other")), "other").filter("block <> other").select("block", "other")
     edges = edges.unionByName(edges.select(F.col("other").alias("block"), F.col("block").alias("other"))).distinct().persist()
-    groups = blocks.withColumn("group", F.col("block")).localCheckpoint()
+    groups = staged(blocks.withColumn("group", F.col("block")), "groups")
     while True:
         near = edges.join(groups.select(F.col("block").alias("other"), "group"), "other").groupBy("block").agg(F.min("group").alias("near"))
         hopped = groups.join(near, "block", "left").withColumn("next", F.least("group", "near")).select("block", "group", "next")
         over = groups.select(F.col("block").alias("next"), F.col("group").alias("far"))
-        made = hopped.join(over, "next", "left").select("block", "group", F.least("next", "far").alias("next")).localCheckpoint()
+        made = staged(hopped.join(over, "next", "left").select("block", "group", F.least("next", "far").alias("next")), "groups")
         groups = made.select("block", F.col("next").alias("group"))
         if made.filter(F.col("next") != F.col("group")).isEmpty():
             edges.unpersist()

@@ -3,17 +3,24 @@
 from __future__ import annotations
 
 import json
+import re
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 from ..schemas import TABLES, empty
 
 
+class StaleWrite(RuntimeError):
+    """Another writer committed the same version first; read again and redo the change."""
+
+
 class Store:
     """Tables of `schemas.TABLES` below `root` (any file system that Spark reads).
 
-    A commit writes the changed tables as new snapshots and then replaces the pointer, which names a snapshot for
-    each table. Readers of the old pointer keep a whole version; a failed commit leaves it in place.
+    A commit writes the changed tables as new snapshots and then creates a pointer of its own, `CURRENT.<version>.json`,
+    which names a snapshot for each table. Nothing is deleted or written over: readers take the largest pointer, so a
+    commit that fails at any step leaves the last version in place, and of two writers of one version the second fails.
     """
 
     def __init__(self, spark: SparkSession, root: str):
@@ -21,34 +28,59 @@ class Store:
 
     def _path(self, name: str):
         jvm = self.spark._jvm
-        path = jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
+        path = jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}" if name else self.root)
         return path, path.getFileSystem(self.spark._jsc.hadoopConfiguration())
 
-    def _pointer(self) -> dict:
-        path, fs = self._path("CURRENT.json")
+    def version(self) -> int:
+        """The last version that is whole; 0 for none."""
+        path, fs = self._path("")
         if not fs.exists(path):
+            return 0
+        found = (re.fullmatch(r"CURRENT\.(\d+)\.json", s.getPath().getName()) for s in fs.listStatus(path))
+        return max((int(m[1]) for m in found if m), default=0)
+
+    def _pointer(self) -> dict:
+        version = self.version()
+        if not version:
             return {"version": 0, "tables": {}}
-        return json.loads(self.spark.read.text(f"{self.root}/CURRENT.json", wholetext=True).first()[0])
+        return json.loads(self.spark.read.text(f"{self.root}/CURRENT.{version}.json", wholetext=True).first()[0])
 
     def read(self, name: str) -> DataFrame:
-        at = self._pointer()["tables"].get(name)
-        return self.spark.read.schema(TABLES[name]).parquet(f"{self.root}/{name}/v{at}") if at else empty(self.spark, name)
+        return self._read(self._pointer(), name)
+
+    def _read(self, pointer: dict, name: str) -> DataFrame:
+        at = pointer["tables"].get(name)
+        return self.spark.read.schema(TABLES[name]).parquet(f"{self.root}/{name}/{at}") if at else empty(self.spark, name)
 
     def tables(self) -> dict[str, DataFrame]:
-        return {name: self.read(name) for name in TABLES}
+        """Every table, all of one version."""
+        pointer = self._pointer()
+        return {name: self._read(pointer, name) for name in TABLES}
 
-    def commit(self, changes: dict[str, DataFrame]) -> int:
+    def commit(self, changes: dict[str, DataFrame], notes: dict | None = None, base: int | None = None) -> int:
+        """Makes `changes` the next version, with `notes` kept beside the pointer. `base`: the version they were read from."""
         now = self._pointer()
+        if base is not None and base != now["version"]:
+            raise StaleWrite(f"version {now['version']} is there, the change was made on {base}")
         version = now["version"] + 1
+        snapshot = f"v{version}-{uuid.uuid4().hex[:8]}"
         for name, rows in changes.items():
             wanted = empty(self.spark, name).schema
-            rows.select(*(rows[f.name].cast(f.dataType).alias(f.name) for f in wanted)).write.mode("overwrite").parquet(f"{self.root}/{name}/v{version}")
-        pointer = {"version": version, "tables": now["tables"] | {name: version for name in changes}}
-        draft, fs = self._path(f"CURRENT.json.{version}")
-        out = fs.create(draft, True)
-        out.write(bytearray(json.dumps(pointer).encode()))
-        out.close()
-        final, _ = self._path("CURRENT.json")
-        fs.delete(final, False)
-        fs.rename(draft, final)
+            rows.select(*(rows[f.name].cast(f.dataType).alias(f.name) for f in wanted)).write.parquet(f"{self.root}/{name}/{snapshot}")
+        pointer = {"version": version, "tables": now["tables"] | {name: snapshot for name in changes}, "notes": now.get("notes", {}) | (notes or {})}
+        self._publish(version, json.dumps(pointer).encode())
         return version
+
+    def _publish(self, version: int, content: bytes) -> None:
+        """The pointer appears whole: written aside, then renamed to a name that must not exist yet."""
+        draft, fs = self._path(f"draft-{uuid.uuid4().hex}")
+        out = fs.create(draft, False)
+        out.write(bytearray(content))
+        out.close()
+        final, _ = self._path(f"CURRENT.{version}.json")
+        if fs.exists(final) or not fs.rename(draft, final):
+            fs.delete(draft, False)
+            raise StaleWrite(f"version {version} was committed by another writer")
+
+    def notes(self) -> dict:
+        return self._pointer().get("notes", {})
