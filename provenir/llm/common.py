@@ -2,35 +2,18 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window as W
 from pyspark.sql import functions as F
 
+from ..staging import staged, unstage
+
 #: ASCII white space as the word contracts name it.
 WORD = r"[^\x20\x09-\x0D]+"
 SPACE = r"[\x20\x09-\x0D]+"
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder every executor sees: spark.checkpoint.dir, or one of our own where it is unset."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        found = getattr(shared_dir, "own", None) or tempfile.mkdtemp(prefix="provenir-")
-        shared_dir.own = found
-    return found
-
-
-def staged(df: DataFrame, label: str, **options: str) -> DataFrame:
-    """`df` written as Parquet in the shared folder and read back: computed once, survives lost executors."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
-    df.write.options(**options).parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def documents(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet").select(*(columns or ("*",)))
 
@@ -67,7 +50,8 @@ def components(edges: DataFrame, label: str = "components") -> DataFrame:
 
     Alternates large-star and small-star contractions; every round is staged in the shared folder, hubs are
     reduced by partial aggregates and joined back (a join that adaptive execution can split), and nothing but
-    two numbers a round reaches the driver. Nodes without an edge are not returned.
+    two numbers a round reaches the driver; a round's table goes once the next is whole. Null and looped edges are left
+    out, repeated ones count once. Nodes without an edge are not returned.
     """
     now = staged(edges.filter("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), label)
     seen = None
@@ -76,7 +60,8 @@ def components(edges: DataFrame, label: str = "components") -> DataFrame:
         if state == seen:
             break
         seen = state
-        now = staged(_stars(now), label)
+        last, now = now, staged(_stars(now), label)
+        unstage(last)
     roots = now.groupBy("u").agg(F.min("v").alias("v"))
     return roots.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(
         roots.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()

@@ -2,16 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+import math
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window as W
+from pyspark.sql import Column, DataFrame, Window as W
 from pyspark.sql import functions as F
 
-from .common import components, staged
+from .common import components, staged, unstage
 
 BUCKETS = 1 << 20
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
@@ -79,64 +80,74 @@ def _batch(*columns: list) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["doc_id", "n_shingles", "set_key", "key", "counts"])
 
 
-MARKS = 1 << 25
+def _merged(kind: type, combine: Callable[[np.ndarray, np.ndarray], np.ndarray]):
+    """Combines arrays (bytes) of equal part number."""
 
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for part, raw in zip(batch.column(0).to_pylist(), batch.column(1)):
+                own = np.frombuffer(raw.as_py(), dtype=kind)
+                total[part] = combine(total[part], own) if part in total else own
+        yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int64()), pa.array([x.tobytes() for x in total.values()], pa.binary())], names=["part", "data"])
+
+    return run
 
-def _mark(ids: pa.Array) -> np.ndarray:
-    """Places of ids in a bitmap of MARKS bits."""
-    return ((ids.fill_null(0).to_numpy(zero_copy_only=False).astype(np.uint64) * _MULTIPLIER) >> np.uint64(39)).astype(np.int64)
 
+def _gathered(parts: DataFrame, kind: type, combine: Callable[[np.ndarray, np.ndarray], np.ndarray], size: int) -> np.ndarray:
+    """The whole array of `size` items that 64 numbered parts (part, data) make, combined over tasks on the executors."""
+    out = np.zeros(size, dtype=kind)
+    for r in parts.repartition("part").mapInArrow(_merged(kind, combine), "part long, data binary").collect():
+        width = size // 64
+        out[r["part"] * width : (r["part"] + 1) * width] = np.frombuffer(r["data"], dtype=kind)
+    return out
 
-def _marked(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    bits = np.zeros(MARKS // 8, dtype=np.uint8)
-    for batch in batches:
-        at = _mark(batch.column(0))
-        np.bitwise_or.at(bits, at >> 3, (1 << (at & 7)).astype(np.uint8))
-    if bits.any():
-        yield pa.RecordBatch.from_arrays([pa.array(range(64), pa.int64()), pa.array([p.tobytes() for p in bits.reshape(64, -1)], pa.binary())], names=["part", "bits"])
 
+#: Bits of the bitmap of wanted ids, each way from what small tables need to 64 MB.
+LEAST_MARKS, MOST_MARKS = 1 << 20, 1 << 29
 
-def _united(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    total: dict[int, np.ndarray] = {}
-    for batch in batches:
-        for part, raw in zip(batch.column(0).to_pylist(), batch.column(1)):
-            bits = np.frombuffer(raw.as_py(), dtype=np.uint8)
-            total[part] = total[part] | bits if part in total else bits
-    yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int64()), pa.array([b.tobytes() for b in total.values()], pa.binary())], names=["part", "bits"])
 
+def _mark(ids: pa.Array, marks: int) -> np.ndarray:
+    """Places of ids in a bitmap of `marks` bits."""
+    shift = np.uint64(64 - marks.bit_length() + 1)
+    return ((ids.fill_null(0).to_numpy(zero_copy_only=False).astype(np.uint64) * _MULTIPLIER) >> shift).astype(np.int64)
 
-def _holding(bits: np.ndarray):
+
+def _marked(marks: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = np.zeros(marks // 8, dtype=np.uint8)
         for batch in batches:
-            at = _mark(batch.column(0))
-            yield batch.filter(pa.array((bits[at >> 3] >> (at & 7)) & 1 == 1))
+            at = _mark(batch.column(0), marks)
+            np.bitwise_or.at(bits, at >> 3, (1 << (at & 7)).astype(np.uint8))
+        if bits.any():
+            yield pa.RecordBatch.from_arrays([pa.array(range(64), pa.int64()), pa.array([p.tobytes() for p in bits.reshape(64, -1)], pa.binary())], names=["part", "data"])
 
     return run
 
 
-def rows_of(rows: DataFrame, wanted: DataFrame) -> DataFrame:
-    """`rows` (doc_id, data) without most of those that `wanted` (doc_id) lacks, to be joined with it.
+def _holding(bits: np.ndarray, marks: int, size: int):
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingles = Shingles(size)
+        for batch in batches:
+            at = _mark(batch.column(0), marks)
+            held = batch.filter(pa.array((bits[at >> 3] >> (at & 7)) & 1 == 1))
+            sets = (shingles.of(text) for _, text in _texts(held))
+            keys = [_short(_set_key(s)) if len(s) else None for s in sets]
+            yield pa.RecordBatch.from_arrays([held.column(0), pa.array(keys, pa.int64()), held.column(1)], names=["doc_id", "key", "data"])
+
+    return run
 
-    The wanted ids are marked in a bitmap of 4 MB, whatever their number; a row whose mark is not set is left where
-    it is, so that texts which no join needs are not shuffled.
+
+def texts_of(rows: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
+    """`rows` (doc_id, data) with the key of their set, without most of those that `wanted` (doc_id) lacks; to be joined with it.
+
+    The wanted ids are marked in a bitmap of 16 bits an id, 64 MB at most; a row whose mark is not set is left where it
+    is, so that texts which no join needs are not shuffled. A fuller bitmap lets more rows through and changes nothing else.
     """
-    bits = np.zeros(MARKS // 8, dtype=np.uint8)
-    width = len(bits) // 64
-    marks = wanted.select("doc_id").mapInArrow(_marked, "part long, bits binary").repartition("part").mapInArrow(_united, "part long, bits binary")
-    for r in marks.collect():
-        bits[r["part"] * width : (r["part"] + 1) * width] = np.frombuffer(r["bits"], dtype=np.uint8)
-    return rows.mapInArrow(_holding(bits), rows.schema)
-
-
-def _added_up(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    total: dict[int, np.ndarray] = {}
-    for batch in batches:
-        for part, raw in zip(batch.column(0).to_pylist(), batch.column(1)):
-            counts = np.frombuffer(raw.as_py(), dtype=np.int64)
-            total[part] = total[part] + counts if part in total else counts
-    yield pa.RecordBatch.from_arrays(
-        [pa.array(list(total), pa.int64()), pa.array([c.tobytes() for c in total.values()], pa.binary())], names=["part", "counts"]
-    )
+    n = max(1, wanted.count())
+    marks = min(MOST_MARKS, max(LEAST_MARKS, 1 << (16 * n - 1).bit_length()))
+    bits = _gathered(wanted.select("doc_id").mapInArrow(_marked(marks), "part long, data binary"), np.uint8, np.bitwise_or, marks // 8)
+    return rows.mapInArrow(_holding(bits, marks, size), "doc_id long, key long, data binary")
 
 
 def _needed(n: np.ndarray | int, percent: int):
@@ -153,86 +164,193 @@ def _prefixes(size: int, percent: int, share: int, load: np.ndarray):
     """The rarest shingles of each set, and how many of them a linked set must hold as well.
 
     In any common order two linked sets share l of their first n - needed + l. l is a share of n that grows with it,
-    and a partner holds at least percent % of n, so it is taken at that size.
+    and a partner holds at least percent % of n, so it is taken at that size. A task gives a set once, however many of
+    its documents have it, and joins the sets of one token and size among its own before it hands them on (`_joined`).
     """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingles = Shingles(size)
+        shingles, seen, join = Shingles(size), set(), _joined(percent)
+        tokens, keys, counts, sizes, held = [], [], [], [], 0
         for batch in batches:
-            keys, tokens, counts, sizes = [], [], [], []
             for _, text in _texts(batch):
                 s = shingles.of(text)
-                if not len(s):
+                key = _short(_set_key(s)) if len(s) else None
+                if key is None or key in seen:
                     continue
+                seen.add(key)
                 least = int(_needed(len(s), percent))
                 k = len(s) - least + int(_common(len(s), percent, share))
                 rare = s[np.lexsort((s, load[(s & np.uint64(BUCKETS - 1)).astype(np.int64)]))[:k]]
                 tokens.append(rare.view(np.int64))
-                keys.append(_short(_set_key(s)))
+                keys.append(key)
                 counts.append(len(rare))
                 sizes.append(len(s))
-            flat = np.concatenate(tokens) if tokens else np.empty(0, dtype=np.int64)
-            owner, n = (np.repeat(np.array(x, dtype=np.int64), np.array(counts, dtype=np.int64)) for x in (keys, sizes))
-            yield pa.RecordBatch.from_arrays([pa.array(flat), pa.array(owner), pa.array(n.astype(np.int32))], names=["token", "key", "n"])
+                held += len(rare)
+            if held >= CHUNK:
+                yield from join(*_flat(tokens, keys, counts, sizes))
+                tokens, keys, counts, sizes, held = [], [], [], [], 0
+        if held:
+            yield from join(*_flat(tokens, keys, counts, sizes))
+
+    return run
+
+
+def _flat(tokens: list[np.ndarray], keys: list[int], counts: list[int], sizes: list[int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    owner, n = (np.repeat(np.array(x, dtype=np.int64), np.array(counts, dtype=np.int64)) for x in (keys, sizes))
+    return np.concatenate(tokens), owner, n
+
+
+#: Postings that a task joins at once.
+CHUNK = 1 << 20
+POSTING = "place long, token long, key long, n int, bin int, other long, many boolean"
+
+
+def size_bin(n, percent: int):
+    """A number that differs by one at most between sets whose sizes allow a link."""
+    return np.floor(np.log(n) / (np.log(100 / percent) * (1 + 1e-6) + 1e-12)).astype(np.int32)
+
+
+def _joined(percent: int):
+    """Chunks of postings (token, key, n) as rows of POSTING, the sets of one token and bin joined with their first.
+
+    The first stands for them: its row goes to its token's place, with `many` if it stands for others too. The others
+    have a partner already; they go to a place of their own, so that a token held by very many sets is not gathered.
+    """
+
+    def run(token: np.ndarray, key: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
+        bins = size_bin(n, percent)
+        order = np.lexsort((key, bins, token))
+        token, key, n, bins = token[order], key[order], n[order], bins[order]
+        once = np.ones(len(token), dtype=bool)
+        once[1:] = (token[1:] != token[:-1]) | (key[1:] != key[:-1])
+        token, key, n, bins = token[once], key[once], n[once], bins[once]
+        first = np.ones(len(token), dtype=bool)
+        first[1:] = (token[1:] != token[:-1]) | (bins[1:] != bins[:-1])
+        at = np.nonzero(first)[0]
+        many = np.diff(np.append(at, len(token))) > 1
+        group = np.cumsum(first) - 1
+        own = (token.astype(np.uint64) * _MULTIPLIER + key.astype(np.uint64)).view(np.int64)
+        for start in range(0, len(token), 1 << 16):
+            cut = slice(start, start + (1 << 16))
+            lead = first[cut]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.where(lead, token[cut], own[cut])), pa.array(token[cut]), pa.array(key[cut]), pa.array(n[cut].astype(np.int32)), pa.array(bins[cut]),
+                 pa.array(key[at][group[cut]], mask=lead), pa.array(many[group[cut]])],
+                names=["place", "token", "key", "n", "bin", "other", "many"],
+            )
+
+    return run
 
-    return run, "token long, key long, n int"
 
+def _rejoined(percent: int):
+    """`_joined` over the batches of a task."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        join, held = _joined(percent), []
+        for batch in batches:
+            held.append([batch.column(c).to_numpy() for c in ("token", "key", "n")])
+            if sum(len(h[0]) for h in held) >= CHUNK:
+                yield from join(*(np.concatenate(c) for c in zip(*held)))
+                held = []
+        if held:
+            yield from join(*(np.concatenate(c) for c in zip(*held)))
 
-def _partners(tokens: DataFrame, percent: int) -> DataFrame:
-    """The rows whose token stands in another set of a size that may link, copies once; `before`: the next smaller such set."""
-    by_size = W.partitionBy("token").orderBy("n", "key")
-    once = tokens.withColumn("_p", F.lag("key").over(by_size)).filter("_p is null or _p <> key")
-    near = once.select(
-        "token", "key", "n",
-        F.lag("key").over(by_size).alias("_l"), F.lag("n").over(by_size).alias("_ln"), F.lead("n").over(by_size).alias("_rn"),
+    return run
+
+
+def _partners(postings: DataFrame) -> DataFrame:
+    """token, key, n and `before` of the rows of POSTING whose token stands in another set of a size that may link.
+
+    A place holds a row a task and bin at most; neighbours by bin are partners, and copies of a set are none.
+    `before`: the partner that a row is joined with; the partners of a token are so all connected.
+    """
+    by_bin = W.partitionBy("place").orderBy("bin", "key")
+    once = postings.withColumn("_p", F.lag("key").over(by_bin)).withColumn("_q", F.max("many").over(W.partitionBy("place", "bin", "key")))
+    near = once.filter("other is not null or _p is null or _p <> key").select(
+        "token", "key", "n", "bin", "other", F.col("_q").alias("many"),
+        F.lag("key").over(by_bin).alias("_l"), F.lag("bin").over(by_bin).alias("_lb"), F.lead("bin").over(by_bin).alias("_rb"),
     )
-    left, right = F.col("_ln") * 100 >= F.col("n") * percent, F.col("n") * 100 >= F.col("_rn") * percent
-    return near.filter(left | right).select("token", "key", "n", F.when(left, F.col("_l")).alias("before"))
+    left, right = F.col("bin") - F.col("_lb") <= 1, F.col("_rb") - F.col("bin") <= 1
+    before = F.when(F.col("other").isNotNull(), F.col("other")).when(left, F.col("_l"))
+    return near.filter(F.col("other").isNotNull() | F.col("many") | left | right).select("token", "key", "n", before.alias("before"))
 
 
-def _candidates(tokens: DataFrame, percent: int, share: int, rounds: int = 3) -> DataFrame:
-    """Pairs (u, v) of set keys that connect every two sets which may link.
+def _candidates(postings: DataFrame, percent: int, share: int, rounds: int = 3) -> DataFrame:
+    """Pairs (u, v) of set keys that connect every two sets which may link; `postings`: rows of POSTING.
 
     A set with fewer shared tokens than a link needs goes, and with it what others shared with it alone; after
-    `rounds` of that, neighbours in the postings (in order of size) are paired. No posting is written out as pairs.
+    `rounds` of that, what is left of each token is connected. No posting is written out as pairs.
     """
-    left = staged(_partners(tokens, percent), "postings")
+    left = staged(_partners(postings), "postings")
     for _ in range(rounds - 1):
         need = F.floor(F.ceil(F.col("n") * percent / 100) * share / 100) + 1
-        enough = left.groupBy("key").agg(F.count("*").alias("shared"), F.first("n").alias("n")).filter(F.col("shared") >= need).select("key")
-        left = staged(_partners(left.select("token", "key", "n").join(enough, "key"), percent), "postings")
+        once = left.groupBy("key", "token").agg(F.first("n").alias("n"))
+        enough = once.groupBy("key").agg(F.count("*").alias("shared"), F.first("n").alias("n")).filter(F.col("shared") >= need).select("key")
+        kept = left.select("token", "key", "n").join(enough, "key")
+        last, left = left, staged(_partners(kept.mapInArrow(_rejoined(percent), POSTING)), "postings")
+        unstage(last)
     return left.filter("before is not null").select(F.col("key").alias("u"), F.col("before").alias("v")).distinct()
 
 
-COLUMNS = 4096
+#: Columns of a block of the product, and how many rows a column must have to be taken as a dense one.
+COLUMNS, DENSE = 4096, 24
+
+
+def _sparse_counts(rows: np.ndarray, column: np.ndarray, left: np.ndarray, right: np.ndarray, shape: tuple[int, int]) -> np.ndarray:
+    """Overlaps that a block of columns adds: each column's rows on the left by its rows on the right.
+
+    `rows` and `column` are the incidence, in order of column; `left` and `right` give a row's place in the tile, -1 for none.
+    """
+    total = np.zeros(shape[0] * shape[1], dtype=np.int64)
+    one, two = np.nonzero(left[rows] >= 0)[0], np.nonzero(right[rows] >= 0)[0]
+    a, b = column[one], column[two]
+    lo, hi = np.searchsorted(b, a, side="left"), np.searchsorted(b, a, side="right")
+    n = hi - lo
+    if not n.sum():
+        return total.reshape(shape)
+    at = np.repeat(lo - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
+    cells = np.repeat(left[rows[one]], n) * shape[1] + right[rows[two[at]]]
+    return np.bincount(cells, minlength=len(total)).reshape(shape)
 
 
 def product_links(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, percent: int) -> list[tuple[int, int]]:
     """A spanning forest of the links between rows `left` and rows `right` (indices into `sets`).
 
-    The incidence is taken in blocks of columns, those of one row skipped; overlap counts are added up block by
-    block, and pairs whose sizes or whose remaining columns leave them below the bound are dropped.
+    The incidence (columns of one row left out, rarest columns first) is multiplied in blocks of columns. Rare columns
+    are accumulated from their postings, columns with very many rows by a dense block; after each block the pairs whose
+    remaining columns leave them below the bound that their sizes give are dropped.
     """
     sizes = np.array([len(s) for s in sets], dtype=np.int64)
     rows = np.repeat(np.arange(len(sets)), sizes)
     values, column, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
-    shared = times[column] > 1
-    rows, column = rows[shared], np.cumsum(times > 1)[column[shared]] - 1
+    by_rarity = np.argsort(times, kind="stable")
+    place = np.empty(len(times), dtype=np.int64)
+    place[by_rarity] = np.arange(len(times))
+    single = int((times == 1).sum())
+    column = place[column] - single
+    shared = column >= 0
+    rows, column = rows[shared], column[shared]
     order = np.argsort(column, kind="stable")
     rows, column = rows[order], column[order]
-    width = int((times > 1).sum())
+    width, rare = len(times) - single, int((times <= DENSE).sum()) - single
     a, b = sizes[left][:, None], sizes[right][None, :]
     bound = -(-(a + b) * percent // (100 + percent))
     alive = (np.minimum(a, b) * 100 >= np.maximum(a, b) * percent) & (left[:, None] != right[None, :])
     rest = np.bincount(rows, minlength=len(sets))
     overlap = np.zeros(alive.shape, dtype=np.int64)
-    for start in range(0, width, COLUMNS):
+    of_left, of_right = (np.full(len(sets), -1, dtype=np.int64) for _ in range(2))
+    of_left[left], of_right[right] = np.arange(len(left)), np.arange(len(right))
+    edges = sorted({*range(0, width, COLUMNS), rare, width})
+    for start, end in zip(edges, edges[1:]):
         if not alive.any():
             break
-        lo, hi = np.searchsorted(column, (start, start + COLUMNS))
-        block = np.zeros((len(sets), min(COLUMNS, width - start)), dtype=np.float32)
-        block[rows[lo:hi], column[lo:hi] - start] = 1
-        overlap += np.rint(block[left] @ block[right].T).astype(np.int64)
+        lo, hi = np.searchsorted(column, (start, end))
+        if start < rare:
+            overlap += _sparse_counts(rows[lo:hi], column[lo:hi], of_left, of_right, alive.shape)
+        else:
+            block = np.zeros((len(sets), end - start), dtype=np.float32)
+            block[rows[lo:hi], column[lo:hi] - start] = 1
+            overlap += np.rint(block[left] @ block[right].T).astype(np.int64)
         rest = rest - np.bincount(rows[lo:hi], minlength=len(sets))
         alive &= overlap + np.minimum(rest[left][:, None], rest[right][None, :]) >= bound
     linked = alive & (overlap * 100 >= (a + b - overlap) * percent)
@@ -285,7 +403,7 @@ def _cell(size: int, percent: int):
     def run(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
         _, first, second = key
         shingles = Shingles(size)
-        ids, tile = frame["doc_id"].to_numpy(), frame["tile"].to_numpy()
+        ids, tile = frame["key"].to_numpy(), frame["tile"].to_numpy()
         sets = [shingles.of(bytes(data)) for data in frame["data"]]
         left, right = np.nonzero(tile == first)[0], np.nonzero(tile == second)[0]
         links = tile_links(sets, left, right, percent) if len(left) and len(right) else []
@@ -294,58 +412,82 @@ def _cell(size: int, percent: int):
     return run
 
 
-def jaccard_components(docs: DataFrame, size: int = 5, percent: int = 80, share: int = 10, tile_rows: int = 64, most_tiles: int = 24, tile_shingles: int = 4_000_000) -> DataFrame:
+def tiled(members: DataFrame, percent: int, tile_rows: int, tile_shingles: int) -> DataFrame:
+    """`members` (key, block, n_shingles, ...) with `tile` and `others`, the tiles that each must meet.
+
+    Members of a block are dealt over tiles by bin of size and, within a bin, by a hash of their key: at most about
+    `tile_rows` members and `tile_shingles` shingles a tile, whatever the block (a set larger than that is alone). Tiles of bins
+    that are further apart than a link allows never meet. A block that fits in one tile is one.
+    """
+    bin_of = F.floor(F.log(F.col("n_shingles").cast("double")) / (math.log(100 / percent) * (1 + 1e-6) + 1e-12)).cast("int")
+    binned = members.withColumn("bin", bin_of)
+    extent = binned.groupBy("block", "bin").agg(F.count("*").alias("rows"), F.sum("n_shingles").alias("total"))
+    whole = W.partitionBy("block")
+    parts = F.greatest(F.ceil(F.col("rows") / tile_rows), F.ceil(F.col("total") / tile_shingles)).cast("int")
+    fits = (F.sum("rows").over(whole) <= tile_rows) & (F.sum("total").over(whole) <= tile_shingles)
+    plan = extent.select("block", "bin", F.when(fits, F.lit(0)).otherwise(F.col("bin")).alias("level"), F.when(fits, F.lit(1)).otherwise(parts).alias("parts"))
+    near = plan.select("block", F.col("level").alias("_level"), F.col("parts").alias("_parts")).distinct()
+    meets = plan.join(near, "block").filter(F.abs(F.col("level") - F.col("_level")) <= 1).groupBy("block", "bin", "level", "parts").agg(
+        F.flatten(F.collect_list(F.transform(F.sequence(F.lit(0), F.col("_parts") - 1), lambda k: _tile(F.col("_level"), k)))).alias("others")
+    )
+    own = F.pmod(F.xxhash64("key"), F.col("parts")).cast("int")
+    return binned.join(meets, ["block", "bin"]).select(*members.columns, _tile(F.col("level"), own).alias("tile"), "others")
+
+
+def _tile(level: Column, part: Column) -> Column:
+    return F.shiftleft(level.cast("long"), 40) + part
+
+
+def jaccard_components(docs: DataFrame, size: int = 5, percent: int = 80, share: int = 10, tile_rows: int = 512, tile_shingles: int = 2_000_000) -> DataFrame:
     """Links documents of `docs` (doc_id, text) whose shingle sets have a Jaccard similarity of percent % or more.
 
     Returns per document: doc_id, n_shingles (0 for null and blank texts, which link with nothing), class_id (the
-    smallest doc_id with the same set) and component_id (the smallest doc_id reachable by links). A row without doc_id
-    links with its copies only, under their id. Every link between
-    different sets is checked on the whole sets; equal sets are one class and never compared. Repeated rows are
-    copies; other columns of `docs` are ignored; an empty table gives no rows. Sets are compared by 64-bit hashes
-    of shingles.
-
-    1. Equal sets are grouped by a 128-bit hash. 2. Sets are ordered rarest shingle first (by counts over all
-    documents in 2^20 buckets; any order is exact, this one keeps common passages out). A class whose size-derived
-    prefix shares less than a link needs is left out; the others fall in blocks that no link leaves. Texts are read
-    a third time for the blocks alone. 3. Blocks are cut into tiles, the sparse product of
-    each pair of tiles is one task, which multiplies PART_ROWS rows at a time whatever the block, and returns a spanning
-    forest of its links. The cap on tiles limits the copies of texts alone.
+    smallest doc_id with the same set) and component_id (the smallest doc_id reachable by links; null only for sets
+    that no document with a doc_id reaches). Every link between different sets is checked on the whole sets; equal sets
+    are one class and never compared. Very long texts are read whole: a task holds a tile's sets, and a set that
+    exceeds a tile is a tile of its own. Repeated rows are copies, and rows that share a doc_id with other texts are
+    members by their text like any other; ties in rarity go by hash; other columns of `docs` are ignored, whatever
+    their names; an empty table gives no rows. Sets are compared by 64-bit hashes of shingles.
+
+    1. Equal sets are grouped by a hash. 2. Sets are ordered rarest shingle first (by counts over all documents in
+    2^20 buckets; any order is exact, this one keeps common passages out). A set whose size-derived prefix shares less
+    than a link needs is left out; the others fall in blocks that no link leaves. A token's sets are joined within each
+    task before they are shuffled, so that none is hot. Texts are read a third time for the blocks alone. 3. Blocks are
+    cut into tiles of bounded rows and shingles, the sparse product of each pair of tiles that sizes allow is one task, which
+    multiplies PART_ROWS rows at a time and returns a spanning forest of its links.
     """
     rows = docs.select("doc_id", F.col("text").cast("binary").alias("data"))
     summary, schema = _summaries(size)
     made = staged(rows.mapInArrow(summary, schema), "summaries")
-    parts = made.filter("counts is not null").select(F.col("n_shingles").alias("part"), "counts")
-    load = np.zeros(BUCKETS, dtype=np.int64)
-    for r in parts.repartition("part").mapInArrow(_added_up, "part long, counts binary").collect():
-        load[r["part"] * (BUCKETS // 64) : (r["part"] + 1) * (BUCKETS // 64)] = np.frombuffer(r["counts"], dtype=np.int64)
-    load = np.minimum(load, np.iinfo(np.int32).max).astype(np.int32)
-
-    sized = made.filter("counts is null").select("doc_id", "n_shingles", "set_key", "key")
-    full = sized.filter("set_key is not null")
-    firsts = staged(full.groupBy("set_key").agg(F.min("doc_id").alias("class_id"), F.first("n_shingles").alias("n_shingles"), F.first("key").alias("key")), "classes")
-
-    prefix, schema = _prefixes(size, percent, share, load)
-    near = components(_candidates(rows.mapInArrow(prefix, schema), percent, share), "blocks")
-    counted = near.join(firsts, near["node"] == firsts["key"]).select(F.col("class_id").alias("doc_id"), F.col("component").alias("block"), "n_shingles")
-    counted = staged(counted.filter("doc_id is not null"), "blocks")
-    extent = counted.groupBy("block").agg(F.count("*").alias("members"), F.sum("n_shingles").alias("total"))
-    tiles = F.greatest(F.least(F.ceil(F.col("members") / tile_rows), F.lit(most_tiles)), F.ceil(F.col("total") / tile_shingles)).cast("int")
-    tiled = counted.join(extent.select("block", tiles.alias("tiles")), "block").select(
-        "doc_id", "block", F.pmod(F.xxhash64("doc_id"), "tiles").cast("int").alias("tile"), "tiles"
-    )
-    texts = rows_of(rows, counted)
-    members = (texts.dropDuplicates(["doc_id"]) if _repeats(sized) else texts).join(tiled, "doc_id")
-    cells = members.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1))).select(
-        "doc_id", "block", "tile", F.least("tile", "other").alias("first"), F.greatest("tile", "other").alias("second"), "data"
-    )
+    parts = made.filter("counts is not null").select(F.col("n_shingles").alias("part"), F.col("counts").alias("data"))
+    load = np.minimum(_gathered(parts, np.int64, np.add, BUCKETS), np.iinfo(np.int32).max).astype(np.int32)
+
+    sized = made.filter("counts is null").select("doc_id", "n_shingles", "key")
+    full = sized.filter("key is not null")
+    firsts = staged(full.groupBy("key").agg(F.min("doc_id").alias("class_id"), F.first("n_shingles").alias("n_shingles")), "classes")
+
+    near = components(_candidates(rows.mapInArrow(_prefixes(size, percent, share, load), POSTING), percent, share), "blocks")
+    blocks = near.select(F.col("node").alias("key"), F.col("component").alias("block")).join(firsts.select("key", "class_id", "n_shingles"), "key")
+    placed = staged(tiled(blocks, percent, tile_rows, tile_shingles), "tiles")
+    wanted = placed.select(F.col("class_id").alias("doc_id"), "key", "block", "tile", "others")
+    held = texts_of(rows, wanted, size)
+    known = held.filter("doc_id is not null").join(wanted.filter("doc_id is not null"), ["doc_id", "key"])
+    if not wanted.filter("doc_id is null").isEmpty():
+        known = known.unionByName(held.filter("doc_id is null").join(wanted.filter("doc_id is null").drop("doc_id"), "key").select(*known.columns))
+    if _repeats(full):
+        known = known.dropDuplicates(["key"])
+    cells = known.withColumn("other", F.explode("others")).select("key", "block", "tile", F.least("tile", "other").alias("first"), F.greatest("tile", "other").alias("second"), "data")
     links = cells.groupBy("block", "first", "second").applyInPandas(_cell(size, percent), "u long, v long")
     merged = components(links, "links")
 
-    classes = firsts.join(merged, F.col("class_id") == F.col("node"), "left").select("set_key", "class_id", F.coalesce("component", "class_id").alias("component_id"))
-    return full.join(classes, "set_key").select("doc_id", "n_shingles", "class_id", "component_id").unionByName(
-        sized.filter("set_key is null").select("doc_id", "n_shingles", F.col("doc_id").alias("class_id"), F.col("doc_id").alias("component_id"))
+    joined = firsts.join(merged, F.col("key") == F.col("node"), "left").select("key", "class_id", F.coalesce("component", "key").alias("root"))
+    least = joined.groupBy("root").agg(F.min("class_id").alias("component_id"))
+    classes = joined.join(least, "root").select("key", "class_id", "component_id")
+    return full.join(classes, "key").select("doc_id", "n_shingles", "class_id", "component_id").unionByName(
+        sized.filter("key is null").select("doc_id", "n_shingles", F.col("doc_id").alias("class_id"), F.col("doc_id").alias("component_id"))
     )
 
 
-def _repeats(sized: DataFrame) -> bool:
-    return not sized.groupBy("doc_id").count().filter("count > 1").isEmpty()
+def _repeats(full: DataFrame) -> bool:
+    """Whether rows share doc_id and set."""
+    return not full.groupBy("doc_id", "key").count().filter("count > 1").isEmpty()

@@ -104,5 +104,53 @@ def test_tiles_are_multiplied_in_parts(monkeypatch):
     for left, right in ((every, every), (even, odd)):
         assert groups(jaccard.tile_links(sets, left, right, 80, part_rows=7)) == groups(product(sets, left, right, 80))
     assert max(map(max, seen)) == 7
-    frame = pd.DataFrame({"doc_id": range(40), "tile": 0, "data": [b"one two three four five six"] * 40})
+    frame = pd.DataFrame({"key": range(40), "tile": 0, "data": [b"one two three four five six"] * 40})
     assert len(jaccard._cell(5, 80)((0, 0, 0), frame)) == 39
+
+
+def test_product_is_that_of_plain_sets():
+    pick = np.random.default_rng(3)
+    common = np.arange(1000, 1060, dtype=np.uint64)
+    sets = [np.unique(np.concatenate([common[pick.random(60) < 0.95], pick.integers(0, 40, pick.integers(1, 9)).astype(np.uint64)])) for _ in range(120)]
+    left, right = np.arange(0, 70), np.arange(40, 120)
+    wanted = [(i, j) for i in left for j in right if i != j and 100 * len(both := np.intersect1d(sets[i], sets[j])) >= 80 * (len(sets[i]) + len(sets[j]) - len(both))]
+    assert 0 < len(wanted) < len(left) * len(right)
+
+    def groups(links):
+        root = list(range(len(sets)))
+        for u, v in links:
+            a, b = root[u], root[v]
+            root = [min(a, b) if r in (a, b) else r for r in root]
+        return root
+
+    assert groups(jaccard.product_links(sets, left, right, 80)) == groups(wanted)
+
+
+def test_joined_postings_connect_what_a_token_holds():
+    keys, n = np.arange(50), np.array([10] * 40 + [12] * 5 + [1000] * 5)
+    token = np.full(50, 7)
+    out = [r for batch in jaccard._joined(80)(np.append(token, token[:3]), np.append(keys, keys[:3]), np.append(n, n[:3])) for r in batch.to_pylist()]
+    assert len(out) == 50 and sum(r["place"] == 7 for r in out) == len({r["bin"] for r in out}) and all(r["many"] for r in out)
+    assert all((r["other"] is None) == (r["place"] == 7) for r in out)
+
+
+def test_block_of_many_short_sets_stays_in_small_tiles(spark):
+    rows = [(i, 0, 3 + i % 7, i % 5) for i in range(3000)]
+    made = jaccard.tiled(spark.createDataFrame(rows, "key long, block long, n_shingles long, extra int"), 80, 64, 10_000).collect()
+    sizes, bins = {}, {}
+    for r in made:
+        sizes[r["tile"]] = sizes.get(r["tile"], 0) + 1
+        bins.setdefault(r["n_shingles"], set()).add(r["tile"])
+    assert len(made) == 3000 and max(sizes.values()) <= 128
+    others = {r["tile"]: set(r["others"]) for r in made}
+    for a in range(3, 10):
+        for b in range(a, 10):
+            if 100 * a >= 80 * b:
+                assert all(t in others[u] and u in others[t] for t in bins[a] for u in bins[b])
+
+
+def test_rows_that_share_an_id(spark):
+    one, two = " ".join(f"a{k}" for k in range(60)), " ".join(f"b{k}" for k in range(60))
+    rows = [(1, one), (1, two), (1, two), (2, one + " end"), (3, two + " end"), (None, one + " more"), (None, " ".join(f"c{k}" for k in range(9)))]
+    got = sorted(((r["doc_id"], r["component_id"]) for r in jaccard.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string")).collect()), key=repr)
+    assert got == sorted([(1, 1), (1, 1), (1, 1), (2, 1), (3, 1), (None, 1), (None, None)], key=repr)
