@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window as W
 from pyspark.sql import functions as F
 
 from .common import components, staged
@@ -33,60 +34,100 @@ def _unit(v: np.ndarray) -> np.ndarray:
     return v / np.sqrt(np.dot(v, v))
 
 
+def _bytes_of(column: pa.Array) -> list[bytes | None]:
+    """The components of usable vectors as bytes, of 4-byte numbers where the column holds such and of doubles else."""
+    kind = np.float32 if pa.types.is_float32(column.type.value_type) else np.float64
+    return [None if v is None else (v + 0.0).astype(kind).tobytes() for v in _vectors(column)]
+
+
+def unit_of(raw: bytes, dims: int) -> np.ndarray:
+    """The unit vector (double) of what `_bytes_of` gives."""
+    return _unit(np.frombuffer(raw, dtype=np.float32 if len(raw) == 4 * dims else np.float64).astype(np.float64))
+
+
 def _usable(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """vec_id, label, dimensions and the unit vector as bytes (null: links with nothing)."""
+    """vec_id, label, dimensions, the vector as bytes and their hash (null: links with nothing)."""
     for batch in batches:
         known = [i is not None and k is not None for i, k in zip(batch.column("vec_id").to_pylist(), batch.column("label").to_pylist())]
-        made = [_unit(v) + 0.0 if v is not None and k else None for v, k in zip(_vectors(batch.column("embedding")), known)]
+        made = [v if k else None for v, k in zip(_bytes_of(batch.column("embedding")), known)]
+        width = batch.column("embedding").type.value_type.bit_width // 8 if pa.types.is_floating(batch.column("embedding").type.value_type) else 8
         yield pa.RecordBatch.from_arrays(
-            [batch.column("vec_id"), batch.column("label"), pa.array([0 if v is None else len(v) for v in made], pa.int32()),
-             pa.array([None if v is None else v.tobytes() for v in made], pa.binary())],
-            names=["vec_id", "label", "dims", "unit"],
+            [batch.column("vec_id"), batch.column("label"), pa.array([0 if v is None else len(v) // (4 if width == 4 else 8) for v in made], pa.int32()), pa.array(made, pa.binary()),
+             pa.array([None if v is None else hashlib.blake2b(v, digest_size=16).digest() for v in made], pa.binary())],
+            names=["vec_id", "label", "dims", "raw", "hash"],
         )
 
 
+def _units(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """For each number of dimensions: the rows that have it, and their unit vectors."""
+    dims = batch.column("dims").to_numpy()
+    raws = batch.column("raw").to_pylist()
+    for d in np.unique(dims):
+        at = np.nonzero(dims == d)[0]
+        yield int(d), at, np.stack([unit_of(raws[i], int(d)) for i in at])
+
+
 def _moments(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Per task and number of dimensions: sums and products of the unit vectors, a row of the matrix each."""
     total: dict[int, list] = {}
     for batch in batches:
-        dims = batch.column("dims").to_numpy()
-        for d in np.unique(dims):
-            x = np.frombuffer(b"".join(u for u, k in zip(batch.column("unit").to_pylist(), dims) if k == d)).reshape(-1, d)
-            now = total.setdefault(int(d), [0, np.zeros(d), np.zeros((d, d))])
-            now[0] += len(x)
-            now[1] += x.sum(0)
-            now[2] += x.T @ x
+        for d, _, x in _units(batch):
+            now = total.setdefault(d, [np.zeros(d), np.zeros((d, d)), 0])
+            now[0] += x.sum(0)
+            now[1] += x.T @ x
+            now[2] += len(x)
+    for d, (sums, products, n) in total.items():
+        rows = [*products, np.append(sums, n)]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([d] * len(rows), pa.int32()), pa.array(range(len(rows)), pa.int32()), pa.array([r.tobytes() for r in rows], pa.binary())], names=["dims", "part", "sums"]
+        )
+
+
+def _summed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    total: dict[tuple[int, int], np.ndarray] = {}
+    for batch in batches:
+        for d, part, raw in zip(*(batch.column(c).to_pylist() for c in ("dims", "part", "sums"))):
+            total[d, part] = total.get((d, part), 0.0) + np.frombuffer(raw)
     yield pa.RecordBatch.from_arrays(
-        [pa.array(list(total), pa.int32()), pa.array([t[0] for t in total.values()], pa.int64()),
-         pa.array([np.concatenate([t[1], t[2].ravel()]).tobytes() for t in total.values()], pa.binary())],
-        names=["dims", "n", "sums"],
-    )
+        [pa.array([k[0] for k in total], pa.int32()), pa.array([k[1] for k in total], pa.int32()), pa.array([v.tobytes() for v in total.values()], pa.binary())],
+        names=["dims", "part", "sums"],
+    )
 
 
-def principal_axes(unit: DataFrame) -> dict[int, np.ndarray]:
-    """For each dimension count met: an orthonormal basis, largest variance first. d x (d + 1) numbers a task."""
-    total: dict[int, list] = {}
-    for r in unit.select("dims", "unit").mapInArrow(_moments, "dims int, n long, sums binary").toLocalIterator():
-        sums, now = np.frombuffer(r["sums"]), total.setdefault(r["dims"], [0, 0.0])
-        now[0] += r["n"]
-        now[1] = now[1] + sums
+def principal_axes(vectors: DataFrame) -> dict[int, np.ndarray]:
+    """For each number of dimensions met: an orthonormal basis, largest variance first, from all of `vectors` (dims, raw).
+
+    Moments are added up on the executors, row by row of the matrix; d + 1 rows of d numbers reach the driver.
+    """
+    schema = "dims int, part int, sums binary"
+    parts: dict[int, dict[int, np.ndarray]] = {}
+    for r in vectors.select("dims", "raw").mapInArrow(_moments, schema).repartition("dims", "part").mapInArrow(_summed, schema).toLocalIterator():
+        parts.setdefault(r["dims"], {})[r["part"]] = np.frombuffer(r["sums"])
     axes = {}
-    for d, (n, sums) in total.items():
-        mean = sums[:d] / n
-        _, vectors = np.linalg.eigh(sums[d:].reshape(d, d) / n - np.outer(mean, mean))
-        axes[d] = np.ascontiguousarray(vectors[:, ::-1])
+    for d, rows in parts.items():
+        n, mean = rows[d][d], rows[d][:d] / rows[d][d]
+        _, found = np.linalg.eigh(np.stack([rows[k] for k in range(d)]) / n - np.outer(mean, mean))
+        axes[d] = np.ascontiguousarray(found[:, ::-1])
     return axes
 
 
-def _rotated(axes: dict[int, np.ndarray]):
+PLACED = ("class_id", "block", "copies", "dims", "raw", "hash")
+
+
+def _leads(axes: dict[int, np.ndarray]):
+    """Places on the first two principal axes (0 for the second where there is one dimension)."""
+
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            turned = [np.frombuffer(u) @ axes[d] for u, d in zip(batch.column("unit").to_pylist(), batch.column("dims").to_pylist())]
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(n) for n in ("class_id", "block", "copies")), pa.array([float(v[0]) for v in turned], pa.float64()), batch.column("unit"), pa.array([v.tobytes() for v in turned], pa.binary())],
-                names=["class_id", "block", "copies", "lead", "unit", "turned"],
-            )
+            lead, second = np.zeros(len(batch)), np.zeros(len(batch))
+            for d, at, x in _units(batch):
+                turned = x @ axes[d][:, :2]
+                lead[at] = turned[:, 0]
+                if d > 1:
+                    second[at] = turned[:, 1]
+            yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in PLACED), pa.array(lead), pa.array(second)], names=[*PLACED, "lead", "second"])
 
-    return run, "class_id long, block string, copies long, lead double, unit binary, turned binary"
+    return run, "class_id long, block string, copies long, dims int, raw binary, hash binary, lead double, second double"
 
 
 def close_pairs(unit: tuple[np.ndarray, np.ndarray], turned: tuple[np.ndarray, np.ndarray], threshold: float, step: int = 16) -> tuple[np.ndarray, np.ndarray]:
@@ -115,11 +156,12 @@ def close_pairs(unit: tuple[np.ndarray, np.ndarray], turned: tuple[np.ndarray, n
     return i[kept], j[kept]
 
 
-def _cell(threshold: float, part_rows: int = 512):
+def _cell(threshold: float, axes: dict[int, np.ndarray], part_rows: int = 512):
     def run(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
         _, first, second = key
-        ids, copies = frame["class_id"].to_numpy(), frame["copies"].to_numpy()
-        unit, turned = (np.stack([np.frombuffer(x) for x in frame[c]]) for c in ("unit", "turned"))
+        ids, copies, d = frame["class_id"].to_numpy(), frame["copies"].to_numpy(), int(frame["dims"].iloc[0])
+        unit = np.stack([unit_of(x, d) for x in frame["raw"]])
+        turned = unit @ axes[d]
         tile = frame["tile"].to_numpy()
         left, right = np.nonzero(tile == first)[0], np.nonzero(tile == second)[0]
         degree = np.zeros(len(frame), dtype=np.int64)
@@ -160,43 +202,88 @@ def _cell(threshold: float, part_rows: int = 512):
     return run
 
 
-def near_duplicates(vectors: DataFrame, threshold: float = 0.93, tile_rows: int = 512, block: str = "label") -> DataFrame:
-    """Links the vectors of `vectors` (vec_id, embedding, label) whose cosine is `threshold` or more, within a label.
+FINE = 1 << 16
+
+
+def _fine(value: Column) -> Column:
+    """One of 65536 even steps of [-1, 1]; any place within a step is within 2 / 65536 of another."""
+    return F.greatest(F.lit(0), F.least(F.lit(FINE - 1), F.floor((value + 1) / 2 * FINE))).cast("int")
+
+
+def _cuts(rows: DataFrame, keys: list[str], step: str, wanted: Column, out: str) -> DataFrame:
+    """(keys, step, `out`): steps of a block in order, cut into about `wanted` runs of equal numbers of rows.
+
+    `wanted` is an expression over `n`, the rows of the block. A block has 65536 steps at most, whatever its rows.
+    """
+    counted = rows.groupBy(*keys, step).agg(F.count("*").alias("_rows"))
+    whole = W.partitionBy(*keys)
+    before = whole.orderBy(step).rowsBetween(W.unboundedPreceding, -1)
+    summed = counted.withColumn("n", F.sum("_rows").over(whole)).withColumn("_before", F.coalesce(F.sum("_rows").over(before), F.lit(0)))
+    return summed.select(*keys, step, F.floor(F.col("_before") * wanted / F.col("n")).cast("int").alias(out))
+
 
-    Returns per vector: vec_id, class_id (smallest vec_id of equal direction and label), n_links (other vectors
-    linked directly), component_id (smallest vec_id reachable by links, itself included) and kept. Vectors that are
-    null, empty, zero, of another length, or hold a null or non-finite component, and rows with a null label or vec_id,
-    link with nothing. Equal unit vectors form a class, compared once and counted by their copies. Other columns are
-    ignored; an empty table gives no rows; rows that share a vec_id count as one vector each.
+def tiled(placed: DataFrame, threshold: float, tile_rows: int) -> DataFrame:
+    """`placed` (block, lead, second, class_id, ...) with `tile` and the tiles that each is to meet, `others`.
 
-    Within a label classes are ordered by their first principal component and cut into tiles at its quantiles; two
-    tiles meet in a task only if the gap between them leaves a cosine of `threshold` possible
-    (|u - v|^2 = 2 - 2 cos). A task holds two tiles, whatever the size of the label.
+    A block is cut into strips along the first principal axis and the strips into tiles along the second, as many as
+    its rows need; rows of one place beyond `tile_rows` are dealt over several tiles by a hash. Two tiles meet if the
+    gaps between them on both axes leave a cosine of `threshold` possible (|u - v|^2 = 2 - 2 cos).
     """
-    usable = staged(vectors.select("vec_id", F.col(block).alias("label"), "embedding").mapInArrow(_usable, f"vec_id long, label {vectors.schema[block].dataType.simpleString()}, dims int, unit binary"), "vectors")
-    good = usable.filter("unit is not null").withColumn("block", F.concat_ws("/", "dims", F.col("label").cast("string")))
-    classes = staged(good.groupBy("block", "unit").agg(F.min("vec_id").alias("class_id"), F.count("*").alias("copies"), F.first("dims").alias("dims")), "classes")
-    axes = principal_axes(classes.filter("dims > 0"))
-    rotate, schema = _rotated(axes)
-    placed = staged(classes.select("class_id", "block", "copies", "dims", "unit").mapInArrow(rotate, schema), "placed")
-
-    cuts = placed.groupBy("block").agg(F.count("*").alias("n"), F.percentile_approx("lead", [q / 1000 for q in range(1000)], 10_000).alias("at"))
-    tiles = F.least(F.greatest(F.ceil(F.col("n") / tile_rows), F.lit(1)), F.lit(1000)).cast("int")
-    cuts = cuts.select("block", F.array_sort(F.array_distinct(F.transform(F.sequence(F.lit(0), tiles - 1), lambda k: F.element_at("at", (k * 1000 / tiles).cast("int") + 1)))).alias("edges"))
-    own = placed.join(cuts, "block").withColumn("tile", F.greatest(F.lit(0), F.size(F.filter("edges", lambda e: e <= F.col("lead"))) - 1))
+    stepped = placed.withColumn("_one", _fine(F.col("lead"))).withColumn("_two", _fine(F.col("second")))
+    strips = _cuts(stepped, ["block"], "_one", F.ceil(F.sqrt(F.ceil(F.col("n") / tile_rows))), "_strip")
+    in_strip = stepped.join(strips, ["block", "_one"])
+    columns = _cuts(in_strip, ["block", "_strip"], "_two", F.ceil(F.col("n") / tile_rows), "_column")
+    crowd = in_strip.join(columns, ["block", "_strip", "_two"])
+    sizes = crowd.groupBy("block", "_strip", "_column").agg(
+        F.ceil(F.count("*") / (2 * tile_rows)).cast("int").alias("_parts"), F.min("lead").alias("a0"), F.max("lead").alias("a1"), F.min("second").alias("b0"), F.max("second").alias("b1")
+    )
+    number = sizes.withColumn("_tiles", F.transform(F.sequence(F.lit(0), F.col("_parts") - 1), lambda k: F.xxhash64("_strip", "_column", k)))
     reach = float(np.sqrt(max(0.0, 2 - 2 * threshold))) + 1e-6
-    span = own.groupBy("block", "tile").agg(F.min("lead").alias("low"), F.max("lead").alias("high"))
-    other = span.select("block", F.col("tile").alias("other"), F.col("low").alias("other_low"), F.col("high").alias("other_high"))
-    meets = span.join(other, "block").filter((F.col("other_low") <= F.col("high") + reach) & (F.col("low") <= F.col("other_high") + reach)).groupBy("block", "tile").agg(F.collect_list("other").alias("others"))
-    cells = own.join(meets, ["block", "tile"]).withColumn("other", F.explode("others")).select(
-        "class_id", "copies", "unit", "turned", "block", "tile", F.least("tile", "other").alias("first"), F.greatest("tile", "other").alias("second")
+    # strips are looked up by a grid of cells of the reach on both axes, so that distant tiles are never paired
+    cell = lambda v: F.floor(v / reach).cast("int")
+    spread = lambda lo, hi: F.sequence(cell(F.col(lo)), cell(F.col(hi)))
+    boxes = number.select("block", "_strip", "_column", "_tiles", "a0", "a1", "b0", "b1")
+    mine = boxes.withColumn("_ga", F.explode(spread("a0", "a1"))).withColumn("_gb", F.explode(spread("b0", "b1")))
+    near = boxes.select("block", *(F.col(c).alias(f"o{c}") for c in ("a0", "a1", "b0", "b1", "_tiles")))
+    near = near.withColumn("_ga", F.explode(F.sequence(cell(F.col("oa0")) - 1, cell(F.col("oa1")) + 1))).withColumn("_gb", F.explode(F.sequence(cell(F.col("ob0")) - 1, cell(F.col("ob1")) + 1)))
+    gap = lambda x: F.greatest(F.lit(0.0), F.col(f"o{x}0") - F.col(f"{x}1"), F.col(f"{x}0") - F.col(f"o{x}1"))
+    close = gap("a") * gap("a") + gap("b") * gap("b") <= reach * reach
+    meets = mine.join(near, ["block", "_ga", "_gb"]).filter(close).select("block", "_strip", "_column", F.explode("o_tiles").alias("other")).groupBy("block", "_strip", "_column").agg(F.collect_set("other").alias("others"))
+    part = F.pmod(F.xxhash64("class_id"), F.size("_tiles")) + 1
+    return crowd.join(number.select("block", "_strip", "_column", "_tiles").join(meets, ["block", "_strip", "_column"]), ["block", "_strip", "_column"]).select(
+        *placed.columns, F.element_at("_tiles", part.cast("int")).alias("tile"), "others"
+    )
+
+
+def near_duplicates(vectors: DataFrame, threshold: float = 0.93, tile_rows: int = 2048, block: str = "label") -> DataFrame:
+    """Links the vectors of `vectors` (vec_id, embedding, label) whose cosine is `threshold` or more, within a label.
+
+    Returns per vector: vec_id, class_id (smallest vec_id of equal vector and label), n_links (other vectors linked
+    directly), component_id (smallest vec_id reachable by links, itself included) and kept. Vectors that are null,
+    empty, zero, of another length, or hold a null or non-finite component, and rows with a null label or vec_id, link with
+    nothing. Equal vectors form a class, compared once and counted by their copies; ties of order go by vec_id. Other
+    columns are ignored, whatever their names; an empty table gives no rows; rows that share a vec_id count as one vector
+    each. Vectors of any length are taken; a task holds two tiles of them and, per number of dimensions d, d x d axes.
+
+    Classes of a label are cut into tiles along the first two principal axes (`tiled`), two tiles a task. In a task leading
+    dimensions come first and the rest is bounded by suffix norms (`close_pairs`).
+    """
+    kind = vectors.schema[block].dataType.simpleString()
+    usable = staged(vectors.select("vec_id", F.col(block).alias("label"), "embedding").mapInArrow(_usable, f"vec_id long, label {kind}, dims int, raw binary, hash binary"), "vectors")
+    good = usable.filter("raw is not null").withColumn("block", F.concat_ws("/", "dims", F.col("label").cast("string")))
+    classes = good.groupBy("block", "hash").agg(F.min("vec_id").alias("class_id"), F.count("*").alias("copies"), F.first("dims").alias("dims"), F.first("raw").alias("raw"))
+    axes = principal_axes(good)
+    lead, schema = _leads(axes)
+    placed = staged(classes.select(*PLACED).mapInArrow(lead, schema), "placed")
+    cells = tiled(placed, threshold, tile_rows).withColumn("other", F.explode("others")).select(
+        "class_id", "copies", "dims", "raw", "block", "tile", F.least("tile", "other").alias("first"), F.greatest("tile", "other").alias("second")
     )
-    found = staged(cells.groupBy("block", "first", "second").applyInPandas(_cell(threshold), "u long, v long, degree long"), "links")
+    found = staged(cells.groupBy("block", "first", "second").applyInPandas(_cell(threshold, axes), "u long, v long, degree long"), "links")
     merged = components(found.filter("v >= 0").select("u", "v"), "vector-links")
     degrees = found.filter("v < 0").groupBy(F.col("u").alias("class_id")).agg(F.sum("degree").alias("degree"))
-    known = classes.select("block", "unit", "class_id", "copies").join(degrees, "class_id", "left").join(merged.withColumnRenamed("node", "class_id"), "class_id", "left")
-    linked = good.select("vec_id", "block", "unit").join(known, ["block", "unit"]).select(
+    known = placed.select("block", "hash", "class_id", "copies").join(degrees, "class_id", "left").join(merged.withColumnRenamed("node", "class_id"), "class_id", "left")
+    linked = good.select("vec_id", "block", "hash").join(known, ["block", "hash"]).select(
         "vec_id", "class_id", (F.coalesce("degree", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("component", "class_id").alias("component_id")
     )
-    alone = usable.filter("unit is null").select("vec_id", F.col("vec_id").alias("class_id"), F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
+    alone = usable.filter("raw is null").select("vec_id", F.col("vec_id").alias("class_id"), F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
     return linked.unionByName(alone).withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))

@@ -68,3 +68,29 @@ def test_pairs_are_the_plain_ones():
     axes = np.linalg.qr(pick.normal(size=(9, 9)))[0]
     i, j = embeddings.close_pairs((a, b), (a @ axes, b @ axes), 0.6, step=2)
     assert set(zip(i.tolist(), j.tolist())) == set(zip(*(x.tolist() for x in np.nonzero(a @ b.T >= 0.6))))
+
+
+def test_more_than_a_thousand_tiles(spark):
+    pick = np.random.default_rng(5)
+    base = pick.normal(size=(1100, 6))
+    rows = [(i, [float(x) for x in np.float32(base[i % 1100] + pick.normal(size=6) * 0.01)], 0) for i in range(2200)] + [(3000 + i, [1.0] * 6, 0) for i in range(30)]
+    units = np.stack([np.array(v, dtype=np.float32).astype(float) for _, v, _ in rows])
+    units /= np.linalg.norm(units, axis=1, keepdims=True)
+    degree = (units @ units.T >= 0.999).sum(1) - 1
+    placed = spark.createDataFrame([(i, "b", 1, float(u[0]), float(u[1])) for (i, _, _), u in zip(rows, units)], "class_id long, block string, copies long, lead double, second double")
+    made = embeddings.tiled(placed, 0.999, 2).collect()
+    sizes = {}
+    for r in made:
+        sizes[r["tile"]] = sizes.get(r["tile"], 0) + 1
+    assert len(sizes) > 1000 and len(made) == len(rows)
+    got = found(spark, rows, threshold=0.999, tile_rows=8)
+    assert [got[i][0] for i, _, _ in rows] == degree.tolist()
+
+
+def test_long_vectors_and_doubles(spark):
+    pick = np.random.default_rng(8)
+    base = pick.normal(size=(6, 3000))
+    rows = [(i, [float(x) for x in base[i % 6] + pick.normal(size=3000) * 0.2], i % 2) for i in range(24)]
+    made = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label long")
+    got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in embeddings.near_duplicates(made).collect()}
+    assert got == {i: (3, i % 6) for i in range(24)}
