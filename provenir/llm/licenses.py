@@ -1,145 +1,152 @@
-"""License scan: a positional index of the rarest words of licence texts."""
+"""License scan: a positional index of the rarest licence words of each file."""
 
 from __future__ import annotations
 
 import math
+import re
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window as W
 from pyspark.sql import functions as F
 
+from .common import staged
+from .license_texts import TEMPLATES
 
 #: Base phrases with their labels.
 BASE = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
+#: What is no part of a word, and the letters that are made small.
+NOT_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+CAPITALS, SMALL = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
-#: Fixed values: (label, template, phrases of it that must stand where the template has them).
-TEMPLATES = (
-    ("apache-2.0", "licensed under the apache license version 2 0", ("apache license",)),
-    ("mit", "released under the mit license", ("mit license",)),
-    ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files", ("hereby granted free of charge", "software and associated documentation")),
-    ("gpl-3.0", "this work is licensed under the gnu general public license version 3", ("gnu general public license version 3",)),
-    ("gpl-2.0", "this program is licensed under the gnu general public license version 2", ("gnu general public license version 2",)),
-    ("lgpl", "licensed under the gnu lesser general public license version", ("gnu lesser general public license",)),
-    ("cc-by-nc-4.0", "licensed under cc by nc 4 0", ("cc by nc",)),
-    ("cc-by-sa-4.0", "licensed under cc by sa 4 0", ("cc by sa",)),
-    ("cc-by-4.0", "licensed under a creative commons attribution 4 0 international license", ("creative commons attribution 4 0",)),
-    ("cc0-1.0", "cc0 1 0 universal public domain dedication", ("cc0 1 0", "public domain dedication")),
-    ("bsd", "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met", ("redistribution and use in source and binary forms",)),
-    ("mpl-2.0", "this source code form is subject to the terms of the mozilla public license v 2 0", ("mozilla public license",)),
-    ("unlicense", "this is free and unencumbered software released into the public domain", ("free and unencumbered software",)),
-    ("isc", "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted", ("with or without fee is hereby granted",)),
-)
 
-NOT_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+def words_of(text: str) -> list[str]:
+    """The words of a licence text, as `scan` cuts those of a file."""
+    return [w for w in re.split(NOT_WORD, text.translate(str.maketrans(CAPITALS, SMALL))) if w]
 
 
 def _strings(values) -> Column:
-    return F.array(*(F.lit(v) for v in values)) if values else F.array().cast("array<string>")
+    """A constant array of words (which hold no blank)."""
+    values = list(values)
+    return F.split(F.lit(" ".join(values)), " ") if values else F.array().cast("array<string>")
 
 
-def license_words(templates=TEMPLATES) -> list[str]:
-    return sorted({w for _, text, _ in templates for w in text.split()})
+def _small(text: Column) -> Column:
+    """A-Z made small and nothing else; texts of ASCII alone take the shorter way."""
+    return F.when(F.octet_length(text) == F.length(text), F.lower(text)).otherwise(F.translate(text, CAPITALS, SMALL))
 
 
 def document_frequencies(tokens: DataFrame, vocabulary: list[str]) -> tuple[dict[str, int], int]:
-    """Documents that hold each word of `vocabulary`, and all documents: one partial aggregate over every text."""
-    held = [F.count_if(F.array_contains("own", w)).alias(f"w{k}") for k, w in enumerate(vocabulary)]
-    row = tokens.select(F.array_intersect("tokens", _strings(vocabulary)).alias("own")).agg(F.count("*").alias("n"), *held).first()
-    return {w: row[f"w{k}"] for k, w in enumerate(vocabulary)}, row["n"]
-
-
-def rare_postings(templates, idf: dict[str, float], most: int = 3) -> list[tuple[str, int, int]]:
-    """(word, template, position) of the words of highest IDF of each template; a repeated word gives each place."""
-    found = []
-    for k, (_, text, _) in enumerate(templates):
-        own = text.split()
-        best = sorted(set(own), key=lambda w: (-idf[w], w))[:most]
-        found += [(w, k, i) for i, w in enumerate(own) if w in best]
-    return found
-
-
-def _follows(tokens: Column, by: int, word: str):
-    return lambda i: F.try_element_at(tokens, i + by).eqNullSafe(F.lit(word))
+    """Documents that hold each word of `vocabulary`, and all documents: counted over every text; a row a word reaches the driver."""
+    held = tokens.select(F.explode(F.array_append(F.array_intersect("tokens", _strings(vocabulary)), F.lit("\n"))).alias("word")).groupBy("word").count()
+    found = {r["word"]: r["count"] for r in held.collect()}
+    return {w: found.get(w, 0) for w in vocabulary}, found.get("\n", 0)
 
 
 def _base_places(tokens: Column, phrase: str) -> Column:
     first, *rest = phrase.split()
-    starts = F.filter(F.transform(tokens, lambda w, i: F.when(w == first, i)), lambda i: i.isNotNull())
-    held = starts
+    held = F.filter(F.transform(tokens, lambda w, i: F.when(w == first, i)), lambda i: i.isNotNull())
     for k, word in enumerate(rest):
-        held = F.filter(held, _follows(tokens, k + 2, word))
+        held = F.filter(held, lambda i: F.try_element_at(tokens, i + k + 2).eqNullSafe(F.lit(word)))
     return held
 
 
-def _matches(tokens: Column, templates, idf: dict[str, float], most_rare: int) -> Column:
-    """(template, coverage, verified) of every alignment that rare words of a template agree on."""
-    rare = rare_postings(templates, idf, most_rare)
-    postings = F.array(*(F.struct(F.lit(w).alias("word"), F.lit(t).alias("template"), F.lit(p).alias("at")) for w, t, p in rare))
-    places = F.filter(F.transform(tokens, lambda w, i: F.struct(w.alias("word"), i.alias("i"))), lambda o: F.array_contains(_strings(sorted({w for w, _, _ in rare})), o["word"]))
-    aligned = F.flatten(F.transform(places, lambda o: F.transform(F.filter(postings, lambda p: p["word"] == o["word"]), lambda p: F.struct(p["template"].alias("template"), (o["i"] - p["at"]).alias("start")))))
-    weights = [sum(idf[w] for w in text.split()) or 1.0 for _, text, _ in templates]
-    texts = F.array(*(_strings(text.split()) for _, text, _ in templates))
-    worth = F.array(*(F.array(*(F.lit(idf[w] / weights[k]) for w in text.split())) for k, (_, text, _) in enumerate(templates)))
-    must = F.array(*(F.array(*(F.lit(i) for i in _mandatory(text, phrases))) for _, text, phrases in templates))
+def alignments(files: DataFrame, templates, idf: dict[str, float], most_rare: int, slack: int, share: float) -> DataFrame:
+    """(key, template, start): where the texts of `templates` may begin in `files` (key, tokens, maybe: numbers of templates).
 
-    def at(c: Column, j: Column) -> Column:
-        place = c["start"] + j
-        return F.when(place >= 0, F.try_element_at(tokens, F.greatest(place, F.lit(0)) + 1))
+    Of the words that a file and a template have in common, the `most_rare` of highest IDF are looked up, at all their places
+    in the file and all in the template. A pair of places says where the template would begin; beginnings within `slack` of
+    each other agree. Where `share` of the looked-up words (two at least, if there are two) agree, the beginning that most of them name is one.
+    """
+    spark = files.sparkSession
+    positions = spark.createDataFrame([(t, w, p, idf[w]) for t, (_, text, _) in enumerate(templates) for p, w in enumerate(words_of(text))], "template int, word string, p int, idf double")
+    kinds = positions.select("template", "word", "idf").distinct()
+    vocabulary = _strings(sorted(idf))
+    kept = F.filter(F.transform("tokens", lambda w, i: F.struct(w.alias("word"), i.alias("i"))), lambda o: F.array_contains(F.col("own"), o["word"]))
+    places = files.withColumn("own", F.array_intersect("tokens", vocabulary)).select("key", "maybe", F.explode(kept).alias("o")).select("key", "maybe", "o.word", "o.i")
+    own = places.select("key", "word", F.explode("maybe").alias("template")).distinct().join(F.broadcast(kinds), ["template", "word"])
+    ranked = own.withColumn("_rank", F.row_number().over(W.partitionBy("key", "template").orderBy(F.desc("idf"), "word"))).filter(F.col("_rank") <= most_rare)
+    rare = ranked.withColumn("words", F.count("*").over(W.partitionBy("key", "template"))).select("key", "template", "word", "words")
+    begun = places.select("key", "word", "i").join(rare, ["key", "word"]).join(F.broadcast(positions.select("template", "word", "p")), ["template", "word"]).withColumn("start", F.col("i") - F.col("p"))
+    step = F.floor(F.col("start") / slack)
+    near = begun.withColumn("_g", F.explode(F.array(step, step + 1)))
+    by_start = near.groupBy("key", "template", "words", "_g", "start").agg(F.collect_set("word").alias("named"))
+    agreed = by_start.groupBy("key", "template", "words", "_g").agg(
+        F.size(F.array_distinct(F.flatten(F.collect_list("named")))).alias("support"), F.min_by("start", F.struct(-F.size("named"), "start")).alias("start")
+    )
+    need = F.greatest(F.ceil(F.col("words") * share), F.least(F.lit(2), F.col("words")))
+    return agreed.filter(F.col("support") >= need).select("key", "template", "start").distinct()
 
-    def checked(c: Column) -> Column:
-        own, value = F.element_at(texts, c["template"] + 1), F.element_at(worth, c["template"] + 1)
-        got = F.transform(own, lambda w, j: F.when(at(c, j).eqNullSafe(w), F.element_at(value, j + 1)).otherwise(F.lit(0.0)))
-        verified = F.forall(F.element_at(must, c["template"] + 1), lambda j: at(c, j).eqNullSafe(F.element_at(own, j + 1)))
-        return F.struct(c["template"].alias("template"), F.aggregate(got, F.lit(0.0), lambda a, v: a + v).alias("coverage"), verified.alias("verified"))
 
-    return F.transform(F.array_distinct(aligned), checked)
+def verified(found: DataFrame, files: DataFrame, templates, idf: dict[str, float], slack: int, coverage: float) -> DataFrame:
+    """(key, matches): the label, start and coverage of each alignment whose stretch of the file holds the licence.
+
+    The stretch is the template's length with `slack` words more on both sides. Every mandatory phrase must stand in it whole,
+    and words of the template that make up `coverage` of its IDF.
+    """
+    texts = [words_of(text) for _, text, _ in templates]
+    length = F.array(*(F.lit(len(t)) for t in texts))
+    kinds = F.array(*(_strings(sorted(set(t))) for t in texts))
+    total = F.array(*(F.lit(float(sum(idf[w] for w in set(t)))) for t in texts))
+    phrases = F.array(*(F.array(*(F.lit(f" {p} ") for p in own)) for _, _, own in templates))
+    labels = F.array(*(F.lit(label) for label, _, _ in templates))
+    order = sorted(idf)
+    worth = F.map_from_arrays(_strings(order), F.split(F.lit(" ".join(repr(idf[w]) for w in order)), " ").cast("array<double>"))
 
+    def checked(c: Column) -> Column:
+        t = c["template"] + 1
+        begin = F.greatest(c["start"] - slack, F.lit(0))
+        stretch = F.slice("tokens", begin + 1, F.greatest(c["start"] + F.element_at(length, t) + slack - begin, F.lit(0)))
+        held = F.aggregate(F.array_intersect(stretch, F.element_at(kinds, t)), F.lit(0.0), lambda a, w: a + F.element_at(worth, w))
+        said = F.concat(F.lit(" "), F.array_join(stretch, " "), F.lit(" "))
+        whole = F.forall(F.element_at(phrases, t), lambda p: F.contains(said, p))
+        return F.struct(F.element_at(labels, t).alias("label"), c["start"].cast("long").alias("start"), F.least(held / F.element_at(total, t), F.lit(1.0)).alias("coverage"), whole.alias("whole"))
 
-def _mandatory(text: str, phrases: tuple[str, ...]) -> list[int]:
-    own, found = text.split(), set()
-    for phrase in phrases:
-        p = phrase.split()
-        start = next(i for i in range(len(own)) if own[i : i + len(p)] == p)
-        found |= set(range(start, start + len(p)))
-    return sorted(found)
+    by_file = found.groupBy("key").agg(F.array_sort(F.collect_list(F.struct("start", "template"))).alias("_found"))
+    made = files.join(by_file, "key").select("key", F.filter(F.transform("_found", checked), lambda m: m["whole"] & (m["coverage"] >= coverage)).alias("_m"))
+    return made.select("key", F.transform("_m", lambda m: F.struct(m["label"].alias("label"), m["start"].alias("start"), m["coverage"].alias("coverage"))).alias("matches"))
 
 
-def scan(docs: DataFrame, templates=TEMPLATES, coverage: float = 0.8, most_rare: int = 3) -> DataFrame:
+def scan(docs: DataFrame, templates=TEMPLATES, coverage: float = 0.8, most_rare: int = 8, slack: int = 8, share: float = 0.5) -> DataFrame:
     """Licence labels of every document of `docs` (doc_id, text).
 
     Returns doc_id, n_words, n_base (all places of base phrases), first_word and last_word (smallest and largest
     start, from 0; null for none), base_labels and labels (comma-joined, distinct, sorted), score (1 for a base
-    label, else the best coverage of a template by IDF, 0 to 1) and matches (label and coverage of each alignment
-    that is verified). Null and empty texts have no word; repeated rows are scanned each; other columns are
-    ignored; an empty table gives no rows.
+    label, else the best coverage of a template by IDF, 0 to 1) and matches (label, start and coverage of each
+    alignment that is verified). Null and empty texts have no word; very long texts are scanned whole, their places as rows;
+    ties of IDF go by word, ties of support by place; repeated rows are scanned each, equal texts aligned once; other
+    columns are ignored, whatever their names; an empty table gives no rows.
 
-    IDF comes from all documents. The rarest words of the templates are looked up in each text; each place proposes
-    where a template would start, and there the whole template is compared: its mandatory phrases must stand, and
-    `coverage` of its IDF. Work on a text is linear in its words.
+    IDF comes from all documents. A file that holds all words of a template's mandatory phrases is looked up by its rarest licence
+    words (`alignments`), and what they agree on is compared with the text (`verified`).
     """
-    tokens = F.filter(F.split(F.lower(F.coalesce(F.col("text"), F.lit(""))), NOT_WORD), lambda w: w != "")
-    split = docs.select("doc_id", tokens.alias("tokens"))
-    vocabulary = license_words(templates)
+    tokens = F.filter(F.split(_small(F.coalesce(F.col("text"), F.lit(""))), NOT_WORD), lambda w: w != "")
+    split = docs.select("doc_id", "text", tokens.alias("tokens"))
+    vocabulary = sorted({w for _, text, _ in templates for w in words_of(text)})
     df, n = document_frequencies(split, vocabulary)
-    idf = {w: math.log((n + 1) / (df[w] + 1)) + 1e-3 for w in vocabulary}
-    rare = sorted({w for w, _, _ in rare_postings(templates, idf, most_rare)} | {p.split()[0] for p in BASE})
-    places = {label: _base_places(F.col("tokens"), phrase) for phrase, label in BASE.items()}
-    label_of = _strings([label for label, _, _ in templates])
-    sure = F.transform(
-        F.filter(_matches(F.col("tokens"), templates, idf, most_rare), lambda m: m["verified"] & (m["coverage"] >= coverage)),
-        lambda m: F.struct(F.element_at(label_of, m["template"] + 1).alias("label"), F.least(m["coverage"], F.lit(1.0)).alias("coverage")),
-    )
+    idf = {w: round(math.log((n + 1) / (df[w] + 1)) + 1e-3, 9) for w in vocabulary}
+    needed = [sorted({w for p in phrases for w in p.split()}) for _, _, phrases in templates]
+    looked_up = _strings(sorted({w for own in needed for w in own} | {p.split()[0] for p in BASE}))
+    maybe = F.filter(F.array(*(F.when(F.forall(_strings(own), lambda w: F.array_contains(F.col("_held"), w)), F.lit(t)) for t, own in enumerate(needed))), lambda t: t.isNotNull())
     none = F.array().cast("array<int>")
-    worth = F.arrays_overlap("tokens", _strings(rare))
-    found = split.select(
-        "doc_id", F.size("tokens").cast("long").alias("n_words"),
-        F.when(worth, F.struct(*(p.alias(label) for label, p in places.items()))).otherwise(F.struct(*(none.alias(label) for label in places))).alias("base"),
-        F.when(worth, sure).otherwise(F.array().cast("array<struct<label:string,coverage:double>>")).alias("matches"),
+    first = split.withColumn("_held", F.array_intersect("tokens", looked_up))
+    some = F.size("_held") > 0
+    base = F.struct(*(_base_places(F.col("tokens"), phrase).alias(label) for phrase, label in BASE.items()))
+    read = first.select(
+        "doc_id", F.size("tokens").cast("long").alias("n_words"), F.when(some, base).otherwise(F.struct(*(none.alias(label) for label in BASE.values()))).alias("base"),
+        F.when(some, maybe).otherwise(none).alias("maybe"), F.when(some, F.col("tokens")).alias("tokens"), "text",
     )
-    starts = F.concat(*(F.col("base")[label] for label in places))
-    base = F.array_compact(F.array(*(F.when(F.size(F.col("base")[label]) > 0, F.lit(label)) for label in sorted(places))))
+    asked = F.size("maybe") > 0
+    read = staged(read.select("doc_id", "n_words", "base", "maybe", F.when(asked, F.col("tokens")).alias("tokens"), F.when(asked, F.sha1("text")).alias("key")), "licences")
+    files = staged(read.filter("key is not null").select("key", "maybe", "tokens").dropDuplicates(["key"]), "files")
+    found = verified(alignments(files, templates, idf, most_rare, slack, share), files, templates, idf, slack, coverage)
+    columns = ("doc_id", "n_words", "base")
+    empty = F.array().cast("array<struct<label:string,start:bigint,coverage:double>>")
+    held = read.filter("key is not null").select(*columns, "key").join(found, "key", "left").select(*columns, F.coalesce("matches", empty).alias("matches"))
+    joined = read.filter("key is null").select(*columns, empty.alias("matches")).unionByName(held)
+    starts = F.concat(*(F.col("base")[label] for label in BASE.values()))
+    base_labels = F.array_compact(F.array(*(F.when(F.size(F.col("base")[label]) > 0, F.lit(label)) for label in sorted(BASE.values()))))
     own = F.transform("matches", lambda m: m["label"])
-    return found.select(
+    return joined.select(
         "doc_id", "n_words", F.size(starts).cast("long").alias("n_base"), F.array_min(starts).cast("long").alias("first_word"), F.array_max(starts).cast("long").alias("last_word"),
-        F.array_join(base, ",").alias("base_labels"), F.array_join(F.array_sort(F.array_union(base, own)), ",").alias("labels"),
-        F.when(F.size(base) > 0, F.lit(1.0)).otherwise(F.coalesce(F.array_max(F.transform("matches", lambda m: m["coverage"])), F.lit(0.0))).alias("score"), "matches",
+        F.array_join(base_labels, ",").alias("base_labels"), F.array_join(F.array_sort(F.array_union(base_labels, own)), ",").alias("labels"),
+        F.when(F.size(base_labels) > 0, F.lit(1.0)).otherwise(F.coalesce(F.array_max(F.transform("matches", lambda m: m["coverage"])), F.lit(0.0))).alias("score"), "matches",
     )
