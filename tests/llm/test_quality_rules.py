@@ -62,6 +62,103 @@ def test_minimum_covariance_resists_outliers(spark):
     assert np.abs(scale / np.sqrt(spread**2 + np.array(list(q.AXES.values())) ** 2) - 1).max() < 0.2
 
 
+def plain_estimate(x, share=0.75):
+    """Mean and covariance of the smallest determinant, by the same starts and steps, with matrices."""
+    floor = np.array(list(q.AXES.values()))
+    at = lambda p: np.sort(x, axis=0)[max(0, math.ceil(p * len(x)) - 1)]
+    med, spread = at(0.5), np.maximum((at(0.75) - at(0.25)) / 1.349, floor)
+    z = (x - med) / spread
+    length = np.linalg.norm(z, axis=1, keepdims=True)
+    signs = np.divide(z, length, out=np.zeros_like(z), where=length > 0)
+    cov = lambda y: np.cov(y.T, bias=True)
+    both, least = np.outer(spread, spread), np.diag(floor**2)
+    starts = [(med, np.diag(spread**2)), (x.mean(0), cov(x) + least), (med, cov(np.tanh(z)) * both + least), (med, 4 * signs.T @ signs / len(x) * both + least)]
+    scale = share / q._chi2(q.chi2_quantile(share, 4), 6)
+
+    def step(centre, scatter):
+        d = x - centre
+        bins = np.floor(np.log2(np.einsum("ij,ij->i", d @ np.linalg.inv(scatter), d) + 1e-6) * q.BINS_A_DOUBLING)
+        kept = np.zeros(len(x), dtype=bool)
+        for b in np.unique(bins):
+            if kept.sum() >= share * len(x):
+                break
+            kept |= bins == b
+        grown = 1 + (scale - 1) * min(1.0, (1 - kept.mean()) / (1 - share))
+        return x[kept].mean(0), cov(x[kept]) * grown + least
+
+    size = lambda fit: np.linalg.slogdet(fit[1])[1]
+    best = min((step(*step(*s)) for s in starts), key=size)
+    for _ in range(30):
+        new = step(*best)
+        if not size(new) < size(best) - 1e-6:
+            break
+        best = new
+    return best
+
+
+def test_estimate_is_that_of_the_plain_version(spark):
+    pick = np.random.default_rng(11)
+    groups = {}
+    for g in range(5):
+        a = pick.normal(size=(4, 4)) * 0.4
+        x = pick.normal(size=(200 + 90 * g, 4)) @ a + pick.normal(size=4)
+        x[: 40 * g // 2] += pick.normal(size=4) * 6
+        groups[f"g{g}"] = x
+    frame = spark.createDataFrame([(g, *map(float, r)) for g, x in groups.items() for r in x], "`group` string, " + ", ".join(f"{a} double" for a in q.AXES))
+    found = {r["group"]: r["fit"] for r in q.minimum_covariance(frame).collect()}
+    for g, x in groups.items():
+        mean, cov = plain_estimate(x)
+        inverse = np.linalg.inv(np.linalg.cholesky(cov))
+        assert np.allclose([found[g][f"m{k}"] for k in range(4)], mean, atol=1e-8)
+        assert np.allclose([found[g][f"c{i}{j}"] for i in range(4) for j in range(i + 1)], [inverse[i, j] for i in range(4) for j in range(i + 1)], rtol=1e-6, atol=1e-8)
+
+
+def test_kept_is_that_of_the_plain_version(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").filter("lang = 'en' and source < 'src13'")
+    got = q.apply_rules(docs).join(docs.select("doc_id", "source"), "doc_id").toPandas()
+    lines = {r["doc_id"]: sum(bool(WORD.search(x)) for x in (r["text"] or "").split("\n")) for r in docs.collect()}
+    n = got["n_words"].clip(lower=1)
+    got["x"] = list(np.stack([np.log(got["word_chars"].clip(lower=1) / n), np.sqrt(got["n_symbols"] / n), np.sqrt(got["n_dup_lines"] / got["doc_id"].map(lines).clip(lower=1)), np.sqrt(got["n_repeat_words"] / n)], axis=1))
+    good = got[~got["base_failed"]]
+    sizes = good["source"].value_counts()
+    small = set(sizes[sizes < 40].index)
+    pooled = sizes[list(small)].sum() if small else 0
+    cut = q.chi2_quantile(1 - 1e-6, 4)
+    for source, own in good.groupby(good["source"].map(lambda s: "small" if s in small else s)):
+        if source == "small" and pooled < 40:
+            assert own["kept"].all()
+            continue
+        x = np.stack(own["x"])
+        mean, cov = plain_estimate(x)
+        distance = np.einsum("ij,ij->i", (x - mean) @ np.linalg.inv(cov), x - mean)
+        assert np.allclose(own["distance2"], distance, rtol=1e-5, atol=1e-8) and (own["kept"] == (distance <= cut)).all()
+    assert not got[got["base_failed"]]["kept"].any()
+
+
+def test_moderate_outliers_go(spark):
+    pick = np.random.default_rng(2)
+    vocabulary = [f"word{k}" for k in range(3000)]
+    text = lambda: [str(w) for w in pick.choice(vocabulary, 300)]
+    rows = [(k, " ".join(text()), "en", "s") for k in range(200)]
+    symbols = text()
+    symbols[::4] = [f"{w}#" for w in symbols[::4]]
+    line = " ".join(text()[:12])
+    lines = "\n".join([line] * 7 + [" ".join(text()[:12]) for _ in range(3)])
+    part = text()[:60]
+    repeats = " ".join(part + text()[:60] + part + text()[:60])
+    rows += [(900, " ".join(symbols), "en", "s"), (901, lines, "en", "s"), (902, repeats, "en", "s"), (903, " ".join(w * 4 for w in text()), "en", "s")]
+    got = {r["doc_id"]: (r["base_failed"], r["kept"]) for r in q.apply_rules(frame(spark, rows)).collect()}
+    assert all(got[k][1] for k in range(200)) and not any(got[k][1] for k in (900, 901, 902, 903)) and not got[900][0]
+
+
+def test_many_groups_are_salted(spark, monkeypatch):
+    monkeypatch.setattr(q, "FEW_GROUPS", 1)
+    rows = spark.range(400).select(F.concat(F.lit("g"), F.col("id") % 3).alias("group"), *(F.rand(k).alias(a) for k, a in enumerate(q.AXES)))
+    fits = spark.createDataFrame([("g0", 1), ("g1", 2)], "`group` string, fit int")
+    assert q.with_fits(rows, fits).groupBy("group").agg(F.count("*").alias("n"), F.max("fit").alias("f")).orderBy("group").collect() == [("g0", 134, 1), ("g1", 133, 2)]
+    assert q.with_fits(rows, fits, "left").filter("fit is null").count() == 133
+
+
 def test_distance_is_mahalanobis(spark):
     pick = np.random.default_rng(5)
     a = pick.normal(size=(4, 4))
