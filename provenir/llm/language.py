@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -14,6 +15,7 @@ from .common import learnable
 SLOTS = 1 << 19
 CHARS = 1 << 21
 UNKNOWN = "und"
+_SPACE = re.compile(r"[ \t\r\n]")
 
 
 _LETTERS: list[np.ndarray] = []
@@ -38,11 +40,43 @@ def _trigrams(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return context[used], gram[used] >> np.uint64(45), np.nonzero(last[used] == 0)[0]
 
 
+#: Characters of a text that are looked at at once, and n-grams whose likelihoods are.
+PIECE, WINDOW = 1 << 20, 1 << 19
+
+
+def _pieces(text: str) -> Iterator[str]:
+    """A text in pieces of about PIECE characters, cut at white space, where no trigram reaches over."""
+    at = 0
+    while len(text) - at > PIECE:
+        cut = _SPACE.search(text, at + PIECE)
+        if not cut:
+            break
+        yield text[at : cut.start()]
+        at = cut.start()
+    yield text[at:] if at else text
+
+
+def word_likelihoods(dense: np.ndarray, gram: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Log-likelihood of each word under each language: sums of its n-grams, in windows of bounded size."""
+    out = np.empty((len(starts), dense.shape[1]))
+    ends = np.append(starts[1:], len(gram))
+    i = 0
+    while i < len(starts):
+        j = max(i + 1, int(np.searchsorted(starts, starts[i] + WINDOW)))
+        lo, hi = starts[i], ends[j - 1]
+        if j == i + 1:
+            out[i] = sum(dense[gram[k : min(k + WINDOW, hi)]].sum(0, dtype=np.float64) for k in range(lo, hi, WINDOW))
+        else:
+            out[i:j] = np.add.reduceat(dense[gram[lo:hi]], starts[i:j] - lo, axis=0)
+        i = j
+    return out
+
+
 def _counts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         found: dict[str, list] = {}
         for lang, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-            found.setdefault(lang, []).append(_trigrams(text.as_py())[:2])
+            found.setdefault(lang, []).extend(_trigrams(piece)[:2] for piece in _pieces(text.as_py()))
         for lang, own in found.items():
             context, gram = (np.concatenate(x) for x in zip(*own))
             gram, first, times = np.unique(gram, return_index=True, return_counts=True)
@@ -50,15 +84,16 @@ def _counts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array([lang] * len(gram), pa.string()), *columns], names=["lang", "context", "gram", "n"])
 
 
-def fit(labelled: DataFrame, most_rows: int = 2000, smoothing: float = 0.5) -> tuple[list[str], np.ndarray, np.ndarray]:
+def fit(labelled: DataFrame, most_rows: int = 2000, smoothing: float = 0.5, most_languages: int = 500) -> tuple[list[str], np.ndarray, np.ndarray]:
     """(languages, slots, log-likelihood of each slot under each language) from `labelled` (doc_id, text, lang).
 
-    Per language about `most_rows` rows are taken, those with the smallest hashes of doc_id: the bound of the sample.
+    Per language about `most_rows` rows are taken, those with the smallest hashes of doc_id, and of languages the
+    `most_languages` with most rows (ties by name): the bounds of the sample.
     All their letter trigrams (conditional on the first two) are kept, rare ones and those of rare languages too; they
     share SLOTS slots by hash, so the table is bounded.
     """
     known = labelled.filter("lang is not null and text is not null")
-    sizes = {r["lang"]: r["count"] for r in known.groupBy("lang").count().collect()}
+    sizes = {r["lang"]: r["count"] for r in known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(most_languages).collect()}
     if not sizes:
         return [], np.empty(0, dtype=np.int64), np.empty((0, 0))
     share = F.create_map(*(x for k, n in sizes.items() for x in (F.lit(k), F.lit(min(1.0, most_rows / n)))))
@@ -145,19 +180,19 @@ def _predicted(languages: list[str], slots: np.ndarray, table: np.ndarray, penal
             waiting, held = [], 0
 
             def settle() -> None:
-                rows = [np.add.reduceat(dense[g.astype(np.int64)], s, axis=0) for _, g, s in waiting]
-                starts = np.concatenate([[0], np.cumsum([len(r) for r in rows])[:-1]]).astype(np.int64)
-                pi = proportions(np.concatenate(rows).astype(np.float64), starts, penalty)
-                for (at, _, _), p in zip(waiting, pi):
+                starts = np.concatenate([[0], np.cumsum([len(r) for _, r in waiting])[:-1]]).astype(np.int64)
+                pi = proportions(np.concatenate([r for _, r in waiting]), starts, penalty)
+                for (at, _), p in zip(waiting, pi):
                     k = int(np.argmax(p))
                     langs[at], scores[at] = languages[k], min(1.0, float(p[k]))
                     mixes[at] = [(languages[j], float(p[j])) for j in np.nonzero(p > 0)[0]]
 
             for at, text in enumerate(batch.column("text")):
-                _, gram, starts = _trigrams(text.as_py() or "")
-                if len(gram) and languages:
-                    waiting.append((at, gram, starts))
-                    held += len(gram)
+                found = [_trigrams(piece) for piece in _pieces(text.as_py() or "")] if languages else []
+                rows = [word_likelihoods(dense, gram.astype(np.int64), starts) for _, gram, starts in found if len(gram)]
+                if rows:
+                    waiting.append((at, np.concatenate(rows)))
+                    held += sum(len(gram) for _, gram, _ in found)
                 if held >= CHARS:
                     settle()
                     waiting, held = [], 0
@@ -177,8 +212,9 @@ def identify(docs: DataFrame, labelled: DataFrame | None = None, penalty: float
     Returns doc_id (or the columns named in `carried`), lang_pred (language of the largest proportion; `und` for null
     texts, texts without a letter, and if nothing could be learned), score (its proportion, 0 for `und`) and mixture
     (language -> proportion over the chosen set). `labelled` defaults to the rows of `docs` outside the held-out
-    quarter. Predictions see the text alone; repeated rows are predicted each; other columns are ignored; an empty
-    table gives no rows.
+    quarter; rows without text, lang or doc_id teach nothing. Predictions see the text alone, the whole of it: a very
+    long one is read in pieces cut at white space. Equal proportions go to the first language by name; repeated rows are
+    predicted each; other columns are ignored, whatever their names; an empty table gives no rows.
     """
     source = docs.filter(learnable(F.col("doc_id"))) if labelled is None else labelled
     languages, slots, table = fit(source.select("doc_id", "text", "lang"), **fitting)

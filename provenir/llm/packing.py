@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import base64
 import heapq
 import json
 import zlib
@@ -146,14 +145,17 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id: int = 1,
 
     A document is its token ids and `end_id`; it is cut into pieces of `capacity` and a rest. Returned per piece:
     doc_id, start, length, doc_tokens, the payload (`ids`, little-endian unsigned 32-bit; or `ids_crc32`; or none),
-    sequence_id and offset. Null and empty texts are the end id alone; repeated rows are packed each; columns other
-    than doc_id and text are ignored; an empty table gives no rows. The histogram of lengths has at most `capacity`
-    rows and is what reaches the driver.
+    sequence_id and offset. Null and empty texts are the end id alone; a very long text is cut into as many pieces as it
+    needs, and a task holds one text's ids at a time; pieces of one length go in order of a hash of doc_id, start and
+    payload, so ties do not meet in one task; repeated rows are packed each; columns other than doc_id and text are
+    ignored, whatever their names; an empty table gives no rows. The histogram of lengths has at most `capacity` rows and
+    is what reaches the driver.
     """
     cut, kind = _pieces(tokenizer, capacity, end_id, payload)
     pieces = staged(docs.select("doc_id", "text").mapInArrow(cut, kind), "pieces")
     histogram = {r["length"]: r["count"] for r in pieces.groupBy("length").count().collect()}
     intervals = shortest_pack_first(histogram, capacity)
-    ranked = salted_rank(pieces, ["length"], ["doc_id", "start"], salts_for(sum(histogram.values())), "rank")
+    told = {"ids": ["ids"], "crc32": ["ids_crc32"], None: []}[payload]
+    ranked = salted_rank(pieces, ["length"], ["doc_id", "start", *told], salts_for(sum(histogram.values())), "rank")
     place, schema = _placed(intervals, kind)
     return ranked.select(*pieces.columns, F.col("rank")).mapInArrow(place, schema)

@@ -1,3 +1,5 @@
+import math
+
 import numpy as np
 
 from provenir.llm import language
@@ -73,3 +75,62 @@ def test_sets_of_more_than_four_languages():
     likelihood = np.where(np.arange(8) == kind[:, None], -5.0, -14.0)
     best = language.proportions(likelihood, np.array([0]), 6.0)
     assert np.abs(best[0] - np.array([1 / 6] * 6 + [0, 0])).max() < 0.01
+
+
+def plain_choice(likelihood, penalty, rounds=8):
+    """The best set of one document, word by word."""
+    n, count = likelihood.shape
+
+    def em(allowed):
+        pi = [1 / len(allowed)] * len(allowed)
+        for _ in range(rounds):
+            sums = [0.0] * len(allowed)
+            for row in likelihood:
+                top = max(row)
+                z = [p * math.exp(row[k] - top) for p, k in zip(pi, allowed)]
+                for i, v in enumerate(z):
+                    sums[i] += v / max(sum(z), 1e-300)
+            pi = [s / n for s in sums]
+        value = sum(math.log(max(sum(p * math.exp(row[k] - max(row)) for p, k in zip(pi, allowed)), 1e-300)) + max(row) for row in likelihood)
+        return dict(zip(allowed, pi)), value
+
+    order = sorted(range(count), key=lambda k: (-em(list(range(count)))[0][k], k))
+    alone = max(range(count), key=lambda k: (likelihood[:, k].sum(), -k))
+    best, value = {alone: 1.0}, likelihood[:, alone].sum()
+    for k in range(2, count + 1):
+        mixed, v = em(sorted(order[:k]))
+        if v - (k - 1) * penalty * math.log(n + 1) / 2 > value:
+            best, value = mixed, v - (k - 1) * penalty * math.log(n + 1) / 2
+    return [best.get(k, 0.0) for k in range(count)]
+
+
+def test_choice_of_the_set_is_the_plain_one():
+    pick = np.random.default_rng(12)
+    documents = []
+    for k in range(25):
+        true = pick.dirichlet([0.4] * 4)
+        kind = pick.choice(4, size=pick.integers(1, 120), p=true)
+        documents.append(np.where(np.arange(4) == kind[:, None], -5.0, -8.0) + pick.normal(size=(len(kind), 4)))
+    starts = np.concatenate([[0], np.cumsum([len(d) for d in documents])[:-1]]).astype(np.int64)
+    got = language.proportions(np.concatenate(documents), starts, 6.0)
+    wanted = [plain_choice(d, 6.0) for d in documents]
+    assert np.allclose(got, wanted, atol=1e-9) and len({sum(p > 0 for p in w) for w in wanted}) > 2
+
+
+def test_long_texts_in_pieces(monkeypatch):
+    pick = np.random.default_rng(3)
+    text = " ".join("".join(pick.choice(list("abcdeé "), pick.integers(1, 9))) for _ in range(900)) + "z" * 500
+    context, gram, starts = language._trigrams(text)
+    dense = pick.normal(size=(language.SLOTS, 3)).astype(np.float32)
+    whole = language.word_likelihoods(dense, gram.astype(np.int64), starts)
+    plain = [dense[gram[a:b].astype(np.int64)].sum(0, dtype=np.float64) for a, b in zip(starts, [*starts[1:], len(gram)])]
+    monkeypatch.setattr(language, "PIECE", 100)
+    monkeypatch.setattr(language, "WINDOW", 16)
+    pieces = list(language._pieces(text))
+    parts = [language.word_likelihoods(dense, g.astype(np.int64), s) for _, g, s in map(language._trigrams, pieces) if len(g)]
+    assert len(pieces) > 20 and "".join(pieces) == text and np.allclose(np.concatenate(parts), plain, atol=1e-4) and np.allclose(whole, plain, atol=1e-4)
+
+
+def test_languages_beyond_the_bound(spark):
+    rows = [(k, "the cat and the dog", "en", 0.0, "") for k in range(9)] + [(20 + k, "der hund", f"x{k}", 0.0, "") for k in range(5)]
+    assert language.fit(spark.createDataFrame(rows, SCHEMA), most_languages=3)[0] == ["en", "x0", "x1"]

@@ -30,6 +30,22 @@ def test_ids_equal_tokenizers(tokenizer):
         assert np.frombuffer(ids.encode(text), dtype="<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids, repr(text)
 
 
+def test_ids_of_all_of_unicode(tokenizer):
+    ids = packing.TokenIds(tokenizer_path())
+    pick = random.Random(5)
+    points = [c for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    blanks = [chr(c) for c in points if chr(c).isspace()]
+    for k in range(0, len(points), 400):
+        text = "".join(chr(c) + pick.choice(("", "", " ", "a", pick.choice(blanks))) for c in points[k : k + 400])
+        assert np.frombuffer(ids.encode(text), dtype="<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids, k
+
+
+def test_texts_without_an_id_of_their_own(spark):
+    rows = [(None, f"text {k} " * 9) for k in range(60)] + [(7, "same")] * 20
+    got = packing.pack(docs(spark, rows), tokenizer_path(), 64, 1, payload="crc32").collect()
+    assert len({(r["sequence_id"], r["offset"]) for r in got}) == len(got) == 80
+
+
 def test_every_id_once_and_gapless(spark, tokenizer):
     texts = [(1, None), (2, ""), (3, "one two three"), (3, "one two three"), (4, "word " * 5000), (None, "x"), *((k, "tie tie") for k in range(10, 40))]
     got = packing.pack(docs(spark, texts), tokenizer_path(), 64, 1, payload="ids").collect()
