@@ -13,7 +13,12 @@ LEAST_SHARE = 0.5
 
 
 def keep_known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a language that makes up half of the text or more; a missing `lang` is filled in."""
+    """Documents with a language that makes up half of the text or more; a missing `lang` is filled in.
+
+    Null texts and texts without a letter go, and so does everything if no row has a `lang` to learn from. Very long texts
+    are read whole; equal proportions go to the first language by name; repeated rows and rows without doc_id are judged
+    each; other columns pass, whatever their names; an empty table gives no rows.
+    """
     read = docs.select("doc_id", "text", "lang", F.struct("*").alias("row"))
     found = language.identify(read, carried=["row"])
     kept = found.filter((F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= LEAST_SHARE))
@@ -25,6 +30,8 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
     A group is made of rows: those that repeat a doc_id, share one with another text, or have none are members by their
     text like any other. A row without doc_id is taken if no member has one; of repeated rows that with the smallest hash.
+    Null texts stay too, repeated ones each. Very long texts are compared whole; ties go by the hash of doc_id and text; other
+    columns pass, whatever their names; an empty table gives no rows.
     """
     keyed = docs.select(F.xxhash64("doc_id", "text").alias("id"), F.struct(*docs.columns).alias("row"))
     linked = jaccard.jaccard_components(keyed.select(F.col("id").alias("doc_id"), "row.text"), size=5, percent=80)
@@ -41,7 +48,12 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def replace_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts with surrogates; n_chars follows."""
+    """Texts with surrogates; n_chars follows where a text has changed.
+
+    Every row stays. Null and empty texts stay as they are, very long ones are read whole, repeated rows are changed
+    alike, and values that two entities drew go to the first of them; other columns pass, whatever their names; an empty table
+    gives no rows.
+    """
     made = pii.pseudonymise(docs)
     if "n_chars" in docs.columns:
         made = made.withColumn("n_chars", F.when(F.col("n_replaced") > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
@@ -49,12 +61,21 @@ def replace_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """What the mix takes of each document, up to three copies."""
+    """What the mix takes of each document, up to three copies.
+
+    Null and blank texts have no word to take and go, as do texts of which nothing is taken. A null source is a source. Very
+    long texts are cut like any other; repeated rows are documents of their own; ties of order go by hash; other columns
+    pass, whatever their names; an empty table gives no rows.
+    """
     return mixing.mixed_documents(docs)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of documents with their places in sequences of 2048 tokens."""
+    """Pieces of documents with their places in sequences of 2048 tokens: the columns of the packing query, not of documents.
+
+    Null and empty texts are the end id alone, very long ones as many pieces as they need; repeated rows are packed each, ties
+    go by hash; other columns are left out; an empty table gives no rows.
+    """
     return packing.pack(docs, tokenizer_path(), 2048, 1, payload="crc32")
 
 
@@ -71,6 +92,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over `documents`, each written to the shared folder and read again before the next."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for k, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
