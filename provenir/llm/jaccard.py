@@ -202,18 +202,19 @@ def _flat(tokens: list[np.ndarray], keys: list[int], counts: list[int], sizes: l
 
 #: Postings that a task joins at once.
 CHUNK = 1 << 20
-POSTING = "place long, token long, key long, n int, bin int, other long, many boolean"
+#: `size`: the set's size, its bin (9 bits) and whether the row stands for others too (1 bit). A token equal to its place is left out.
+POSTING = "place long, token long, key long, size long, other long"
 
 
 def size_bin(n, percent: int):
     """A number that differs by one at most between sets whose sizes allow a link."""
-    return np.floor(np.log(n) / (np.log(100 / percent) * (1 + 1e-6) + 1e-12)).astype(np.int32)
+    return np.floor(np.log(n) / (np.log(100 / percent) * (1 + 1e-6) + 1e-12)).astype(np.int64)
 
 
 def _joined(percent: int):
     """Chunks of postings (token, key, n) as rows of POSTING, the sets of one token and bin joined with their first.
 
-    The first stands for them: its row goes to its token's place, with `many` if it stands for others too. The others
+    The first stands for them: its row goes to its token's place and says whether it stands for others too. The others
     have a partner already; they go to a place of their own, so that a token held by very many sets is not gathered.
     """
 
@@ -234,9 +235,8 @@ def _joined(percent: int):
             cut = slice(start, start + (1 << 16))
             lead = first[cut]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.where(lead, token[cut], own[cut])), pa.array(token[cut]), pa.array(key[cut]), pa.array(n[cut].astype(np.int32)), pa.array(bins[cut]),
-                 pa.array(key[at][group[cut]], mask=lead), pa.array(many[group[cut]])],
-                names=["place", "token", "key", "n", "bin", "other", "many"],
+                [pa.array(np.where(lead, token[cut], own[cut])), pa.array(token[cut], mask=lead), pa.array(key[cut]), pa.array((n[cut] << 10) + (bins[cut] << 1) + many[group[cut]]), pa.array(key[at][group[cut]], mask=lead)],
+                names=["place", "token", "key", "size", "other"],
             )
 
     return run
@@ -264,8 +264,9 @@ def _partners(postings: DataFrame) -> DataFrame:
     A place holds a row a task and bin at most; neighbours by bin are partners, and copies of a set are none.
     `before`: the partner that a row is joined with; the partners of a token are so all connected.
     """
+    rows = postings.select("place", F.coalesce("token", "place").alias("token"), "key", F.shiftright("size", 10).cast("int").alias("n"), F.shiftright(F.col("size").bitwiseAND(1022), 1).cast("int").alias("bin"), "other", (F.col("size").bitwiseAND(1) == 1).alias("many"))
     by_bin = W.partitionBy("place").orderBy("bin", "key")
-    once = postings.withColumn("_p", F.lag("key").over(by_bin)).withColumn("_q", F.max("many").over(W.partitionBy("place", "bin", "key")))
+    once = rows.withColumn("_p", F.lag("key").over(by_bin)).withColumn("_q", F.max("many").over(W.partitionBy("place", "bin", "key")))
     near = once.filter("other is not null or _p is null or _p <> key").select(
         "token", "key", "n", "bin", "other", F.col("_q").alias("many"),
         F.lag("key").over(by_bin).alias("_l"), F.lag("bin").over(by_bin).alias("_lb"), F.lead("bin").over(by_bin).alias("_rb"),
@@ -438,7 +439,7 @@ def _tile(level: Column, part: Column) -> Column:
     return F.shiftleft(level.cast("long"), 40) + part
 
 
-def jaccard_components(docs: DataFrame, size: int = 5, percent: int = 80, share: int = 10, tile_rows: int = 512, tile_shingles: int = 2_000_000) -> DataFrame:
+def jaccard_components(docs: DataFrame, size: int = 5, percent: int = 80, share: int = 10, tile_rows: int = 128, tile_shingles: int = 1_000_000) -> DataFrame:
     """Links documents of `docs` (doc_id, text) whose shingle sets have a Jaccard similarity of percent % or more.
 
     Returns per document: doc_id, n_shingles (0 for null and blank texts, which link with nothing), class_id (the

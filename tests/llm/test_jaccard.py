@@ -130,7 +130,7 @@ def test_joined_postings_connect_what_a_token_holds():
     keys, n = np.arange(50), np.array([10] * 40 + [12] * 5 + [1000] * 5)
     token = np.full(50, 7)
     out = [r for batch in jaccard._joined(80)(np.append(token, token[:3]), np.append(keys, keys[:3]), np.append(n, n[:3])) for r in batch.to_pylist()]
-    assert len(out) == 50 and sum(r["place"] == 7 for r in out) == len({r["bin"] for r in out}) and all(r["many"] for r in out)
+    assert len(out) == 50 and sum(r["place"] == 7 for r in out) == len({r["size"] & 1022 for r in out}) and all(r["size"] & 1 for r in out)
     assert all((r["other"] is None) == (r["place"] == 7) for r in out)
 
 
