@@ -221,7 +221,7 @@ def _joined(percent: int):
     def run(token: np.ndarray, key: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
         bins = size_bin(n, percent)
         order = np.lexsort((key, bins, token))
-        token, key, n, bins = token[order], key[order], n[order], bins[order]
+        token, key, n, bins = (x[order] for x in (token, key, n, bins))
         once = np.ones(len(token), dtype=bool)
         once[1:] = (token[1:] != token[:-1]) | (key[1:] != key[:-1])
         token, key, n, bins = token[once], key[once], n[once], bins[once]
@@ -231,11 +231,15 @@ def _joined(percent: int):
         many = np.diff(np.append(at, len(token))) > 1
         group = np.cumsum(first) - 1
         own = (token.astype(np.uint64) * _MULTIPLIER + key.astype(np.uint64)).view(np.int64)
+        size, other = (n << 10) + (bins << 1) + many[group], key[at][group]
+        # handed on in the order that they came in, set by set, which packs better
+        back = np.argsort(order[once], kind="stable")
+        token, key, own, first, size, other = (x[back] for x in (token, key, own, first, size, other))
         for start in range(0, len(token), 1 << 16):
             cut = slice(start, start + (1 << 16))
             lead = first[cut]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.where(lead, token[cut], own[cut])), pa.array(token[cut], mask=lead), pa.array(key[cut]), pa.array((n[cut] << 10) + (bins[cut] << 1) + many[group[cut]]), pa.array(key[at][group[cut]], mask=lead)],
+                [pa.array(np.where(lead, token[cut], own[cut])), pa.array(token[cut], mask=lead), pa.array(key[cut]), pa.array(size[cut]), pa.array(other[cut], mask=lead)],
                 names=["place", "token", "key", "size", "other"],
             )
 
@@ -372,6 +376,8 @@ def product_links(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, p
     return forest
 
 
+#: Rows that a task of the product is to get, over all its pairs of tiles.
+CELL_ROWS = 1024
 #: Rows of a tile that are multiplied at once.
 PART_ROWS = 1024
 
@@ -478,7 +484,8 @@ def jaccard_components(docs: DataFrame, size: int = 5, percent: int = 80, share:
     if _repeats(full):
         known = known.dropDuplicates(["key"])
     cells = known.withColumn("other", F.explode("others")).select("key", "block", "tile", F.least("tile", "other").alias("first"), F.greatest("tile", "other").alias("second"), "data")
-    links = cells.groupBy("block", "first", "second").applyInPandas(_cell(size, percent), "u long, v long")
+    few = -(-(placed.agg(F.sum(F.size("others"))).first()[0] or 1) // CELL_ROWS)
+    links = cells.repartition(min(100_000, few), "block", "first", "second").groupBy("block", "first", "second").applyInPandas(_cell(size, percent), "u long, v long")
     merged = components(links, "links")
 
     joined = firsts.join(merged, F.col("key") == F.col("node"), "left").select("key", "class_id", F.coalesce("component", "key").alias("root"))
