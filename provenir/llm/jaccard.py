@@ -186,9 +186,9 @@ def _prefixes(size: int, percent: int, share: int, load: np.ndarray):
                 counts.append(len(rare))
                 sizes.append(len(s))
                 held += len(rare)
-            if held >= CHUNK:
-                yield from join(*_flat(tokens, keys, counts, sizes))
-                tokens, keys, counts, sizes, held = [], [], [], [], 0
+                if held >= CHUNK:
+                    yield from join(*_flat(tokens, keys, counts, sizes))
+                    tokens, keys, counts, sizes, held = [], [], [], [], 0
         if held:
             yield from join(*_flat(tokens, keys, counts, sizes))
 
@@ -201,7 +201,7 @@ def _flat(tokens: list[np.ndarray], keys: list[int], counts: list[int], sizes: l
 
 
 #: Postings that a task joins at once.
-CHUNK = 1 << 20
+CHUNK = 1 << 18
 #: `size`: the set's size, its bin (9 bits) and whether the row stands for others too (1 bit). A token equal to its place is left out.
 POSTING = "place long, token long, key long, size long, other long"
 
