@@ -19,10 +19,11 @@ def keep_known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
     are read whole; equal proportions go to the first language by name; repeated rows and rows without doc_id are judged
     each; other columns pass, whatever their names; an empty table gives no rows.
     """
-    read = docs.select("doc_id", "text", "lang", F.struct("*").alias("row"))
-    found = language.identify(read, carried=["row"])
+    rest = F.struct(*(c for c in docs.columns if c != "text")).alias("row")
+    found = language.identify(docs.select("doc_id", "text", "lang", rest), carried=["text", "row"])
     kept = found.filter((F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= LEAST_SHARE))
-    return kept.select(F.col("row").withField("lang", F.coalesce("row.lang", "lang_pred")).alias("row")).select("row.*").select(*docs.columns)
+    named = kept.select("text", F.col("row").withField("lang", F.coalesce("row.lang", "lang_pred")).alias("row"))
+    return named.select(*(F.col("text") if c == "text" else F.col("row")[c].alias(c) for c in docs.columns))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
