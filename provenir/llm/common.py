@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
-from functools import reduce
+import ctypes
+import gc
+from collections.abc import Callable, Iterable, Iterator
+from functools import reduce, wraps
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window as W
 from pyspark.sql import functions as F
 
@@ -14,6 +18,24 @@ WORD = r"[^\x20\x09-\x0D]+"
 SPACE = r"[\x20\x09-\x0D]+"
 
 
+def tidy(run: Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """`run` for mapInArrow, giving memory back to the system at the end of a task: workers are used again by later stages."""
+
+    @wraps(run)
+    def tidied(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            try:
+                ctypes.CDLL(None).malloc_trim(0)
+            except (OSError, AttributeError):  # not glibc
+                pass
+
+    return tidied
+
+
 def documents(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet").select(*(columns or ("*",)))
 

@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window as W
 from pyspark.sql import functions as F
 
-from .common import components, staged, unstage
+from .common import components, staged, tidy, unstage
 
 BUCKETS = 1 << 20
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
@@ -147,7 +147,7 @@ def texts_of(rows: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
     n = max(1, wanted.count())
     marks = min(MOST_MARKS, max(LEAST_MARKS, 1 << (16 * n - 1).bit_length()))
     bits = _gathered(wanted.select("doc_id").mapInArrow(_marked(marks), "part long, data binary"), np.uint8, np.bitwise_or, marks // 8)
-    return rows.mapInArrow(_holding(bits, marks, size), "doc_id long, key long, data binary")
+    return rows.mapInArrow(tidy(_holding(bits, marks, size)), "doc_id long, key long, data binary")
 
 
 def _needed(n: np.ndarray | int, percent: int):
@@ -465,7 +465,7 @@ def jaccard_components(docs: DataFrame, size: int = 5, percent: int = 80, share:
     """
     rows = docs.select("doc_id", F.col("text").cast("binary").alias("data"))
     summary, schema = _summaries(size)
-    made = staged(rows.mapInArrow(summary, schema), "summaries")
+    made = staged(rows.mapInArrow(tidy(summary), schema), "summaries")
     parts = made.filter("counts is not null").select(F.col("n_shingles").alias("part"), F.col("counts").alias("data"))
     load = np.minimum(_gathered(parts, np.int64, np.add, BUCKETS), np.iinfo(np.int32).max).astype(np.int32)
 
@@ -473,7 +473,7 @@ def jaccard_components(docs: DataFrame, size: int = 5, percent: int = 80, share:
     full = sized.filter("key is not null")
     firsts = staged(full.groupBy("key").agg(F.min("doc_id").alias("class_id"), F.first("n_shingles").alias("n_shingles")), "classes")
 
-    near = components(_candidates(rows.mapInArrow(_prefixes(size, percent, share, load), POSTING), percent, share), "blocks")
+    near = components(_candidates(rows.mapInArrow(tidy(_prefixes(size, percent, share, load)), POSTING), percent, share), "blocks")
     blocks = near.select(F.col("node").alias("key"), F.col("component").alias("block")).join(firsts.select("key", "class_id", "n_shingles"), "key")
     placed = staged(tiled(blocks, percent, tile_rows, tile_shingles), "tiles")
     wanted = placed.select(F.col("class_id").alias("doc_id"), "key", "block", "tile", "others")

@@ -10,10 +10,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import learnable
+from .common import learnable, tidy
 
 SLOTS = 1 << 19
-CHARS = 1 << 21
+CHARS = 1 << 19
 UNKNOWN = "und"
 _SPACE = re.compile(r"[ \t\r\n]")
 
@@ -73,15 +73,23 @@ def word_likelihoods(dense: np.ndarray, gram: np.ndarray, starts: np.ndarray) ->
 
 
 def _counts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """How often each trigram stands in the texts of each language, added up for WINDOW trigrams at a time."""
+
+    def summed(lang: str | None, own: list) -> pa.RecordBatch:
+        context, gram = (np.concatenate(x) for x in zip(*own))
+        gram, first, times = np.unique(gram, return_index=True, return_counts=True)
+        columns = [pa.array(x.astype(np.int64)) for x in (context[first], gram, times)]
+        return pa.RecordBatch.from_arrays([pa.array([lang] * len(gram), pa.string()), *columns], names=["lang", "context", "gram", "n"])
+
+    found: dict[str, list] = {}
     for batch in batches:
-        found: dict[str, list] = {}
         for lang, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-            found.setdefault(lang, []).extend(_trigrams(piece)[:2] for piece in _pieces(text.as_py()))
-        for lang, own in found.items():
-            context, gram = (np.concatenate(x) for x in zip(*own))
-            gram, first, times = np.unique(gram, return_index=True, return_counts=True)
-            columns = [pa.array(x.astype(np.int64)) for x in (context[first], gram, times)]
-            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(gram), pa.string()), *columns], names=["lang", "context", "gram", "n"])
+            own = found.setdefault(lang, [])
+            own.extend(_trigrams(piece)[:2] for piece in _pieces(text.as_py()))
+            if sum(len(gram) for _, gram in own) >= WINDOW:
+                yield summed(lang, found.pop(lang))
+    for lang, own in found.items():
+        yield summed(lang, own)
 
 
 def fit(labelled: DataFrame, most_rows: int = 2000, smoothing: float = 0.5, most_languages: int = 500) -> tuple[list[str], np.ndarray, np.ndarray]:
@@ -98,7 +106,7 @@ def fit(labelled: DataFrame, most_rows: int = 2000, smoothing: float = 0.5, most
         return [], np.empty(0, dtype=np.int64), np.empty((0, 0))
     share = F.create_map(*(x for k, n in sizes.items() for x in (F.lit(k), F.lit(min(1.0, most_rows / n)))))
     drawn = known.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < share[F.col("lang")] * (1 << 20))
-    counted = drawn.select("lang", "text").mapInArrow(_counts, "lang string, context long, gram long, n long").groupBy("lang", "context", "gram").agg(F.sum("n").alias("n"))
+    counted = drawn.select("lang", "text").mapInArrow(tidy(_counts), "lang string, context long, gram long, n long").groupBy("lang", "context", "gram").agg(F.sum("n").alias("n"))
     rows = counted.orderBy(F.desc("n"), "lang", "context", "gram").toPandas()
     languages = sorted(sizes)
     slots = np.unique(rows["gram"].to_numpy())
@@ -221,4 +229,4 @@ def identify(docs: DataFrame, labelled: DataFrame | None = None, penalty: float
     carried = carried or ["doc_id"]
     kinds = ", ".join(f"`{n}` {docs.schema[n].dataType.simpleString()}" for n in carried)
     read = docs.select(*dict.fromkeys([*carried, "text"]))
-    return read.mapInArrow(_predicted(languages, slots, table, penalty, carried), f"{kinds}, lang_pred string, score double, mixture map<string,double>")
+    return read.mapInArrow(tidy(_predicted(languages, slots, table, penalty, carried)), f"{kinds}, lang_pred string, score double, mixture map<string,double>")

@@ -14,9 +14,9 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import salted_rank, salts_for, staged
+from .common import salted_rank, salts_for, staged, tidy
 
-CACHED, LONGEST_CACHED = 300_000, 48
+CACHED, LONGEST_CACHED = 150_000, 48
 
 
 class TokenIds:
@@ -152,10 +152,10 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id: int = 1,
     is what reaches the driver.
     """
     cut, kind = _pieces(tokenizer, capacity, end_id, payload)
-    pieces = staged(docs.select("doc_id", "text").mapInArrow(cut, kind), "pieces")
+    pieces = staged(docs.select("doc_id", "text").mapInArrow(tidy(cut), kind), "pieces")
     histogram = {r["length"]: r["count"] for r in pieces.groupBy("length").count().collect()}
     intervals = shortest_pack_first(histogram, capacity)
     told = {"ids": ["ids"], "crc32": ["ids_crc32"], None: []}[payload]
     ranked = salted_rank(pieces, ["length"], ["doc_id", "start", *told], salts_for(sum(histogram.values())), "rank")
     place, schema = _placed(intervals, kind)
-    return ranked.select(*pieces.columns, F.col("rank")).mapInArrow(place, schema)
+    return ranked.select(*pieces.columns, F.col("rank")).mapInArrow(tidy(place), schema)
