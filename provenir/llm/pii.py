@@ -121,24 +121,21 @@ def _drawn(h: Column, i: int) -> Column:
     return F.conv(F.substring(h, 2 * i + 1, 2), 16, 10).cast("int")
 
 
-def _same_shape(text: Column, h: Column, hexadecimal: bool = False) -> Column:
+def _same_shape(text: Column, h: Column, hexadecimal: Column) -> Column:
     """Letters for letters of the same script and case, digits for digits, the rest as it is. Every 64 characters have a digest of their own."""
     pages = F.transform(F.sequence(F.lit(0), F.floor(F.length(text) / 64).cast("int")), lambda k: F.sha2(F.concat_ws("|", h, k.cast("string")), 512))
+    small, capital = LETTERS["Latin"]
 
-    def filled(page: Column) -> Column:
-        def number(i: Column) -> Column:
-            return F.conv(F.substr(F.element_at(page, (i / 64).cast("int") + 1), (i % 64) * 2 + 1, F.lit(2)), 16, 10).cast("int")
-
-        pick = lambda letters, i: F.substr(F.lit(letters), number(i) % len(letters) + 1, F.lit(1))
-        lower, upper = ("abcdef", "ABCDEF") if hexadecimal else LETTERS["Latin"]
+    def letters(c: Column) -> Column:
+        made = F.when(c.rlike(r"^\d$"), "0123456789").when(c.rlike("^[A-Z]$"), F.when(hexadecimal, "ABCDEF").otherwise(capital)).when(c.rlike("^[a-z]$"), F.when(hexadecimal, "abcdef").otherwise(small)).when(~c.rlike(r"^\p{L}$"), "")
+        for script, (low, high) in LETTERS.items():
+            made = made.when(c.rlike(rf"^\p{{Is{script}}}$"), F.when(c.rlike(r"^\p{Lu}$"), high).otherwise(low) if high else low)
+        return made.otherwise(F.when(c.rlike(r"^\p{Lu}$"), capital).otherwise(small))
 
+    def filled(page: Column) -> Column:
         def put(c: Column, i: Column) -> Column:
-            made = F.when(c.rlike(r"^\d$"), pick("0123456789", i)).when(c.rlike("^[A-Z]$"), pick(upper, i)).when(c.rlike("^[a-z]$"), pick(lower, i)).when(~c.rlike(r"^\p{L}$"), c)
-            for script, (small, capital) in LETTERS.items():
-                if capital:
-                    made = made.when(c.rlike(rf"^(?=\p{{Lu}})\p{{Is{script}}}$"), pick(capital, i))
-                made = made.when(c.rlike(rf"^\p{{Is{script}}}$"), pick(small, i))
-            return made.otherwise(pick(lower, i))
+            n = F.conv(F.substr(F.element_at(page, (i / 64).cast("int") + 1), (i % 64) * 2 + 1, F.lit(2)), 16, 10).cast("int")
+            return _let(letters(c), lambda own: F.when(own == "", c).otherwise(F.substr(own, n % F.greatest(F.length(own), F.lit(1)) + 1, F.lit(1))))
 
         return F.array_join(F.transform(F.filter(F.split(text, ""), lambda c: c != ""), put), "")
 
@@ -146,7 +143,7 @@ def _same_shape(text: Column, h: Column, hexadecimal: bool = False) -> Column:
 
 
 def _one_of(values: tuple[str, ...], h: Column, i: int) -> Column:
-    return F.element_at(F.array(*(F.lit(v) for v in values)), _drawn(h, i) % len(values) + 1)
+    return F.element_at(F.split(F.lit(" ".join(values)), " "), _drawn(h, i) % len(values) + 1)
 
 
 def _by_script(entity: Column, made) -> Column:
@@ -170,24 +167,27 @@ def surrogate(key: str, kind: Column, entity: Column, attempt: Column) -> Column
     spare = F.substr(F.regexp_replace(mac(F.lit("spare"), h), "[a-f]", ""), F.lit(1), late)  # late digits
     size = F.length(entity)
     local, host = F.substring_index(entity, "@", 1), F.substring_index(entity, "@", -1)
-    labels = F.regexp_replace(host, r"\.[^.]*$", "")
-    email = F.concat(_same_shape(local, h), spare, F.lit("@"), _same_shape(labels, mac(F.lit("host"), host)), F.lit(".example"))
     code = F.greatest(size - 10, F.lit(0))
-    phone = F.concat(F.substr(entity, F.lit(1), code), _same_shape(F.substr(entity, code + 1, size), h), spare)
-    body = F.concat(F.substr(entity, F.lit(1), F.lit(1)), _same_shape(F.substr(entity, F.lit(2), size - 2), h), spare)
+    # what is redrawn in the shape that it has, for every kind in one place
+    shape = F.when(kind == "email", local).when(kind == "phone", F.substr(entity, code + 1, size)).when(kind == "card", F.substr(entity, F.lit(2), size - 2)).when(kind.isin("ssn", "secret"), entity).otherwise("")
+    alike = _same_shape(shape, h, (kind == "secret") & entity.rlike("^(?:[0-9a-f]+|[0-9A-F]+)$"))
+    labels = F.when(kind == "email", F.regexp_replace(host, r"\.[^.]*$", "")).otherwise("")
+    email = F.concat(alike, spare, F.lit("@"), _same_shape(labels, mac(F.lit("host"), host), F.lit(False)), F.lit(".example"))
+    phone = F.concat(F.substr(entity, F.lit(1), code), alike, spare)
+    body = F.concat(F.substr(entity, F.lit(1), F.lit(1)), alike, spare)
     card = F.concat(body, ((10 - _luhn(body, True) % 10) % 10).cast("string"))
     byte = lambda i: _drawn(h, i).cast("string")
     private = F.concat_ws(".", F.lit("10"), byte(0), byte(1), (_drawn(h, 2) % 254 + 1).cast("string"))
     reserved = F.concat_ws(".", (_drawn(h, 3) % 15 + 240).cast("string"), byte(0), byte(1), byte(2))
     local_six = F.concat(F.lit("fd"), F.substring(h, 1, 2), *(F.concat(F.lit(":"), F.substring(h, 4 * k + 3, 4)) for k in range(7)))
     ip = F.when(attempt < 3, private).when(attempt < 6, reserved).otherwise(local_six)
-    alike = F.when(entity.rlike("^[0-9a-f]+$") | entity.rlike("^[0-9A-F]+$"), _same_shape(entity, h, True)).otherwise(_same_shape(entity, h))
     secret = F.when(attempt > 2, F.concat(F.substring(h, 1, 24), spare)).otherwise(alike)
     gender = F.substr(entity, F.lit(1), F.lit(1))
 
     def syllables(script: str, first: int, least: int) -> Column:
         count = F.least(F.lit(least) + attempt, F.lit(40))
-        return F.array_join(F.slice(F.array(*(_one_of(SYLLABLES[script], h, first + i) for i in range(40))), 1, count), "")
+        picked = lambda k: F.element_at(F.split(F.lit(" ".join(SYLLABLES[script])), " "), F.conv(F.substr(h, (k + first) * 2 + 1, F.lit(2)), 16, 10).cast("int") % len(SYLLABLES[script]) + 1)
+        return F.when(count > 0, F.array_join(F.transform(F.sequence(F.lit(0), F.greatest(count - 1, F.lit(0))), picked), "")).otherwise("")
 
     def given(script: str) -> Column:
         listed = F.when(gender == "m", _one_of(GIVEN["m", script], h, 0)).when(gender == "f", _one_of(GIVEN["f", script], h, 0)).otherwise(_one_of(GIVEN["n", script], h, 0))
@@ -195,7 +195,7 @@ def surrogate(key: str, kind: Column, entity: Column, attempt: Column) -> Column
 
     first, last = _by_script(entity, given), _by_script(entity, lambda script: syllables(script, 0, 3))
     return (
-        F.when(kind == "email", email).when(kind == "phone", phone).when(kind == "ssn", F.concat(_same_shape(entity, h), spare)).when(kind == "card", card).when(kind == "ip", ip)
+        F.when(kind == "email", email).when(kind == "phone", phone).when(kind == "ssn", F.concat(alike, spare)).when(kind == "card", card).when(kind == "ip", ip)
         .when(kind == "secret", secret).when(kind == "given", first).otherwise(last)
     )
 
