@@ -6,15 +6,17 @@ import argparse
 import json
 import os
 import sys
-from dataclasses import asdict
+from datetime import UTC, datetime
 from pathlib import Path
 
 from .plans import ingest
 from .session import session
 from .sinks import export as exports
+from .sinks.archive import choose_store
 from .sinks.progress import Progress
 from .sinks.store import Store
 from .sources import catalog
+from .sources.http import Fetcher
 from .operators.quality import validate
 
 
@@ -34,6 +36,7 @@ def _parser() -> argparse.ArgumentParser:
     weekly = sub.add_parser("run").add_subparsers(dest="action", required=True).add_parser("weekly")
     weekly.add_argument("--dry-run", action="store_true")
     weekly.add_argument("--resume", action=argparse.BooleanOptionalAction, default=True)
+    weekly.add_argument("--bootstrap", default=os.environ.get("PROVENIR_BOOTSTRAP_DIR", "data/current"), help="public CSV export that empty tables start from")
     sub.add_parser("validate").add_argument("--release", action="store_true")
     e = sub.add_parser("export")
     e.add_argument("--format", choices=exports.FORMATS, default="csv")
@@ -60,10 +63,19 @@ def main(argv: list[str] | None = None, collect=None) -> int:
     if collect is None:
         from .sources.collect import collect as fetch
 
-        collect = lambda source: fetch(spark, source, keys=dict(os.environ))
+        archive = choose_store({"RAW_DIR": f"{args.data}/raw", **os.environ})
+        agent = os.environ.get("PROVENIR_USER_AGENT", "provenir/0.1") + (f" ({contact})" if (contact := os.environ.get("PROVENIR_CONTACT")) else "")
+
+        def collect(source):
+            fetcher = Fetcher(source.requests_per_minute, agent, report=report)
+            run = getattr(args, "run_id", None) or ingest.run_id(source.id, datetime.now(UTC))
+            return fetch(spark, source, fetcher, dict(os.environ), None if getattr(args, "dry_run", False) else archive, run, report)
+
     if args.command in ("discover", "collect"):
         print(json.dumps(ingest.run_source(store, sources[args.source], collect, args.dry_run, args.resume, args.run_id, report=report)))
     elif args.command == "run":
+        if not args.dry_run and Path(args.bootstrap, "companies.csv").exists() and ingest.bootstrap(store, args.bootstrap):
+            report("bootstrapped", folder=args.bootstrap)
         try:
             print(json.dumps(ingest.run_weekly(store, sources, collect, report, dry_run=args.dry_run, resume=args.resume)))
         except RuntimeError as e:

@@ -42,9 +42,14 @@ def persist(store: Store, batch: Batch, source: Source, run: str, now: datetime)
     companies, evidence, reviews = tables["companies"], tables["evidence"], tables["review_queue"]
     counts = {"fetched_count": 0, "company_count": 0, "job_count": 0, "lead_count": 0}
     changes: dict[str, DataFrame] = {}
-    hashes = None
+    hashes, kept_frames = None, []
+
+    def keep(frame: DataFrame) -> DataFrame:
+        kept_frames.append(frame.persist())
+        return frame
+
     if batch.documents is not None:
-        held = batch.documents.cache()
+        held = keep(batch.documents)
         counts["fetched_count"] = held.count()
         hashes = held.select("url", "content_sha256")
         changes["source_documents"] = upsert_columns(tables["source_documents"], last_per_key(held.select(*tables["source_documents"].columns), "document_id", "fetched_at"), "document_id", ["fetched_at", "storage_pointer"])
@@ -52,9 +57,10 @@ def persist(store: Store, batch: Batch, source: Source, run: str, now: datetime)
     def settle(candidates: DataFrame, reason: str, hashed: DataFrame | None) -> DataFrame:
         """Resolves candidates, with their evidence and review items; gives pos and company_id."""
         nonlocal companies, evidence, reviews
-        verdict = resolve(companies, candidates).persist()
-        ready = prepared(candidates).join(verdict.select("pos", "company_id"), "pos").persist()
-        companies = upsert(companies, merge(companies, ready), "company_id").persist()
+        verdict = keep(resolve(companies, candidates))
+        ready = prepared(candidates).join(verdict.select("pos", "company_id"), "pos")
+        ready = keep(ready)
+        companies = keep(upsert(companies, merge(companies, ready), "company_id"))
         evidence = upsert(evidence, postings.evidence(ready, "company", "company_id", F.coalesce(F.nullif(F.col("profile"), F.lit("")), F.col("name")), F.col("confidence"), F.lit(source.attribution), hashed), "evidence_id")
         asked = ready.join(verdict.filter("needs_review").select("pos"), "pos", "left_semi").select(F.to_json(F.struct(*candidates.columns)).alias("payload"))
         reviews = insert_missing(reviews, review_rows(spark, asked, "company_merge", source.id, reason, now), "review_id")
@@ -65,13 +71,14 @@ def persist(store: Store, batch: Batch, source: Source, run: str, now: datetime)
         settle(batch.companies, "Candidate may duplicate an existing company.", hashes)
     observed = None
     if batch.jobs is not None:
-        kept = postings.classified(batch.jobs).filter("role_family <> 'other'").cache()
+        kept = keep(postings.classified(batch.jobs).filter("role_family <> 'other'"))
         employer = settle(postings.employers(kept), "Job employer may duplicate an existing company.", None)
-        rows = postings.normalised(kept.join(employer, "pos")).cache()
+        rows = keep(postings.normalised(kept.join(employer, "pos")))
         out = rows.filter("eligibility = 'ineligible'")
         audited = out.select(F.to_json(F.struct("job_id", "title", "company_id", "eligibility_evidence", "source_url")).alias("payload"))
         reviews = insert_missing(reviews, review_rows(spark, audited, "ineligible_job_audit", source.id, "The posting excludes applicants by place.", now), "review_id")
-        fresh = postings.deduplicate(tables["jobs"], rows.filter("eligibility <> 'ineligible'")).cache()
+        fresh = postings.deduplicate(tables["jobs"], rows.filter("eligibility <> 'ineligible'"))
+        fresh = keep(fresh)
         observed = fresh.select("job_id")
         counts["job_count"] = observed.distinct().count()
         jobs = upsert(tables["jobs"], fresh, "job_id")
@@ -85,7 +92,8 @@ def persist(store: Store, batch: Batch, source: Source, run: str, now: datetime)
         leads = batch.leads.select(F.to_json(F.struct(*batch.leads.drop("pos").columns)).alias("payload"))
         reviews = insert_missing(reviews, review_rows(spark, leads, "discovery_lead", source.id, "A search result may be an employer.", now), "review_id")
     store.commit(changes | {"companies": companies, "evidence": evidence, "review_queue": reviews})
-    spark.catalog.clearCache()
+    for frame in kept_frames:
+        frame.unpersist()
     return counts
 
 

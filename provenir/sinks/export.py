@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 from dataclasses import asdict
 from datetime import UTC, datetime
 from pathlib import Path
@@ -74,10 +75,10 @@ def write_database(views: dict[str, DataFrame], path: Path) -> None:
 
 
 def manifest(spark, folder: str) -> DataFrame:
-    """path, bytes and sha256 of every file below `folder` but manifest.json, read on the executors."""
+    """path (relative to the folder), bytes and sha256 of every file below `folder` but its manifest.json, read on the executors."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder)
-    name = F.regexp_replace("path", r"^.*/", "")
-    return files.filter(name != "manifest.json").select(name.alias("path"), F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256")).orderBy("path")
+    inside = F.element_at(F.split(F.col("path"), re.escape("/" + Path(folder).name + "/"), 2), -1)
+    return files.filter(inside != "manifest.json").select(inside.alias("path"), F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256")).orderBy("path")
 
 
 def export(tables: dict[str, DataFrame], sources: dict[str, Source], folder: str | Path, kind: str = "csv") -> list[str]:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Callable
 from datetime import UTC, datetime
 from urllib.parse import urlencode, urlsplit
 
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F
 from . import feeds
 from ..functions import ids
 from .catalog import Source
+from ..sinks.archive import ArchiveStore
 from .http import Fetcher
 
 BOARD_URLS = {
@@ -37,12 +39,12 @@ def requests_of(source: Source, keys: dict[str, str]) -> list[dict]:
     return [{"url": source.base_url}]
 
 
-def collect(spark: SparkSession, source: Source, fetcher: Fetcher | None = None, keys: dict[str, str] | None = None) -> feeds.Batch:
-    """Fetches a source and reads it: candidates and document rows."""
+def collect(spark: SparkSession, source: Source, fetcher: Fetcher | None = None, keys: dict[str, str] | None = None, archive: ArchiveStore | None = None, run: str = "", report: Callable = lambda *_a, **_k: None) -> feeds.Batch:
+    """Fetches a source and reads it: candidates and document rows. With an `archive` each answer is kept first, and its row says where."""
     read = feeds.connector(source)
     if source.connector == "manual_csv":
         return read(feeds.read_manual_csv(spark, source.parameter("path")), source)
-    fetcher = fetcher or Fetcher(source.requests_per_minute)
+    fetcher = fetcher or Fetcher(source.requests_per_minute, report=report)
     robots = source.obey_robots and source.access_mode in ("html", "feed")
     got = []
     if source.connector == "himalayas":
@@ -59,12 +61,17 @@ def collect(spark: SparkSession, source: Source, fetcher: Fetcher | None = None,
     if bad:
         raise OSError(f"{bad[0].url} answered {bad[0].status}")
     now = datetime.now(UTC)
-    rows = [(i, r.url, bytearray(r.content), now, r.status, r.headers.get("content-type"), r.headers.get("etag"), r.headers.get("last-modified")) for i, r in enumerate(got)]
-    fetched = spark.createDataFrame(rows, "seq long, url string, content binary, observed_at timestamp, status_code int, content_type string, etag string, last_modified string")
-    batch = read(fetched, source)
+    pointers = [None] * len(got)
+    if archive:
+        report("archive_started", source=source.id, documents=len(got))
+        pointers = [archive.put(source.id, run, r.content, {"url": r.url, "fetched_at": now.isoformat(), "status": r.status, "content_type": r.headers.get("content-type")}) for r in got]
+        report("archive_completed", source=source.id, documents=len(got))
+    rows = [(i, r.url, bytearray(r.content), now, r.status, r.headers.get("content-type"), r.headers.get("etag"), r.headers.get("last-modified"), at) for i, (r, at) in enumerate(zip(got, pointers))]
+    fetched = spark.createDataFrame(rows, "seq long, url string, content binary, observed_at timestamp, status_code int, content_type string, etag string, last_modified string, pointer string")
+    batch = read(fetched.drop("pointer"), source)
     sha = ids.content_hash(F.col("content"))
     batch.documents = fetched.select(
-        ids.stable_id("document", F.lit(source.id), F.lower("url"), sha).alias("document_id"), F.lit("").alias("run_id"), F.lit(source.id).alias("source_id"), "url", F.col("observed_at").alias("fetched_at"), "status_code", "content_type",
-        "etag", "last_modified", sha.alias("content_sha256"), F.lit("").alias("storage_pointer"), F.lit(source.redistribution).alias("redistribution"), F.lit(source.raw_retention_days).alias("raw_retention_days"), F.lit("parsed").alias("parse_status"),
+        ids.stable_id("document", F.lit(source.id), F.lower("url"), sha).alias("document_id"), F.lit(run).alias("run_id"), F.lit(source.id).alias("source_id"), "url", F.col("observed_at").alias("fetched_at"), "status_code", "content_type",
+        "etag", "last_modified", sha.alias("content_sha256"), F.coalesce("pointer", F.lit("")).alias("storage_pointer"), F.lit(source.redistribution).alias("redistribution"), F.lit(source.raw_retention_days).alias("raw_retention_days"), F.lit("parsed").alias("parse_status"),
     )
     return batch

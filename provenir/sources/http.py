@@ -62,7 +62,8 @@ class _NoRedirect(urllib.request.HTTPRedirectHandler):
 class Fetcher:
     """Fetches for one source, one request at a time; the transport can be replaced."""
 
-    def __init__(self, requests_per_minute: int = 30, agent: str = "provenir/0.1", transport: Callable | None = None, resolve: Callable = socket.getaddrinfo, sleep: Callable = time.sleep):
+    def __init__(self, requests_per_minute: int = 30, agent: str = "provenir/0.1", transport: Callable | None = None, resolve: Callable = socket.getaddrinfo, sleep: Callable = time.sleep, report: Callable = lambda *_a, **_k: None):
+        self._report = report
         self._gap, self._agent, self._send, self._resolve, self._sleep = 60 / requests_per_minute, agent, transport or self._open, resolve, sleep
         self._last: dict[str, float] = {}
         self._robots: dict[str, urllib.robotparser.RobotFileParser | None] = {}
@@ -94,13 +95,15 @@ class Fetcher:
             self._paced(url)
             try:
                 got = self._send(method, url, headers, body)
-            except TimeoutError:
-                if attempt == ATTEMPTS - 1:
+            except OSError as e:  # timeouts and network errors, which urllib wraps in URLError
+                if isinstance(e, PermissionError) or attempt == ATTEMPTS - 1:
                     raise
+                self._report("fetch_retried", url=url, attempt=attempt + 1, error=str(e))
                 self._sleep(retry_after(None, attempt))
                 continue
             if got.status not in RETRIED or attempt == ATTEMPTS - 1:
                 return got
+            self._report("fetch_retried", url=url, attempt=attempt + 1, status=got.status)
             self._sleep(retry_after(got.headers.get("retry-after"), attempt))
         raise AssertionError("unreachable")
 
@@ -121,6 +124,8 @@ class Fetcher:
 
     def fetch(self, url: str, method: str = "GET", headers: dict[str, str] | None = None, body: bytes | None = None, obey_robots: bool = False, etag: str | None = None, modified: str | None = None) -> Response:
         """The answer after up to five redirects, each checked like the first; 303 turns into GET."""
+        began = time.monotonic()
+        self._report("fetch_started", url=url)
         conditional = {k: v for k, v in (("If-None-Match", etag), ("If-Modified-Since", modified)) if v}
         for _ in range(MOST_HOPS + 1):
             validate_public_url(url, self._resolve)
@@ -129,6 +134,7 @@ class Fetcher:
             got = self._tried(method, url, {**conditional, **(headers or {})}, body)
             target = got.headers.get("location")
             if got.status not in (301, 302, 303, 307, 308) or not target:
+                self._report("fetch_completed", url=url, status=got.status, bytes=len(got.content), elapsed=round(time.monotonic() - began, 3))
                 return Response(url, got.status, got.headers, got.content)
             url = urljoin(url, target)
             if got.status == 303:
