@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 
 from ..functions import dates, ids, rules, text, urls
 from ..operators import lifecycle, quality, resolution, upsert
+from ..sinks import export
+from . import ingest
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -89,9 +91,21 @@ def snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Public datasets and counts
 
 
+def bound_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The tables that the public views and counts read, bound to those at hand."""
+    orders = table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("job_id"), F.col("o_custkey").alias("company_id"), F.when(F.col("o_orderstatus") == "O", "active").otherwise("closed").alias("status"),
+        F.when(F.col("o_orderpriority") == "5-LOW", "ineligible").otherwise("eligible").alias("eligibility"), F.col("o_totalprice"), F.col("o_orderdate").alias("last_seen_at"), F.col("o_orderpriority"), F.lit("").alias("public_description"),
+    )
+    evidence = table(spark, sf_dir, "lineitem").select(F.when(F.col("l_linenumber") % 2 == 0, "company").otherwise("job").alias("record_type"), F.when(F.col("l_linenumber") % 2 == 0, F.col("l_suppkey")).otherwise(F.col("l_orderkey")).alias("record_id"), F.concat_ws("/", "l_orderkey", "l_linenumber").alias("evidence_id"))
+    reviews = table(spark, sf_dir, "events").select(F.col("event_id").alias("review_id"), F.when(F.col("event_type") == "click", "pending").otherwise("done").alias("status"), F.col("ts").alias("created_at"), "user_id")
+    held = runs(spark, sf_dir).withColumn("started_at", F.col("finished_at")).withColumn("metrics_json", F.lit("{}"))
+    return {"companies": companies(spark, sf_dir), "jobs": orders, "evidence": evidence, "review_queue": reviews, "ingestion_runs": held.withColumn("status", F.when(F.col("job_count") < 20, "failed").otherwise("completed"))}
+
+
 @query(f"SELECT * FROM ({B_COMPANIES}) WHERE active ORDER BY canonical_name, company_id")
 def export_companies(spark, sf_dir):
-    return companies(spark, sf_dir).filter("active").orderBy(F.asc_nulls_last("canonical_name"), "company_id")
+    return export.public_views(bound_tables(spark, sf_dir))["companies"]
 
 
 @query(
@@ -99,40 +113,39 @@ def export_companies(spark, sf_dir):
        WHERE o_orderstatus = 'O' AND o_orderpriority <> '5-LOW' ORDER BY o_orderdate DESC, o_orderkey"""
 )
 def export_jobs(spark, sf_dir):
-    rows = table(spark, sf_dir, "orders").filter((F.col("o_orderstatus") == "O") & (F.col("o_orderpriority") != "5-LOW"))
-    return rows.drop("o_orderstatus").orderBy(F.desc_nulls_last("o_orderdate"), "o_orderkey")
+    jobs = export.public_views(bound_tables(spark, sf_dir))["jobs"]
+    return jobs.select(F.col("job_id").alias("o_orderkey"), F.col("company_id").alias("o_custkey"), "o_totalprice", F.col("last_seen_at").alias("o_orderdate"), "o_orderpriority")
 
 
-@query(f"SELECT run_id, source_id, status, finished_at, job_count FROM ({B_RUNS}) ORDER BY finished_at DESC, run_id")
+_STATUS = "CASE WHEN job_count < 20 THEN 'failed' ELSE 'completed' END"
+
+
+@query(f"SELECT run_id, source_id, {_STATUS} AS status, finished_at, job_count FROM ({B_RUNS}) ORDER BY finished_at DESC, run_id")
 def export_runs(spark, sf_dir):
-    return runs(spark, sf_dir).select("run_id", "source_id", "status", "finished_at", "job_count").orderBy(F.desc_nulls_last("finished_at"), "run_id")
+    return export.public_views(bound_tables(spark, sf_dir))["runs"].select("run_id", "source_id", "status", "finished_at", "job_count")
 
 
 @query(
-    """SELECT o_orderkey, o_custkey, o_orderstatus FROM orders WHERE o_custkey IN
-       (SELECT c_custkey FROM customer WHERE c_acctbal > 0 UNION ALL SELECT s_suppkey FROM supplier WHERE s_acctbal > 0) ORDER BY o_orderkey"""
+    """SELECT CASE WHEN l_linenumber % 2 = 0 THEN 'company' ELSE 'job' END AS record_type, CASE WHEN l_linenumber % 2 = 0 THEN l_suppkey ELSE l_orderkey END AS record_id, l_orderkey || '/' || l_linenumber AS evidence_id FROM lineitem
+       WHERE CASE WHEN l_linenumber % 2 = 0 THEN l_suppkey ELSE l_orderkey END IN
+       (SELECT c_custkey FROM customer WHERE c_acctbal > 0 UNION ALL SELECT o_orderkey FROM orders WHERE o_orderstatus = 'O' AND o_orderpriority <> '5-LOW')"""
 )
 def export_evidence(spark, sf_dir):
-    known = table(spark, sf_dir, "customer").filter("c_acctbal > 0").select(F.col("c_custkey").alias("o_custkey"))
-    known = known.unionByName(table(spark, sf_dir, "supplier").filter("s_acctbal > 0").select(F.col("s_suppkey").alias("o_custkey")))
-    return table(spark, sf_dir, "orders").join(known, "o_custkey", "left_semi").select("o_orderkey", "o_custkey", "o_orderstatus").orderBy("o_orderkey")
+    return export.public_views(bound_tables(spark, sf_dir))["evidence"]
 
 
 @query("SELECT event_id, ts, user_id FROM events WHERE event_type = 'click' ORDER BY ts, event_id")
 def review_pending(spark, sf_dir):
-    return table(spark, sf_dir, "events").filter("event_type = 'click'").select("event_id", "ts", "user_id").orderBy("ts", "event_id")
+    return export.pending_reviews(bound_tables(spark, sf_dir)).select(F.col("review_id").alias("event_id"), F.col("created_at").alias("ts"), "user_id")
 
 
 @query(
-    """SELECT (SELECT count(*) FROM customer WHERE c_acctbal > 0) AS companies, (SELECT count(*) FROM orders WHERE o_orderstatus = 'O' AND o_orderpriority <> '5-LOW') AS active_jobs,
-       (SELECT count(*) FROM events WHERE event_type = 'click') AS pending_review, (SELECT count(*) FROM lineitem WHERE l_returnflag = 'R') AS failed_runs"""
+    f"""SELECT (SELECT count(*) FROM customer WHERE c_acctbal > 0) AS companies, (SELECT count(*) FROM orders WHERE o_orderstatus = 'O' AND o_orderpriority <> '5-LOW') AS active_jobs,
+       (SELECT count(*) FROM events WHERE event_type = 'click') AS pending_review, (SELECT count(*) FROM ({B_RUNS}) WHERE job_count < 20) AS failed_runs"""
 )
 def stats_overview(spark, sf_dir):
-    frames = {n: table(spark, sf_dir, n) for n in ("customer", "orders", "events", "lineitem")}
-    sql = ORACLES["stats_overview"]
-    for n in frames:
-        sql = sql.replace(f"FROM {n} ", f"FROM {{{n}}} ")
-    return spark.sql(sql, **frames)
+    found = ingest.stats(bound_tables(spark, sf_dir))
+    return spark.range(1).select(*(F.lit(n).cast("long").alias(k) for k, n in found.items()))
 
 
 # Quality rules
@@ -410,7 +423,13 @@ def weekly_runs(spark, sf_dir):
     return e.groupBy("event_type", F.extract(F.lit("YEAROFWEEK"), "ts").cast("long").alias("iso_year"), F.weekofyear("ts").cast("long").alias("iso_week")).agg(F.count("*").alias("n"))
 
 
-@query()
+_RUN = "sha1(unhex('55a45f42cbd54f91a2e3665fd125ba16') || encode('run|' || event_type || '|' || isoyear(ts) || '|' || weekofyear(ts)))"
+
+
+@query(
+    f"""SELECT DISTINCT source_id, substr(h, 1, 8) || '-' || substr(h, 9, 4) || '-5' || substr(h, 14, 3) || '-' || substr('89ab', CAST('0x' || substr(h, 17, 1) AS INT) % 4 + 1, 1) || substr(h, 18, 3) || '-' || substr(h, 21, 12) AS run_id
+        FROM (SELECT event_type AS source_id, {_RUN} AS h FROM events)"""
+)
 def weekly_run_id(spark, sf_dir):
     return table(spark, sf_dir, "events").select(F.col("event_type").alias("source_id"), ids.weekly_run_id(F.col("event_type"), F.to_date("ts")).alias("run_id")).distinct()
 
@@ -445,11 +464,11 @@ def clean_html_text(spark, sf_dir):
     return table(spark, sf_dir, "pages").select("page_id", text.clean_text(F.col("html")).alias("text"))
 
 
-@query()
+@query("SELECT o_orderkey, CASE WHEN o_orderkey % 3 < 2 THEN strftime(o_orderdate, '%Y-%m-%d') || ' 00:00' END AS at FROM orders")
 def parse_datetime_mixed(spark, sf_dir):
     o = table(spark, sf_dir, "orders")
-    shown = F.when(F.col("o_orderkey") % 3 == 0, F.date_format("o_orderdate", "yyyy-MM-dd")).when(F.col("o_orderkey") % 3 == 1, F.date_format("o_orderdate", "dd MMM yyyy")).otherwise(F.col("o_orderkey").cast("string"))
-    return o.select("o_orderkey", dates.parse_datetime(shown).alias("at"))
+    shown = F.when(F.col("o_orderkey") % 3 == 0, F.date_format("o_orderdate", "yyyy-MM-dd")).when(F.col("o_orderkey") % 3 == 1, F.date_format("o_orderdate", "dd MMM yyyy")).otherwise(F.concat(F.lit("no date "), F.col("o_orderkey").cast("string")))
+    return o.select("o_orderkey", F.date_format(dates.parse_datetime(shown), "yyyy-MM-dd HH:mm").alias("at"))
 
 
 @query()

@@ -111,9 +111,14 @@ def export(tables: dict[str, DataFrame], sources: dict[str, Source], folder: str
     return sorted(p.name for p in out.iterdir())
 
 
+def pending_reviews(tables: dict[str, DataFrame]) -> DataFrame:
+    """The pending review items, oldest first."""
+    return tables["review_queue"].filter("status = 'pending'").orderBy("created_at", "review_id")
+
+
 def export_review(tables: dict[str, DataFrame], path: str) -> int:
     """The pending review items as JSON lines, oldest first; how many there are."""
-    pending = tables["review_queue"].filter("status = 'pending'").orderBy("created_at", "review_id")
+    pending = pending_reviews(tables)
     write(pending, path, "jsonl")
     return pending.count()
 
