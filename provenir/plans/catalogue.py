@@ -12,7 +12,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import dates, ids, rules, text, urls
+from ..operators import jobs as postings_of
 from ..operators import lifecycle, quality, resolution, upsert
+from ..schemas import empty
 from ..sinks import export
 from . import ingest
 
@@ -439,10 +441,40 @@ def job_feed_explode(spark, sf_dir):
     return table(spark, sf_dir, "events").select("event_id", F.from_json("props", "k int")["k"].alias("k"))
 
 
-@query("SELECT c_nationkey AS id, array_to_string(list_sort(list_distinct(list(c_mktsegment))), ',') AS sectors, max(c_acctbal) AS confidence, arg_max(c_name, c_custkey) AS last_name, arg_min(c_name, c_custkey) AS first_name FROM customer GROUP BY 1")
+@query(
+    """SELECT CAST(c_nationkey AS VARCHAR) AS company_id, arg_min(c_name, c_custkey) AS canonical_name, array_to_string(list_sort(list_filter(list_distinct(list(c_name)), lambda n: n <> arg_min(c_name, c_custkey))), ',') AS aliases,
+       array_to_string(list_sort(list_distinct(list(c_mktsegment))), ',') AS sectors, max(c_acctbal) AS confidence, arg_max(c_name, c_custkey) FILTER (c_custkey % 3 = 0) AS profile,
+       coalesce(arg_max(CASE WHEN c_custkey % 2 = 0 THEN 'based' END, c_custkey) FILTER (c_custkey % 2 = 0), 'unknown') AS nepal_relationship, count(*) FILTER (c_custkey < 0) AS lost FROM customer GROUP BY c_nationkey"""
+)
 def company_merge(spark, sf_dir):
-    c = table(spark, sf_dir, "customer")
-    return c.groupBy(F.col("c_nationkey").alias("id")).agg(F.array_join(F.array_sort(F.collect_set("c_mktsegment")), ",").alias("sectors"), F.max("c_acctbal").alias("confidence"), F.max_by("c_name", "c_custkey").alias("last_name"), F.min_by("c_name", "c_custkey").alias("first_name"))
+    """Customers as candidates resolved to their nation, through the merge of companies."""
+    c, none = table(spark, sf_dir, "customer"), F.lit(None).cast("string")
+    seen = F.to_timestamp(F.lit("2026-01-01"))
+    resolved = c.select(
+        F.col("c_nationkey").cast("string").alias("company_id"), F.col("c_custkey").alias("pos"), F.col("c_name").alias("name"), none.alias("legal_name"), F.array().cast("array<string>").alias("aliases"),
+        *(none.alias(k) for k in ("domain", "website", "careers_url", "country", "locality", "address", "official_email", "official_phone")), F.array("c_mktsegment").alias("sectors"),
+        F.when(F.col("c_custkey") % 2 == 0, "based").otherwise("unknown").alias("nepal_relationship"), F.when(F.col("c_custkey") % 3 == 0, F.col("c_name")).otherwise("").alias("profile"),
+        F.col("c_acctbal").alias("confidence"), seen.alias("observed_at"), F.lit("s").alias("source_id"), F.lit("https://example.com/").alias("source_url"),
+    )
+    made = resolution.merge(empty(spark, "companies"), resolved)
+    return made.select("company_id", "canonical_name", F.array_join("aliases", ",").alias("aliases"), F.array_join("sectors", ",").alias("sectors"), "confidence", "profile", "nepal_relationship", F.lit(0).cast("long").alias("lost"))
+
+
+_PRIORITY = "CASE WHEN {0} IN ('greenhouse', 'lever', 'ashby') THEN 100 WHEN {0} IN ('himalayas', 'remoteok', 'remotive') THEN 50 ELSE 75 END"
+
+
+@query(
+    f"""WITH e AS (SELECT event_id, user_id, ts, {_NAMED} AS src FROM events),
+        k AS (SELECT user_id, arg_min(event_id, (ts, event_id)) AS id, min(ts) AS seen, arg_min(src, (ts, event_id)) AS src FROM e WHERE event_id % 10 = 0 GROUP BY user_id),
+        f AS (SELECT user_id, min(event_id) AS id, arg_min(ts, event_id) AS seen, arg_max(src, event_id) AS src FROM e WHERE event_id % 10 <> 0 GROUP BY user_id)
+        SELECT f.user_id AS fingerprint, coalesce(k.id, f.id) AS job_id, coalesce(k.seen, f.seen) AS first_seen_at,
+        CASE WHEN k.id IS NOT NULL AND {_PRIORITY.format('k.src')} > {_PRIORITY.format('f.src')} THEN k.src ELSE f.src END AS source_id FROM f LEFT JOIN k USING (user_id)"""
+)
+def job_deduplicate(spark, sf_dir):
+    """Events as postings with their user as fingerprint: a tenth of them is known, the others are one batch."""
+    e = table(spark, sf_dir, "events").select(F.col("user_id").alias("fingerprint"), F.col("event_id").alias("job_id"), F.col("ts").alias("first_seen_at"), F.expr(_NAMED).alias("source_id"), F.lit("u").alias("source_url"), F.lit("by").alias("attribution"))
+    fresh = e.filter("job_id % 10 <> 0").withColumn("pos", F.col("job_id"))
+    return postings_of.deduplicate(e.filter("job_id % 10 = 0"), fresh).select("fingerprint", "job_id", "first_seen_at", "source_id")
 
 
 @query()
