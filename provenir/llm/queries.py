@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from . import embeddings, jaccard, language, licenses, mixing, packing, pii, quality_model, quality_rules, warc
 from .common import documents, learnable
+from .oracles import ORACLES  # noqa: F401
 
 
 def tokenizer_path() -> str:
@@ -70,6 +71,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (op1_packing, op2_quality_rules, op3_mixing, op4_warc, op5_language, op6_jaccard, op7_pii, op8_embeddings, op9_licenses, op10_quality_model)
 }
-
-#: WARC output follows from the pages alone.
-ORACLES: dict[str, str] = {}
