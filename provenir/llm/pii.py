@@ -38,17 +38,18 @@ ISSUED = r"4\d{12}(?:\d{3}){0,2}|(?:5[1-5]\d\d|222[1-9]|22[3-9]\d|2[3-6]\d\d|27[
 
 _TITLE = "|".join(t for names in TITLES.values() for t in names)
 #: A word of a name; a possessive 's is not part of it.
-_WORD = r"\p{Lu}(?:[\p{L}\p{M}]+|'[\p{L}\p{M}]+)(?:-[\p{L}\p{M}]+|['’][\p{L}\p{M}]{2,}){0,3}"
+_WORD = r"\p{Lu}(?:[\p{L}\p{M}]+|'[\p{L}\p{M}]+)(?:-[\p{L}\p{M}]+|['’][\p{L}\p{M}]{2,})*+"
 #: What assigns a secret, and its value: up to the closing quote, or else up to white space, a quote, an angle bracket or
 #: the next assignment of a list, without punctuation at its end. Repetition is possessive, so length costs no stack.
-_ASSIGNED = r"(?i:token|secret|password|passwd|api[_-]?key|access[_-]?key)\\?[\"']?\s{0,3}[=:]{1,2}>?\s{0,3}"
+_ASSIGNED = r"(?i:token|secret|password|passwd|api[_-]?key|access[_-]?key)\\?[\"']?\s*+[=:]{1,2}>?\s*+"
 _QUOTED = r"\"(?:[^\"\\\r\n]|\\.)++\"|'(?:[^'\\\r\n]|\\.)++'"
 _BARE = r"(?:(?![&;,][\w.-]{1,32}=)[.,;:!?)\]}\\]*+[^\s\"'<>.,;:!?)\]}\\])++"
 #: Phones: after a plus, groups with 5 digits or more in all, or 7 or more without a separator; else dotted forms and forms after a 1.
 _PLUS = r"\+(?=\d{1,6}[ .(-]|\d{7})(?=(?:[ .()-]{0,2}\d){5})\d{1,15}(?:[ .-]\d(?=[ .-]\d\d))?(?:[ .-]?\(\d{1,4}\)[ .-]?\d{2,12}|[ .-]\d{2,12}){0,6}(?!\d)"
 _NATIONAL = r"1[ .-]?\(\d{3}\)[ .-]?\d{3}[ .-]?\d{4}|1[ .-]\d{3}[ .-]\d{3}[ .-]\d{4}|\d{3}\.\d{3}\.\d{4}"
+#: Emails: a host name has 127 labels at most.
 PATTERNS = {
-    "email": rf"(?<![{_L}._%+-])[{_L}][{_L}._%+-]{{0,63}}@[{_L}-]{{1,63}}(?:\.[{_L}-]{{1,63}}){{0,6}}\.\p{{L}}{{2,24}}",
+    "email": rf"(?<![{_L}._%+-])[{_L}][{_L}._%+-]*+@[{_L}-]++(?:\.[{_L}-]++){{0,126}}\.\p{{L}}{{2,}}",
     "secret": rf"{_EDGE}{_ASSIGNED}(?:{_QUOTED}|\\?[\"']?{_BARE})",
     "phone": rf"(?<![{_L}+]){_PLUS}|(?<![{_L}])\(\d{{3}}\)[ .-]?\d{{3}}[ .-]\d{{4}}(?!\d)|(?<![{_L}-])\d{{3}}-\d{{3}}-\d{{4}}(?![\d-])|(?<![{_L}+.-])(?:{_NATIONAL})(?!\d|[.-]\d)",
     "ssn": r"(?<![\p{L}\p{N}-])\d{3}-\d{2}-\d{4}(?![\d-])",

@@ -146,3 +146,15 @@ def test_a_mention_in_every_text(spark):
     texts = [f"write to anna.k77@mail.com at once, said {k}" for k in range(500)]
     got = pii.pseudonymise(frame(spark, enumerate(texts))).collect()
     assert len({r["text"].split(" ")[2] for r in got}) == 1 and all(r["n_replaced"] == 1 for r in got)
+
+
+def test_nothing_is_too_long_or_too_wide(spark):
+    local, host = "ab." * 60 + "c", ".".join(["mail"] * 40) + ".museum" + "x" * 30
+    texts = {1: f"to {local}@{host} now", 2: "token" + " " * 40 + "=" + "\n" * 9 + "s3cr3tvalue99 end", 3: "Mr Anna-Bela-Cara-Dora-Elsa-Fina Smith-Jones-Brown-Green-White left"}
+    made = {r["doc_id"]: r["text"] for r in pii.pseudonymise(spark.createDataFrame(list(texts.items()), "doc_id long, text string")).collect()}
+    assert made[1].startswith("to ") and made[1].endswith(".example now") and local not in made[1] and "museum" not in made[1]
+    assert "s3cr3tvalue99" not in made[2] and made[2].endswith(" end")
+    assert not any(part in made[3] for part in ("Anna", "Elsa", "Fina", "Brown", "White")) and made[3].endswith(" left")
+    long = {4: "x" * 300_000, 5: "a@" + "b-" * 100_000, 6: "a@" + "b." * 100_000, 7: "Mr " + "A-b" * 100_000}
+    kept = {r["doc_id"]: r["n_replaced"] for r in pii.pseudonymise(spark.createDataFrame(list(long.items()), "doc_id long, text string")).collect()}
+    assert kept[4] == kept[5] == 0 and len(kept) == 4
