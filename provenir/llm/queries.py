@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import embeddings, jaccard, language, licenses, mixing, packing, pii, quality_model, quality_rules, warc
+from . import clusters, embeddings, jaccard, language, licenses, mixing, nearest, packing, pii, quality_model, quality_rules, spelling, warc
 from .common import documents, learnable
 from .oracles import ORACLES  # noqa: F401
 
@@ -67,7 +67,22 @@ def op10_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", (~learnable(F.col("doc_id"))).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 
+def op11_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = nearest.nearest(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), F.col("vec_id") % 20 == 0, neighbours=20)
+    return found.select("query_id", "rank", "vec_id", "score")
+
+
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = spelling.variants(documents(spark, sf_dir, "doc_id", "text"))
+    return found.select("word", "form", "root", "n", "n_near", "form_n")
+
+
+def op13_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = clusters.cluster(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), clusters=40, rounds=5)
+    return found.select("vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_packing, op2_quality_rules, op3_mixing, op4_warc, op5_language, op6_jaccard, op7_pii, op8_embeddings, op9_licenses, op10_quality_model)
+    for f in (op1_packing, op2_quality_rules, op3_mixing, op4_warc, op5_language, op6_jaccard, op7_pii, op8_embeddings, op9_licenses, op10_quality_model, op11_nearest, op12_spelling, op13_clusters)
 }
