@@ -292,7 +292,10 @@ def nearest(
     right = searching.join(shares, ["dims", "list"]).select("dims", "list", each("parts").alias("part"), F.pmod(F.xxhash64("hash"), F.col("chunks")).cast("int").alias("chunk"), "raw", "hash")
     keys = ["dims", "list", "part", "chunk"]
     found = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(_cell(neighbours + 1), "hash binary, best array<struct<away double, vec_id long>>")
-    best = found.groupBy("hash").agg(F.slice(F.sort_array(F.array_distinct(F.flatten(F.collect_list("best")))), 1, neighbours + 1).alias("best"))
+    merged = found.groupBy("hash").agg(F.flatten(F.collect_list("best")).alias("all")).withColumn("all", F.sort_array("all"))
+    # a class in several lists is told by each, with one score: equal entries stand side by side
+    once = F.filter("all", lambda b, i: (i == 0) | (b != F.col("all")[F.greatest(i - 1, F.lit(0))]))
+    best = merged.select("hash", F.slice(once, 1, neighbours + 1).alias("best"))
     others = F.slice(F.filter("best", lambda b: b["vec_id"] != F.col("query_id")), 1, neighbours)
     told = wanted.withColumnRenamed("vec_id", "query_id").join(best, "hash").select("query_id", F.posexplode(others).alias("at", "near"))
     return told.select("query_id", (F.col("at") + 1).alias("rank"), F.col("near.vec_id").alias("vec_id"), (-F.col("near.away")).alias("score"))
