@@ -9,6 +9,8 @@ import sys
 from datetime import UTC, datetime
 from pathlib import Path
 
+from pyspark.sql import functions as F
+
 from .plans import ingest
 from .session import session
 from .sinks import export as exports
@@ -83,12 +85,13 @@ def main(argv: list[str] | None = None, collect=None) -> int:
             return 1
     elif args.command == "validate":
         issues, metrics = validate(store.tables(), catalog.as_table(spark, sources), catalog.check(sources), args.release)
-        found = [r.asDict() for r in issues.toLocalIterator()]
-        out = Path(args.data) / "reports" / "validation.json"
-        out.parent.mkdir(parents=True, exist_ok=True)
-        out.write_text(json.dumps({"ok": not found, "errors": found, "warnings": [], "metrics": metrics}, indent=2), encoding="utf-8")
-        print(json.dumps({"ok": not found, "errors": len(found), **metrics}))
-        return int(bool(found))
+        out = Path(args.data) / "reports"
+        exports.write(issues, str(out / "issues.jsonl"), "jsonl")
+        counts = {r["code"]: r["n"] for r in issues.groupBy("code").agg(F.count("*").alias("n")).orderBy("code").collect()}  # one row a rule
+        out.mkdir(parents=True, exist_ok=True)
+        (out / "validation.json").write_text(json.dumps({"ok": not counts, "errors": counts, "issues": str(out / "issues.jsonl"), "warnings": [], "metrics": metrics}, indent=2), encoding="utf-8")
+        print(json.dumps({"ok": not counts, "errors": sum(counts.values()), **metrics}))
+        return int(bool(counts))
     elif args.command == "export":
         print(json.dumps(exports.export(store.tables(), sources, args.output, args.format)))
     elif args.command == "review":

@@ -30,6 +30,14 @@ def age_missing(jobs: DataFrame, observed: DataFrame, source_id: str) -> DataFra
     )
 
 
+def aged(jobs: DataFrame, observed: DataFrame, source_id: str) -> DataFrame:
+    """The rows of `jobs` that `age_missing` changes, after the change: active ones of the source that are not observed."""
+    missing = jobs.filter((F.col("source_id") == source_id) & (F.col("status") == "active")).join(observed.select("job_id").distinct(), "job_id", "left_anti")
+    runs = F.col("missing_runs") + 1
+    changed = {"missing_runs": runs.cast(jobs.schema["missing_runs"].dataType), "status": F.when(runs >= CLOSES_AT, "closed").otherwise(F.col("status"))}
+    return missing.select(*(changed.get(c, F.col(c)).alias(c) for c in jobs.columns))
+
+
 def history(snapshots: DataFrame) -> DataFrame:
     """Status of each posting after all `snapshots` (source_id, run_day, job_id), one row an observation.
 

@@ -2,90 +2,115 @@
 
 from __future__ import annotations
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame, Window as W
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import ids, rules, urls
 from ..functions.text import clean_text, first_truthy, normal_form, normalize_text, token_set_similarity, truthy
 from ..staging import staged
+from .names import matches, sought
 
-MERGE_AT, REVIEW_AT, MOST_COMPARED = 96, 84, 50
-
-
-def _within_group(key, known: pd.DataFrame, wanted: pd.DataFrame) -> pd.DataFrame:
-    """Candidates of connected blocks in batch order; each sees the companies made before it that hold its first word."""
-    companies = sorted(zip(known["company_id"], known["name_key"], known["first_seen_at"], known["block"]), key=lambda c: (c[2], c[0]))
-    blocks: dict[str, list[tuple[str, str]]] = {}
-    for c, n, _, block in companies:
-        blocks.setdefault(block, []).append((c, n))
-    rows = []
-    for w in wanted.sort_values(["pos"]).itertuples(index=False):
-        named = blocks.get(w.block, [])
-        scored = sorted(((-token_set_similarity(w.name_key, n), i) for i, (_, n) in enumerate(named)))[:MOST_COMPARED]
-        score = -scored[0][0] if scored else 0.0
-        if score >= MERGE_AT:
-            rows.append((w.pos, named[scored[0][1]][0], False, False, score))
-            continue
-        rows.append((w.pos, w.new_id, True, score >= REVIEW_AT, score))
-        for word in dict.fromkeys(w.name_key.split(" ")):
-            blocks.setdefault(word, []).append((w.new_id, w.name_key))
-    return pd.DataFrame(rows, columns=["pos", "company_id", "is_new", "needs_review", "score"])
-
-
-def _connected(asked: DataFrame) -> DataFrame:
-    """(block, group): blocks that a candidate's name connects, named by the smallest; only first words are blocks."""
-    blocks = asked.select("block").distinct()
-    words = asked.select("block", F.explode(F.array_distinct(F.split("name_key", " "))).alias("other"))
-    edges = words.join(blocks.select(F.col("block").alias("other")), "other").filter("block <> other").select("block", "other")
-    edges = edges.unionByName(edges.select(F.col("other").alias("block"), F.col("block").alias("other"))).distinct().persist()
-    groups = staged(blocks.withColumn("group", F.col("block")), "groups")
-    while True:
-        near = edges.join(groups.select(F.col("block").alias("other"), "group"), "other").groupBy("block").agg(F.min("group").alias("near"))
-        hopped = groups.join(near, "block", "left").withColumn("next", F.least("group", "near")).select("block", "group", "next")
-        over = groups.select(F.col("block").alias("next"), F.col("group").alias("far"))
-        made = staged(hopped.join(over, "next", "left").select("block", "group", F.least("next", "far").alias("next")), "groups")
-        groups = made.select("block", F.col("next").alias("group"))
-        if made.filter(F.col("next") != F.col("group")).isEmpty():
-            edges.unpersist()
-            return groups
+MERGE_AT, REVIEW_AT = 96, 84
+#: Companies that a batch makes are seen after all known ones, in the order of the batch.
+BATCH, UNDATED = 1 << 62, 1 << 61
 
 
 def prepared(candidates: DataFrame) -> DataFrame:
-    """Candidates with canonical website, domain, name key, block and the id a new company would get."""
+    """Candidates with canonical website, domain, name key and the id a new company would get."""
     site = urls.canonical_url(F.col("website"))
     based = candidates.withColumn("website", site).withColumn("domain", urls.domain_of(F.col("website"))).withColumn("name_key", normalize_text("name"))
-    token = F.element_at(F.split("name_key", " "), 1)
     material = first_truthy(F.col("domain"), F.col("external_id"), F.col("name"))
-    return based.withColumn("block", token).withColumn("new_id", ids.stable_id("company", normalize_text(material), normalize_text(F.coalesce("country", F.lit("")))))
+    return based.withColumn("new_id", ids.stable_id("company", normalize_text(material), normalize_text(F.coalesce("country", F.lit("")))))
+
+
+def _founders(asked: DataFrame, names: DataFrame) -> DataFrame:
+    """(id): those of `asked` (and `names`, the same as names) that are companies of their own, taken in order of `seen`:
+    whose names are like (`MERGE_AT`) none of an earlier founder.
+
+    Rounds of local minima: who has no earlier open name like its own is a founder, who is like a founder is settled, the
+    rest is looked at again. A round compares open names only.
+    """
+    founders, open_ = [], asked
+    while True:
+        waits = staged(matches(open_, names.join(open_.select("id"), "id", "left_semi"), MERGE_AT, earliest=True).select("id"), "waits")
+        first = staged(open_.join(waits, "id", "left_anti").select("id"), "founders")
+        founders.append(first)
+        if waits.isEmpty():
+            return reduce(DataFrame.unionByName, founders)
+        later = open_.join(waits, "id", "left_semi")
+        like = matches(later, names.join(first, "id", "left_semi"), MERGE_AT, earliest=True).select("id")
+        open_ = staged(later.join(like, "id", "left_anti"), "open")
+        if open_.isEmpty():
+            return reduce(DataFrame.unionByName, founders)
 
 
 def resolve(existing: DataFrame, candidates: DataFrame) -> DataFrame:
     """pos, company_id, is_new, needs_review and score for each of `candidates` (COMPANY_CANDIDATE and pos).
 
-    A known domain decides (oldest company first). Else the name is compared with the companies that hold its first
-    word: 96 or more merges, 84 or more is left for review as a new company. Within a batch the order is `pos`:
-    candidates of one domain follow the first of them, and each name sees the companies made before it that hold its first
-    word anywhere. Blocks (companies that hold one word) that a name of the batch connects are one group, taken in order.
+    A known domain decides (oldest company first); candidates of one unknown domain follow the first of them. Else the name is compared
+    with every company whose name holds the candidate's first word anywhere (with the wildcards of LIKE): the most similar
+    one (the oldest of equals) is taken at 96 or more; at 84 or more the candidate is a new company that awaits review.
+    The order within a batch is `pos`: a candidate sees the companies that earlier ones made. The score is that of the
+    most similar company, 0 below 84.
+
+    Nothing is gathered by company or word: names meet in bounded tiles (`names.matches`), and which candidates
+    make companies is settled in rounds (`_founders`). Equal names are compared once, by the first of them.
     """
-    ready = prepared(candidates).persist()
-    oldest = W.partitionBy("domain").orderBy("first_seen_at", "company_id")
-    by_domain = existing.filter("domain is not null").withColumn("_rank", F.row_number().over(oldest)).filter("_rank = 1").select("domain", F.col("company_id").alias("known_id"))
-    joined = ready.join(by_domain, "domain", "left")
-    leader = F.min("pos").over(W.partitionBy(F.coalesce("domain", F.concat(F.lit("#"), F.col("pos").cast("string")))))
-    led = joined.withColumn("leader", leader)
-    found = led.filter("known_id is not null").select("pos", F.col("known_id").alias("company_id"), F.lit(False).alias("is_new"), F.lit(False).alias("needs_review"), F.lit(100.0).alias("score"))
-    asked = led.filter("known_id is null and pos = leader").select("pos", "name_key", "block", "new_id")
-    words = existing.select("company_id", normalize_text("canonical_name").alias("name_key"), "first_seen_at").withColumn("block", F.explode(F.array_distinct(F.split("name_key", " "))))
-    schema = "pos long, company_id string, is_new boolean, needs_review boolean, score double"
-    groups = _connected(asked).persist()
-    led_groups = groups.select("block", F.col("group").alias("joined"))
-    named = words.join(groups, "block").groupBy("group").cogroup(asked.join(led_groups, "block").groupBy("joined")).applyInPandas(_within_group, schema).persist()
+    ready = staged(prepared(candidates).select("pos", "domain", "name_key", "new_id", clean_text(F.col("name"), 300).alias("canonical"), "name", sought("name").alias("s")), "candidates")
+    oldest = F.min_by("company_id", F.struct(F.col("first_seen_at").isNull(), "first_seen_at", "company_id")).alias("known_id")
+    by_domain = existing.filter("domain is not null").groupBy("domain").agg(oldest)
+    leaders = ready.filter("domain is not null").groupBy("domain").agg(F.min("pos").alias("leader"))
+    led = ready.join(by_domain, "domain", "left").join(leaders, "domain", "left").withColumn("leader", F.coalesce("leader", "pos"))
+    settled = lambda rows: rows.select("pos", "company_id", F.lit(False).alias("is_new"), F.lit(False).alias("needs_review"), F.lit(100.0).alias("score"))
+    found = settled(led.filter("known_id is not null").withColumn("company_id", F.col("known_id")))
+    own = F.coalesce("canonical", "name")
+    # the name as it is compared: normal form of the name a company made of it would have
+    asked = staged(
+        led.filter("known_id is null and pos = leader").select(F.col("pos").cast("string").alias("id"), "pos", "new_id", "name_key", "s.token", "s.piece", (F.col("pos") + BATCH).alias("seen"), F.lower(own).alias("hay"), normalize_text(own).alias("own_key")), "asked"
+    )
+    # equal names follow the first of them, where a name is sure to meet itself
+    meets = F.coalesce((F.col("own_key") == F.col("name_key")) & ((F.col("piece") == "") | F.contains("hay", "token")), F.lit(False))
+    first = asked.filter(meets).groupBy("hay", "name_key", "token").agg(F.min("pos").alias("rep"))
+    ranked = staged(asked.filter(meets).join(first, ["hay", "name_key", "token"]).select(*asked.columns, "rep").unionByName(asked.filter(~meets).withColumn("rep", F.col("pos"))), "ranked")
+    reps = ranked.filter("pos = rep")
+    old = existing.filter("canonical_name is not null").select(F.col("company_id").alias("id"), normalize_text("canonical_name").alias("name_key"), F.lower("canonical_name").alias("hay"), F.coalesce(F.unix_micros("first_seen_at"), F.lit(UNDATED)).alias("seen"))
+    known = staged(matches(reps.filter("token is not null"), old, REVIEW_AT), "known")
+    merged = known.filter(F.col("score") >= MERGE_AT).select("id")
+    made = reps.select("id", F.col("own_key").alias("name_key"), "hay", "seen")
+    open_ = staged(reps.join(merged, "id", "left_anti"), "open")
+    alone = open_.filter("token is null").select("id")
+    founders = staged(_founders(open_.filter("token is not null"), made).unionByName(alone), "founders")
+    fresh = made.join(founders, "id", "left_semi")
+    news = matches(reps.filter("token is not null"), fresh, REVIEW_AT)
+    placed = staged(_best(reps, known, news), "placed")
+    # a repeated name follows the first of its kind, unless a later company may be more like it
+    others = ranked.filter("pos <> rep").join(placed.select(F.col("pos").alias("rep"), F.col("is_new").alias("led_new"), F.col("other").alias("led"), F.col("score").alias("led_score"), F.col("own_id").alias("led_id")), "rep")
+    follows = others.filter("led_new or led_score = 100").select("pos", F.when(F.col("led_new"), F.concat(F.lit("new:"), F.col("led_id"))).otherwise(F.col("led")).alias("other"), F.lit(False).alias("is_new"), F.lit(False).alias("needs_review"), F.lit(100.0).alias("score"))
+    again = others.filter("not led_new and led_score < 100").drop("led_new", "led", "led_score", "led_id")
+    if not again.isEmpty():
+        seen = known.join(ranked.select(F.col("pos").cast("string").alias("of"), F.col("rep").cast("string").alias("id")), "id").filter("of <> id").select(F.col("of").alias("id"), "other", "other_seen", "score")
+        later = _best(again, seen, matches(again, fresh, REVIEW_AT)).select(*follows.columns)
+        follows = follows.unionByName(later)
+    chosen = placed.select(*follows.columns).unionByName(follows)
+    ids_of = asked.select(F.concat(F.lit("new:"), "id").alias("other"), F.col("new_id"))
+    named = staged(chosen.join(ids_of, "other", "left").select("pos", F.coalesce("new_id", "other").alias("company_id"), "is_new", "needs_review", "score"), "named")
     followers = led.filter("known_id is null and pos <> leader").select("pos", "leader")
-    followed = followers.join(named.select(F.col("pos").alias("leader"), "company_id"), "leader").select("pos", "company_id", F.lit(False).alias("is_new"), F.lit(False).alias("needs_review"), F.lit(100.0).alias("score"))
+    followed = settled(followers.join(named.select(F.col("pos").alias("leader"), "company_id"), "leader"))
     return found.unionByName(named).unionByName(followed)
 
 
+def _best(asked: DataFrame, known: DataFrame, news: DataFrame) -> DataFrame:
+    """pos, own_id, other, is_new, needs_review, score: what each of `asked` becomes, given its most similar known company and its most similar
+    new one. Companies that the batch makes are told as new:<id>."""
+    both = known.unionByName(news.withColumn("other", F.concat(F.lit("new:"), "other")))
+    best = both.groupBy("id").agg(F.min_by(F.struct("other", "score"), F.struct(-F.col("score"), F.col("other_seen"), F.col("other"))).alias("best"))
+    joined = asked.join(best, "id", "left").select("pos", F.col("id").alias("own_id"), F.col("best.other").alias("match"), F.coalesce("best.score", F.lit(0.0)).alias("score"))
+    is_new = F.col("score") < MERGE_AT
+    return joined.select("pos", "own_id", F.when(is_new, F.concat(F.lit("new:"), "own_id")).otherwise(F.col("match")).alias("other"), is_new.alias("is_new"), (is_new & (F.col("score") >= REVIEW_AT)).alias("needs_review"), "score")
+
+
 def _last(column: str) -> Column:
     """The last filled value by pos."""
     return F.max_by(column, F.when(truthy(F.col(column)).isNotNull(), F.col("pos"))).alias(column)

@@ -477,13 +477,46 @@ def job_deduplicate(spark, sf_dir):
     return postings_of.deduplicate(e.filter("job_id % 10 = 0"), fresh).select("fingerprint", "job_id", "first_seen_at", "source_id")
 
 
-@query()
+#: Company names of documents: the first words of a text in ASCII letters and digits, in lower case.
+_NAME_WORDS = "regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z0-9]+')"
+#: Common subsequence of a and b by rows of bits (names of up to 100 letters), and the token-set score made of it.
+_LCS = """length(a) - bit_count(list_reduce(string_split(b, ''), lambda v, c: (((v + (v & list_sum(list_transform(range(length(a)), lambda i: CASE WHEN substr(a, CAST(i + 1 AS INT), 1) = c THEN CAST(1 AS HUGEINT) << CAST(i AS INT) ELSE 0 END))::HUGEINT)
+  | (v - (v & list_sum(list_transform(range(length(a)), lambda i: CASE WHEN substr(a, CAST(i + 1 AS INT), 1) = c THEN CAST(1 AS HUGEINT) << CAST(i AS INT) ELSE 0 END))::HUGEINT))) & ((CAST(1 AS HUGEINT) << length(a)) - 1), (CAST(1 AS HUGEINT) << length(a)) - 1))"""
+
+
+@query(
+    f"""WITH RECURSIVE words AS (SELECT doc_id, {_NAME_WORDS.replace("text, 'ABC", "coalesce(text, ''), 'ABC")} AS w FROM documents),
+        named AS (SELECT doc_id, array_to_string(w[1 : CASE WHEN doc_id % 2 = 0 THEN 3 ELSE 2 END], ' ') AS name, CASE WHEN doc_id % 7 < 2 THEN w[2] || '.example' END AS domain FROM words WHERE len(w) >= 2),
+        known AS (SELECT doc_id AS id, name, domain FROM named WHERE doc_id % 2 = 0), batch AS (SELECT doc_id AS id, name, domain FROM named WHERE doc_id % 2 = 1),
+        owned AS (SELECT b.id, min(k.id) AS owner FROM batch b JOIN known k USING (domain) GROUP BY b.id),
+        led AS (SELECT b.*, owner, coalesce(min(b.id) OVER (PARTITION BY b.domain), b.id) AS first, CASE WHEN b.domain IS NULL THEN b.id ELSE min(b.id) OVER (PARTITION BY b.domain) END AS leader FROM batch b LEFT JOIN owned USING (id)),
+        asked AS (SELECT id, name FROM led WHERE owner IS NULL AND leader = id), held AS (SELECT id, name, 0 AS fresh FROM known UNION ALL SELECT id, name, 1 FROM asked),
+        pairs AS (SELECT a.id, h.id AS other, h.fresh, list_sort(list_distinct(string_split(a.name, ' '))) AS x, list_sort(list_distinct(string_split(h.name, ' '))) AS y FROM asked a JOIN held h ON contains(h.name, string_split(a.name, ' ')[1]) AND (h.fresh = 0 OR h.id < a.id)),
+        sorted AS (SELECT *, list_sort(list_filter(x, lambda t: list_contains(y, t))) AS met, list_sort(list_filter(x, lambda t: NOT list_contains(y, t))) AS l, list_sort(list_filter(y, lambda t: NOT list_contains(x, t))) AS r FROM pairs),
+        texts AS (SELECT *, array_to_string(met, ' ') AS c, array_to_string(list_concat(met, l), ' ') AS a, array_to_string(list_concat(met, r), ' ') AS b FROM sorted),
+        scored AS MATERIALIZED (SELECT id, other, fresh, CASE WHEN len(met) > 0 AND (len(l) = 0 OR len(r) = 0) THEN 100.0 ELSE greatest(200.0 * ({_LCS}) / (length(a) + length(b)), CASE WHEN len(met) > 0 THEN 200.0 * length(c) / (length(c) + least(length(a), length(b))) ELSE 0 END) END AS score FROM texts),
+        near AS (SELECT id, coalesce(bool_or(fresh = 0), false) AS old, list(other) FILTER (fresh = 1) AS like_new FROM scored WHERE score >= 96 GROUP BY id),
+        turns AS (SELECT a.id, row_number() OVER (ORDER BY a.id) AS k, coalesce(old, false) AS old, coalesce(like_new, []) AS like_new FROM asked a LEFT JOIN near USING (id)),
+        steps(k, made) AS (SELECT CAST(0 AS BIGINT), CAST([] AS BIGINT[]) UNION ALL SELECT t.k, CASE WHEN t.old OR list_has_any(t.like_new, s.made) THEN s.made ELSE list_append(s.made, t.id) END FROM steps s JOIN turns t ON t.k = s.k + 1),
+        made AS (SELECT unnest(made) AS id FROM (SELECT made FROM steps ORDER BY k DESC LIMIT 1)),
+        best AS (SELECT id, first(other ORDER BY score DESC, fresh, other) AS other, first(fresh ORDER BY score DESC, fresh, other) AS fresh, max(score) AS score FROM scored WHERE score >= 84 AND (fresh = 0 OR other IN (SELECT id FROM made)) GROUP BY id),
+        told AS (SELECT a.id, CASE WHEN score >= 96 THEN other ELSE a.id END AS company, coalesce(score, 0) < 96 AS is_new, coalesce(score, 0) >= 84 AND score < 96 AS needs_review, coalesce(score, 0) AS score FROM asked a LEFT JOIN best USING (id))
+        SELECT l.id AS pos, coalesce(l.owner, t.company) AS company, l.owner IS NULL AND l.leader = l.id AND t.is_new AS is_new, l.owner IS NULL AND l.leader = l.id AND coalesce(t.needs_review, false) AS needs_review,
+        round(CASE WHEN l.owner IS NULL AND l.leader = l.id THEN t.score ELSE 100 END, 4) AS score FROM led l LEFT JOIN told t ON t.id = l.leader"""
+)
 def company_resolution(spark, sf_dir):
-    """Suppliers resolved against customers, by the names they share."""
-    seen = F.to_timestamp(F.lit("2026-01-01"))
-    known = table(spark, sf_dir, "customer").select(F.col("c_custkey").cast("string").alias("company_id"), F.col("c_name").alias("canonical_name"), F.lit(None).cast("string").alias("domain"), seen.alias("first_seen_at"))
-    wanted = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("pos"), F.col("s_name").alias("name"), F.lit(None).cast("string").alias("website"), F.lit(None).cast("string").alias("external_id"), F.lit("").alias("country"))
-    return resolution.resolve(known, wanted)
+    """Documents of odd number, as one batch of companies named by their first two words, resolved against those of even number, named by
+    three; two in seven have a domain. The company is told by the number of the document that it was made of."""
+    letters = F.translate(F.coalesce("text", F.lit("")), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    words = table(spark, sf_dir, "documents").select("doc_id", F.regexp_extract_all(letters, F.lit("([a-z0-9]+)")).alias("w")).filter(F.size("w") >= 2)
+    is_known = F.col("doc_id") % 2 == 0
+    domain = F.when(F.col("doc_id") % 7 < 2, F.concat(F.element_at("w", 2), F.lit(".example")))
+    named = words.select("doc_id", F.array_join(F.slice("w", 1, F.when(is_known, 3).otherwise(2)), " ").alias("name"), domain.alias("domain"), is_known.alias("is_known"))
+    known = named.filter("is_known").select(F.col("doc_id").cast("string").alias("company_id"), F.col("name").alias("canonical_name"), "domain", F.timestamp_seconds("doc_id").alias("first_seen_at"))
+    wanted = named.filter("not is_known").select(F.col("doc_id").alias("pos"), "name", F.concat(F.lit("https://"), "domain").alias("website"), F.col("doc_id").cast("string").alias("external_id"), F.lit("").alias("country"))
+    found = resolution.resolve(known, wanted)
+    made = resolution.prepared(wanted).select("pos", "new_id").join(found.filter("is_new").select("pos"), "pos").select(F.col("new_id").alias("company_id"), F.col("pos").alias("made"))
+    return found.join(made, "company_id", "left").select("pos", F.coalesce(F.col("made"), F.col("company_id").try_cast("long")).alias("company"), "is_new", "needs_review", F.round("score", 4).alias("score"))
 
 
 @query()
@@ -496,10 +529,12 @@ def clean_html_text(spark, sf_dir):
     return table(spark, sf_dir, "pages").select("page_id", text.clean_text(F.col("html")).alias("text"))
 
 
-@query("SELECT o_orderkey, CASE WHEN o_orderkey % 3 < 2 THEN strftime(o_orderdate, '%Y-%m-%d') || ' 00:00' END AS at FROM orders")
+@query("SELECT o_orderkey, CASE WHEN o_orderkey % 5 < 3 THEN strftime(o_orderdate, '%Y-%m-%d') || CASE WHEN o_orderkey % 5 = 2 THEN ' 18:45' ELSE ' 00:00' END END AS at FROM orders")
 def parse_datetime_mixed(spark, sf_dir):
-    o = table(spark, sf_dir, "orders")
-    shown = F.when(F.col("o_orderkey") % 3 == 0, F.date_format("o_orderdate", "yyyy-MM-dd")).when(F.col("o_orderkey") % 3 == 1, F.date_format("o_orderdate", "dd MMM yyyy")).otherwise(F.concat(F.lit("no date "), F.col("o_orderkey").cast("string")))
+    """Order dates in three shapes, the order's number as a text, and a text without a date."""
+    o, k = table(spark, sf_dir, "orders"), F.col("o_orderkey") % 5
+    zoned = F.concat(F.date_format(F.date_add("o_orderdate", 1), "EEE, dd MMM yyyy"), F.lit(" 00:30:00 +0545"))
+    shown = F.when(k == 0, F.date_format("o_orderdate", "yyyy-MM-dd")).when(k == 1, F.date_format("o_orderdate", "dd MMM yyyy")).when(k == 2, zoned).when(k == 3, F.col("o_orderkey").cast("string")).otherwise(F.concat(F.lit("no date "), F.col("o_orderkey").cast("string")))
     return o.select("o_orderkey", F.date_format(dates.parse_datetime(shown), "yyyy-MM-dd HH:mm").alias("at"))
 
 

@@ -12,16 +12,20 @@ from pyspark.sql import functions as F
 from ..functions import ids
 from ..functions.text import normal_form, normalize_text
 from ..operators import jobs as postings
-from ..operators.lifecycle import age_missing
+from ..operators.lifecycle import aged
 from ..operators.resolution import merge, prepared, resolve
-from ..operators.upsert import insert_missing, last_per_key, upsert, upsert_columns
+from ..operators.upsert import last_per_key, upsert
 from ..sinks.export import restored
-from ..sinks.store import Store
-from ..schemas import TABLES
+from ..sinks.store import StaleWrite, Store, Upserted
+from ..schemas import KEYS, TABLES, empty
 from ..sources.catalog import Source
 from ..sources.feeds import Batch
 
 
+#: How often a batch is applied to newer tables before its run fails.
+MOST_TRIES = 5
+
+
 def run_id(source_id: str, now: datetime) -> str:
     import uuid
 
@@ -37,63 +41,82 @@ def review_rows(spark: SparkSession, rows: DataFrame, kind: str, source_id: str,
 
 
 def persist(store: Store, batch: Batch, source: Source, run: str, now: datetime) -> dict[str, int]:
-    """Applies a batch to the tables in one commit: documents, companies, postings, leads, lifecycle."""
-    spark, tables = store.spark, store.tables()
-    companies, evidence, reviews = tables["companies"], tables["evidence"], tables["review_queue"]
+    """Applies a batch to the tables in one commit: documents, companies, postings, leads, lifecycle.
+
+    Every change is an upsert of the rows it touches. If another writer has changed companies or postings meanwhile, the batch is
+    applied again to what they are now.
+    """
+    for _ in range(MOST_TRIES):
+        try:
+            return _persist(store, batch, source, run, now)
+        except StaleWrite as e:
+            stale = e
+    raise stale
+
+
+def _persist(store: Store, batch: Batch, source: Source, run: str, now: datetime) -> dict[str, int]:
+    spark, base = store.spark, store.snapshot()
+    known = base.read("companies")
+    changed = {n: empty(spark, n) for n in ("companies", "evidence", "review_queue")}
     counts = {"fetched_count": 0, "company_count": 0, "job_count": 0, "lead_count": 0}
-    changes: dict[str, DataFrame] = {}
+    changes: dict[str, Upserted] = {}
     hashes, kept_frames = None, []
 
     def keep(frame: DataFrame) -> DataFrame:
         kept_frames.append(frame.persist())
         return frame
 
+    def add(name: str, rows: DataFrame) -> None:
+        changed[name] = upsert(changed[name], rows, KEYS[name])
+
     if batch.documents is not None:
         held = keep(batch.documents)
         counts["fetched_count"] = held.count()
         hashes = held.select("url", "content_sha256")
-        changes["source_documents"] = upsert_columns(tables["source_documents"], last_per_key(held.select(*tables["source_documents"].columns), "document_id", "fetched_at"), "document_id", ["fetched_at", "storage_pointer"])
+        rows = last_per_key(held.select(*empty(spark, "source_documents").columns), "document_id", "fetched_at")
+        changes["source_documents"] = Upserted(rows, columns=("fetched_at", "storage_pointer"))
 
     def settle(candidates: DataFrame, reason: str, hashed: DataFrame | None) -> DataFrame:
         """Resolves candidates, with their evidence and review items; gives pos and company_id."""
-        nonlocal companies, evidence, reviews
+        companies = upsert(known, changed["companies"], "company_id")
         verdict = keep(resolve(companies, candidates))
-        ready = prepared(candidates).join(verdict.select("pos", "company_id"), "pos")
-        ready = keep(ready)
-        companies = keep(upsert(companies, merge(companies, ready), "company_id"))
-        evidence = upsert(evidence, postings.evidence(ready, "company", "company_id", F.coalesce(F.nullif(F.col("profile"), F.lit("")), F.col("name")), F.col("confidence"), F.lit(source.attribution), hashed), "evidence_id")
+        ready = keep(prepared(candidates).join(verdict.select("pos", "company_id"), "pos"))
+        changed["companies"] = keep(upsert(changed["companies"], merge(companies, ready), "company_id"))
+        add("evidence", postings.evidence(ready, "company", "company_id", F.coalesce(F.nullif(F.col("profile"), F.lit("")), F.col("name")), F.col("confidence"), F.lit(source.attribution), hashed))
         asked = ready.join(verdict.filter("needs_review").select("pos"), "pos", "left_semi").select(F.to_json(F.struct(*candidates.columns)).alias("payload"))
-        reviews = insert_missing(reviews, review_rows(spark, asked, "company_merge", source.id, reason, now), "review_id")
+        add("review_queue", review_rows(spark, asked, "company_merge", source.id, reason, now))
         return verdict.select("pos", "company_id")
 
     if batch.companies is not None:
         counts["company_count"] = batch.companies.count()
         settle(batch.companies, "Candidate may duplicate an existing company.", hashes)
-    observed = None
     if batch.jobs is not None:
         kept = keep(postings.classified(batch.jobs).filter("role_family <> 'other'"))
         employer = settle(postings.employers(kept), "Job employer may duplicate an existing company.", None)
         rows = keep(postings.normalised(kept.join(employer, "pos")))
         out = rows.filter("eligibility = 'ineligible'")
         audited = out.select(F.to_json(F.struct("job_id", "title", "company_id", "eligibility_evidence", "source_url")).alias("payload"))
-        reviews = insert_missing(reviews, review_rows(spark, audited, "ineligible_job_audit", source.id, "The posting excludes applicants by place.", now), "review_id")
-        fresh = postings.deduplicate(tables["jobs"], rows.filter("eligibility <> 'ineligible'"))
-        fresh = keep(fresh)
+        add("review_queue", review_rows(spark, audited, "ineligible_job_audit", source.id, "The posting excludes applicants by place.", now))
+        eligible = rows.filter("eligibility <> 'ineligible'")
+        fresh = keep(postings.deduplicate(base.lookup("jobs", "fingerprint", eligible.select("fingerprint")), eligible))
         observed = fresh.select("job_id")
         counts["job_count"] = observed.distinct().count()
-        jobs = upsert(tables["jobs"], fresh, "job_id")
         seen = kept.select("pos", F.col("source_url").alias("_raw"), F.concat_ws(" | ", "title", F.coalesce("location_text", F.lit(""))).alias("_snippet"))
-        told = rows.filter("eligibility <> 'ineligible'").join(seen, "pos").join(fresh.select("fingerprint", F.col("job_id").alias("_final")), "fingerprint")
+        told = eligible.join(seen, "pos").join(fresh.select("fingerprint", F.col("job_id").alias("_final")), "fingerprint")
         named = told.select(F.col("_final").alias("job_id"), F.lit(source.id).alias("source_id"), F.col("_raw").alias("source_url"), F.col("last_seen_at").alias("observed_at"), "_snippet", "eligibility_confidence")
-        evidence = upsert(evidence, postings.evidence(named, "job", "job_id", F.col("_snippet"), F.col("eligibility_confidence"), F.lit(source.attribution), hashes), "evidence_id")
-        changes["jobs"] = age_missing(jobs, observed, source.id) if batch.full_snapshot else jobs
+        add("evidence", postings.evidence(named, "job", "job_id", F.col("_snippet"), F.col("eligibility_confidence"), F.lit(source.attribution), hashes))
+        gone = aged(base.read("jobs"), observed, source.id) if batch.full_snapshot and counts["job_count"] else empty(spark, "jobs")
+        changes["jobs"] = Upserted(fresh.unionByName(gone))
     if batch.leads is not None:
         counts["lead_count"] = batch.leads.count()
         leads = batch.leads.select(F.to_json(F.struct(*batch.leads.drop("pos").columns)).alias("payload"))
-        reviews = insert_missing(reviews, review_rows(spark, leads, "discovery_lead", source.id, "A search result may be an employer.", now), "review_id")
-    store.commit(changes | {"companies": companies, "evidence": evidence, "review_queue": reviews})
-    for frame in kept_frames:
-        frame.unpersist()
+        add("review_queue", review_rows(spark, leads, "discovery_lead", source.id, "A search result may be an employer.", now))
+    changes |= {"companies": Upserted(changed["companies"]), "evidence": Upserted(changed["evidence"]), "review_queue": Upserted(changed["review_queue"], keep=True)}
+    try:
+        base.commit(changes, reads=("companies", "jobs"))
+    finally:
+        for frame in kept_frames:
+            frame.unpersist()
     return counts
 
 
@@ -101,7 +124,7 @@ def _run_row(store: Store, run: str, source: Source, status: str, started: datet
     done = None if status == "running" else datetime.now(UTC)
     c = {"fetched_count": 0, "company_count": 0, "job_count": 0, "lead_count": 0} | (counts or {})
     row = store.spark.createDataFrame([(run, source.id, started, done, status, source.full_snapshot, c["fetched_count"], c["company_count"], c["job_count"], c["lead_count"], failures, json.dumps(c))], TABLES["ingestion_runs"])
-    store.commit({"ingestion_runs": upsert(store.read("ingestion_runs"), row, "run_id")})
+    store.commit({"ingestion_runs": Upserted(row)}, reads=())
 
 
 def run_source(store: Store, source: Source, collect: Callable[[Source], Batch], dry_run: bool = False, resume: bool = False, run: str | None = None, now: datetime | None = None, report: Callable = lambda *_a, **_k: None) -> dict:
@@ -116,7 +139,7 @@ def run_source(store: Store, source: Source, collect: Callable[[Source], Batch],
         found = {n: rows.count() for n in ("jobs", "companies", "leads") if (rows := getattr(batch, n)) is not None}
         report("dry_run_completed", source=source.id, **found)
         return found
-    done = store.read("ingestion_runs").filter((F.col("run_id") == run) & (F.col("status") == "completed")).first()
+    done = store.snapshot().read("ingestion_runs").filter((F.col("run_id") == run) & (F.col("status") == "completed")).first()
     if resume and done:
         report("source_resumed", source=source.id)
         return {k: done[k] for k in ("fetched_count", "company_count", "job_count", "lead_count")}
@@ -150,9 +173,10 @@ def run_weekly(store: Store, sources: dict[str, Source], collect: Callable[[Sour
 
 def bootstrap(store: Store, folder: str) -> bool:
     """Fills the tables from a public CSV export, if there is no company yet; whether it did."""
-    if not store.read("companies").isEmpty():
+    base = store.snapshot()
+    if not base.read("companies").isEmpty():
         return False
-    store.commit({name: restored(store.spark, folder, name, TABLES[name]) for name in ("companies", "jobs", "evidence")})
+    base.commit({name: restored(store.spark, folder, name, TABLES[name]) for name in ("companies", "jobs", "evidence")})
     return True
 
 

@@ -23,6 +23,8 @@ TABLES = {
     "review_queue": "review_id string, kind string, source_id string, payload_json string, reason string, created_at timestamp, status string",
 }
 KEYS = {"ingestion_runs": "run_id", "source_documents": "document_id", "companies": "company_id", "jobs": "job_id", "evidence": "evidence_id", "review_queue": "review_id"}
+#: Columns that rows are looked up by, beside the key.
+INDEXES = {"companies": ("domain",), "jobs": ("fingerprint",)}
 
 JOB_CANDIDATE = (
     "source_id string, source_url string, external_id string, company_name string, company_website string, title string, description string, "

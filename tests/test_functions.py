@@ -1,3 +1,5 @@
+import datetime
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -52,11 +54,32 @@ def test_clean_text(spark):
     assert one(spark, " \n ", text.clean_text(F.col("x"))) is None
 
 
-def test_dates(spark):
-    day = lambda v: one(spark, v, F.date_format(dates.parse_datetime(F.col("x")), "yyyy-MM-dd HH:mm"))
-    assert day("2026-08-20T10:00:00Z") == "2026-08-20 10:00"
-    assert day("20 Aug 2026 10:00 +0545") == "2026-08-20 04:15"
-    assert day("1700000000000") is None and day("") is None and day("soon") is None
+DATES = {
+    "2026-08-20T10:00:00Z": "2026-08-20 10:00:00.000000", "2026-08-20": "2026-08-20 00:00:00.000000", "2026-08-20 10:05": "2026-08-20 10:05:00.000000", "2026-08-20T10:00:00.123456+05:45": "2026-08-20 04:15:00.123456",
+    "20 Aug 2026 10:00 +0545": "2026-08-20 04:15:00.000000", "August 20th, 2026 10:30": "2026-08-20 10:30:00.000000", "Thu, 20 Aug 2026 12:00:10 GMT": "2026-08-20 12:00:10.000000", "2026/8/2": "2026-08-02 00:00:00.000000",
+    "8/9/2026": "2026-08-09 00:00:00.000000", "20/8/2026": "2026-08-20 00:00:00.000000", "3-Mar-2026": "2026-03-03 00:00:00.000000", "Sept 3 2026": "2026-09-03 00:00:00.000000",
+    # by the parser
+    "20 August 2026 5pm": "2026-08-20 17:00:00.000000", "20260820": "2026-08-20 00:00:00.000000", "May 2026": "2026-05-01 00:00:00.000000", "12.05.2026": "2026-12-05 00:00:00.000000",
+    # no instant, or one that only today could complete
+    "7": None, "2026": None, "202608": None, "1700000000": None, "1700000000000": None, "10:30": None, "Monday": None, "2026-02-30": None, "2026-08-20T25:00:00Z": None, "soon": None, "no date 12": None, "": None, " ": None, "x" * 5000: None,
+}
+
+
+@pytest.mark.parametrize("zone", ["UTC", "Asia/Kathmandu"])
+def test_dates(spark, zone):
+    rows = spark.createDataFrame([(t,) for t in [*DATES, None]], "x string")
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        got = {r["x"]: r["at"] for r in rows.select("x", F.unix_micros(dates.parse_datetime(F.col("x"))).alias("at")).collect()}
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    shown = {t: at and (datetime.datetime(1970, 1, 1) + datetime.timedelta(microseconds=at)).strftime("%Y-%m-%d %H:%M:%S.%f") for t, at in got.items()}
+    assert shown == DATES | {None: None}
+
+
+def test_tiers_agree():
+    assert {t: at.strftime("%Y-%m-%d %H:%M:%S.%f") if (at := dates.read_date(t)) else None for t in DATES if DATES[t]} == {t: v for t, v in DATES.items() if v}
 
 
 @pytest.mark.parametrize(

@@ -4,29 +4,19 @@ import datetime
 import json
 
 import pytest
-from pyspark.sql import functions as F
 
-from provenir.operators import lifecycle, quality, resolution, upsert
+from provenir.operators import lifecycle, quality
 from provenir.plans import ingest
-from provenir.schemas import COMPANY_CANDIDATE, TABLES
+from provenir.schemas import TABLES
 from provenir.sinks import archive, export, progress
-from provenir.sinks.store import Store
+from provenir.sinks.store import Store, Upserted
 from provenir.sources import catalog, feeds, http
 from provenir.sources.collect import collect
 
 NOW = datetime.datetime(2026, 8, 27, 12, tzinfo=datetime.UTC)
 
 
-@pytest.fixture(autouse=True, scope="module")
-def small_plans(spark):
-    """A handful of rows: compiling and re-planning each stage would take longer than the work."""
-    quick = {"spark.sql.codegen.wholeStage": "false", "spark.sql.codegen.factoryMode": "NO_CODEGEN", "spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": "1"}
-    before = {k: spark.conf.get(k) for k in quick}
-    for k, v in quick.items():
-        spark.conf.set(k, v)
-    yield
-    for k, v in before.items():
-        spark.conf.set(k, v)
+pytestmark = pytest.mark.usefixtures("small_plans")
 
 
 def source(connector, **more):
@@ -39,21 +29,24 @@ def documents(spark, *bodies, urls=None):
     return spark.createDataFrame(rows, "seq long, url string, content binary, observed_at timestamp")
 
 
-REMOTEOK = [
-    {"legal": "notice"},
-    {"id": "101", "position": "Entry Python Developer", "company": "Gandaki Works", "location": "Worldwide", "description": "HIDDEN BODY TEXT Python, Docker. 1-2 years experience", "url": "https://remoteok.example/jobs/101",
-     "apply_url": "https://example.com/careers/101?utm_source=test", "tags": ["python", "backend"], "date": "2026-08-20T10:00:00Z", "salary": "$40k-$60k/year"},
-    {"id": "102", "position": "", "company": "No Title"},
-    {"id": "103", "position": "Cook", "company": "Kitchen", "url": "https://remoteok.example/jobs/103"},
-    {"id": "104", "position": "DevOps Engineer", "company": "Walled", "location": "US only", "description": "", "url": "https://remoteok.example/jobs/104"},
+#: A week of a feed: two employers with three postings, one for cooks, one closed to the world, one without a title.
+FEED = [
+    {"legal": "terms apply"},
+    {"id": "p7", "position": "Senior Platform Engineer", "company": "Sakura Cloud KK", "location": "Worldwide", "description": "<p>Kubernetes &amp; Terraform, 5+ years.</p> NOT FOR PRINT", "url": "https://sakura.test/p7?utm_medium=feed", "apply_url": "https://sakura.test/apply/p7", "tags": ["sre"], "date": "2026-05-02T08:30:00+09:00", "salary": "NPR 150,000 - 180,000 per month"},
+    {"id": "p8", "position": "Data Engineer", "company": "Sakura Cloud KK", "location": "Worldwide", "description": "Spark and SQL", "url": "https://sakura.test/p8", "salary": "€64k"},
+    {"id": "p9", "position": "Junior QA Engineer", "company": "Bossa Testes", "location": "Worldwide", "description": "Selenium", "url": "https://bossa.test/9"},
+    {"id": "c1", "position": "Pastry Chef", "company": "Doce Vida", "url": "https://doce.test/1"},
+    {"id": "u1", "position": "Backend Developer", "company": "Fenced Inc", "location": "US only", "description": "", "url": "https://fenced.test/1"},
+    {"id": "n1", "position": "", "company": "Nameless"},
 ]
 
 
-def test_remoteok(spark):
-    rows = feeds.remoteok(documents(spark, "﻿" + json.dumps(REMOTEOK)), source("remoteok")).jobs.orderBy("pos").collect()
-    assert [r["title"] for r in rows] == ["Entry Python Developer", "Cook", "DevOps Engineer"]
-    assert rows[0]["candidate_location"] == "Worldwide" and rows[1]["candidate_location"] == "Worldwide" and rows[0]["workplace_type"] == "remote" and rows[0]["description_public"]
-    assert rows[0]["posted_at"].isoformat().startswith("2026-08-20") and rows[0]["skills"] == ["python", "backend"]
+def test_feed_rows(spark):
+    rows = {r["external_id"]: r for r in feeds.remoteok(documents(spark, "\ufeff" + json.dumps(FEED)), source("remoteok")).jobs.collect()}
+    assert set(rows) == {"p7", "p8", "p9", "c1", "u1"} and [rows[k]["pos"] for k in ("p7", "p8", "p9")] == sorted(rows[k]["pos"] for k in ("p7", "p8", "p9"))
+    one, chef = rows["p7"], rows["c1"]
+    assert one["company_name"] == "Sakura Cloud KK" and one["skills"] == ["sre"] and one["posted_at"] == datetime.datetime(2026, 5, 1, 23, 30) and one["workplace_type"] == "remote"
+    assert chef["candidate_location"] == "Worldwide" and chef["salary_text"] is None
 
 
 def test_other_feeds(spark):
@@ -104,53 +97,126 @@ def batch_of(spark, rows):
     return feeds.remoteok(documents(spark, rows), source("remoteok"))
 
 
-def test_end_to_end(spark, tmp_path):
-    store, remoteok = Store(spark, str(tmp_path / "t")), source("remoteok")
-    events = []
-    counts = ingest.run_source(store, remoteok, lambda s: batch_of(spark, REMOTEOK), now=NOW, report=lambda e, **k: events.append(e))
-    assert counts["job_count"] == 1 and events == ["source_started", "source_completed"]
-    (job,) = store.read("jobs").collect()
-    assert (job["role_family"], job["seniority"], job["eligibility"], job["salary_min"], job["salary_max"], job["min_years_experience"], job["apply_url"]) == ("software_engineering", "entry", "eligible", 40000.0, 60000.0, 1.0, "https://example.com/careers/101")
-    assert store.read("companies").count() == 2 and {r["kind"] for r in store.read("review_queue").collect()} == {"ineligible_job_audit"}
-    assert store.read("evidence").groupBy("record_type").count().orderBy("record_type").collect() == [("company", 2), ("job", 1)]
-    assert ingest.run_source(store, remoteok, lambda s: 1 / 0, now=NOW, resume=True)["job_count"] == 1
-    with pytest.raises(ZeroDivisionError):
-        ingest.run_weekly(store, {}, None) or ingest.run_source(store, remoteok, lambda s: 1 / 0, now=NOW + datetime.timedelta(days=9))
-    assert ingest.stats(store.tables())["failed_runs"] == 1
-    files = export.export(store.tables(), {"remoteok": remoteok}, tmp_path / "out", "csv")
-    assert {"ATTRIBUTION.md", "COVERAGE.md", "DATA_DICTIONARY.md", "companies.csv", "evidence.csv", "jobs.csv", "manifest.json", "runs.csv", "sources.json"} == set(files)
-    text = "".join(p.read_text(encoding="utf-8") for p in (tmp_path / "out" / "jobs.csv").glob("part-*"))
-    assert "public_description" not in text and "HIDDEN BODY" not in text and "Entry Python" in text
-    fresh = Store(spark, str(tmp_path / "u"))
-    assert ingest.bootstrap(fresh, str(tmp_path / "out")) and not ingest.bootstrap(fresh, str(tmp_path / "out"))
-    (again,) = fresh.read("jobs").collect()
-    assert again["missing_runs"] == 0 and again["job_id"] == job["job_id"] and again["skills"] == job["skills"] and again["last_seen_at"] == job["last_seen_at"]
-    for kind in ("jsonl", "parquet", "duckdb"):
-        export.export(store.tables(), {"remoteok": remoteok}, tmp_path / kind, kind)
+def week(k):
+    return NOW + datetime.timedelta(weeks=k)
+
+
+def jobs_of(store):
+    return {r["title"]: r for r in store.snapshot().read("jobs").collect()}
+
+
+@pytest.fixture(scope="module")
+def stored(spark, tmp_path_factory, small_plans):
+    """A store after one week of the feed."""
+    store = Store(spark, str(tmp_path_factory.mktemp("stored")))
+    told = []
+    counts = ingest.run_source(store, source("remoteok"), lambda s: batch_of(spark, FEED), now=NOW, report=lambda e, **k: told.append(e))
+    assert told == ["source_started", "source_completed"] and counts == {"fetched_count": 0, "company_count": 0, "job_count": 3, "lead_count": 0}
+    return store
+
+
+def test_postings_of_a_week(stored):
+    jobs = jobs_of(stored)
+    one, two, three = (jobs[t] for t in ("Senior Platform Engineer", "Data Engineer", "Junior QA Engineer"))
+    assert (one["seniority"], one["min_years_experience"], one["salary_min"], one["salary_max"], one["salary_currency"], one["salary_period"]) == ("senior", 5.0, 150000.0, 180000.0, "NPR", "month")
+    assert (two["salary_min"], two["salary_currency"], two["salary_period"], three["seniority"], three["early_career_fit"]) == (64000.0, "EUR", None, "entry", True)
+    assert one["company_id"] == two["company_id"] != three["company_id"] and one["source_url"] == "https://sakura.test/p7" and len(jobs) == 3
+    now = stored.snapshot()
+    assert sorted(r["canonical_name"] for r in now.read("companies").collect()) == ["Bossa Testes", "Fenced Inc", "Sakura Cloud KK"]
+    assert [r["kind"] for r in now.read("review_queue").collect()] == ["ineligible_job_audit"]
+    assert sorted(r["record_type"] for r in now.read("evidence").collect()) == ["company"] * 4 + ["job"] * 3
+    assert ingest.stats(now.tables()) == {"companies": 3, "active_jobs": 3, "pending_review": 1, "failed_runs": 0}
+
+
+def test_weeks_that_follow(spark, stored, tmp_path):
+    """A posting that is gone misses a run, comes back by a board, and a failed week changes nothing."""
+    store = Store(spark, str(tmp_path / "t"))
+    store.commit({n: rows for n, rows in stored.snapshot().tables().items() if n != "source_documents"})
+    feed = source("remoteok")
+    state = lambda: {t: (r["status"], r["missing_runs"]) for t, r in jobs_of(store).items()}
+    ingest.run_source(store, feed, lambda s: batch_of(spark, [r for r in FEED if r.get("id") != "p8"]), now=week(1))
+    missed = {"Senior Platform Engineer": ("active", 0), "Data Engineer": ("active", 1), "Junior QA Engineer": ("active", 0)}
+    assert state() == missed
+    with pytest.raises(RuntimeError, match="remoteok"):
+        ingest.run_weekly(store, {"remoteok": feed, "off": source("remotive", enabled=False)}, lambda s: 1 / 0, now=week(2))
+    assert state() == missed and ingest.stats(store.snapshot().tables())["failed_runs"] == 1
+    before = jobs_of(store)["Data Engineer"]
+    board = source("lever", parameters={"boards": [{"token": "sakura", "company": "Sakura Cloud KK"}]})
+    posting = [{"id": "zz", "text": "Data Engineer", "description": "spark, worldwide", "hostedUrl": "https://boards.test/zz", "categories": {"location": "Worldwide"}}]
+    ingest.run_source(store, board, lambda s: feeds.lever(documents(spark, posting, urls={0: "https://l.example/sakura?mode=json"}), board), now=week(2))
+    back = jobs_of(store)["Data Engineer"]
+    assert (back["job_id"], back["first_seen_at"], back["missing_runs"], back["source_id"]) == (before["job_id"], before["first_seen_at"], 0, "lever")
+    ingest.run_source(store, feed, lambda s: batch_of(spark, FEED), now=week(3))
+    kept = jobs_of(store)["Data Engineer"]  # the board outranks the feed
+    assert (kept["source_id"], kept["source_url"], kept["salary_min"]) == ("lever", "https://boards.test/zz", 64000.0) and len(jobs_of(store)) == 3
+    assert ingest.run_source(store, feed, lambda s: 1 / 0, now=week(3), resume=True)["job_count"] == 3
+    with pytest.raises(ValueError):
+        ingest.run_source(store, source("remotive", enabled=False), None)
+
+
+def test_employers_of_one_batch(spark, tmp_path):
+    """Three spellings of one employer in a batch, two that are only similar, and a writer who comes between with one of these."""
+    names = ["Aurora Sistemas", "aurora sistemas", "Aurora Sistemas do Brasil", "Aurora Systemas", "Aurora Sistemos"]
+    rows = [{"id": str(k), "position": f"Software Engineer {k}", "company": n, "location": "Worldwide", "url": f"https://a.test/{k}"} for k, n in enumerate(names)]
+    store, tries = Store(spark, str(tmp_path / "t")), []
+    commit = Store.commit
+
+    def late(self, changes, *args, **more):
+        """Another source commits a company while this batch is being applied."""
+        if "companies" in changes and not tries:
+            tries.append(1)
+            fields = [c.split(" ", 1)[0] for c in TABLES["companies"].split(", ")]
+            row = tuple({"company_id": "other", "canonical_name": "Aurora Systemas Ltda", "active": True, "first_seen_at": NOW, "aliases": []}.get(f) for f in fields)
+            commit(Store(spark, store.root), {"companies": Upserted(spark.createDataFrame([row], TABLES["companies"]))}, reads=())
+        return commit(self, changes, *args, **more)
+
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(Store, "commit", late)
+        ingest.run_source(store, source("remoteok"), lambda s: batch_of(spark, [{}, *rows]), now=NOW)
+    now = store.snapshot()
+    assert sorted((r["canonical_name"], tuple(r["aliases"])) for r in now.read("companies").collect()) == [("Aurora Sistemas", ("Aurora Sistemas do Brasil", "aurora sistemas")), ("Aurora Sistemos", ()), ("Aurora Systemas Ltda", ("Aurora Systemas",))]
+    assert [r["kind"] for r in now.read("review_queue").collect()] == ["company_merge"] and tries == [1]
+
+
+def test_exports(spark, stored, tmp_path):
+    import hashlib
+
     import duckdb
 
-    assert duckdb.connect(str(tmp_path / "duckdb" / "public.duckdb")).execute("SELECT title FROM jobs").fetchall() == [("Entry Python Developer",)]
+    tables, known = stored.snapshot().tables(), {"remoteok": source("remoteok")}
+    folder = tmp_path / "out" / "data" / "data"  # the folder's name recurs in its path
+    files = export.export(tables, known, folder, "csv")
+    assert set(files) == {"ATTRIBUTION.md", "COVERAGE.md", "DATA_DICTIONARY.md", "companies.csv", "evidence.csv", "jobs.csv", "manifest.json", "runs.csv", "sources.json"}
+    text = "".join(p.read_text(encoding="utf-8") for p in (folder / "jobs.csv").glob("part-*"))
+    assert "public_description" not in text and "NOT FOR PRINT" not in text and "Senior Platform" in text
+    listed = json.loads((folder / "manifest.json").read_text())["files"]
+    there = {str(p.relative_to(folder)): p.read_bytes() for p in folder.rglob("*") if p.is_file() and not p.name.startswith((".", "_")) and p != folder / "manifest.json"}
+    assert {f["path"]: (f["bytes"], f["sha256"]) for f in listed} == {n: (len(b), hashlib.sha256(b).hexdigest()) for n, b in there.items()}
+    fresh = Store(spark, str(tmp_path / "u"))
+    assert ingest.bootstrap(fresh, str(folder)) and not ingest.bootstrap(fresh, str(folder))
+    again, jobs = jobs_of(fresh), jobs_of(stored)
+    assert {t: (r["job_id"], r["skills"], r["last_seen_at"], r["missing_runs"]) for t, r in again.items()} == {t: (r["job_id"], r["skills"], r["last_seen_at"], 0) for t, r in jobs.items()}
+    for kind in ("jsonl", "parquet", "duckdb"):
+        export.export(tables, known, tmp_path / kind, kind)
+    with duckdb.connect(str(tmp_path / "duckdb" / "public.duckdb"), read_only=True) as c:
+        assert c.execute("SELECT title, salary_min FROM jobs ORDER BY title").fetchall() == [("Data Engineer", 64000.0), ("Junior QA Engineer", None), ("Senior Platform Engineer", 150000.0)]
+        assert [c.execute(f"SELECT count(*) FROM {n}").fetchone()[0] for n in ("companies", "evidence", "runs")] == [3, 7, 1]
     assert '"attribution":"by"' in "".join(p.read_text() for p in (tmp_path / "jsonl" / "jobs.jsonl").glob("part-*"))
-    assert export.export_review(store.tables(), str(tmp_path / "review")) == 1
-    issues, metrics = quality.validate(store.tables(), catalog.as_table(spark, {"remoteok": remoteok}), catalog.check({"remoteok": remoteok}))
-    assert issues.count() == 0 and metrics["active_companies"] == 2 and metrics["active_jobs"] == 1
-    bad = catalog.as_table(spark, {"remoteok": source("remoteok", redistribution="unknown")})
-    issues, _ = quality.validate(store.tables() | {"evidence": store.read("evidence").limit(0)}, bad, release=True)
-    assert {r["code"] for r in issues.collect()} == {"company_provenance", "job_provenance", "restricted_company_source", "restricted_job_source", "release_company_count", "release_job_count"}
+    assert export.export_review(tables, str(tmp_path / "review")) == 1
 
 
-def test_deduplication_over_sources(spark, tmp_path):
-    store = Store(spark, str(tmp_path / "t"))
-    ingest.run_source(store, source("remoteok"), lambda s: batch_of(spark, REMOTEOK[:2]), now=NOW)
-    (before,) = store.read("jobs").collect()
-    lever = source("lever", parameters={"boards": [{"token": "example", "company": "Gandaki Works"}]})
-    posting = [{"id": "z", "text": "Entry Python Developer", "description": "worldwide", "hostedUrl": "https://l/z", "categories": {"location": "Worldwide"}}]
-    ingest.run_source(store, lever, lambda s: feeds.lever(documents(spark, posting, urls={0: "https://l.example/example?mode=json"}), lever), now=NOW)
-    (after,) = store.read("jobs").collect()
-    assert after["job_id"] == before["job_id"] and after["source_id"] == "lever" and after["first_seen_at"] == before["first_seen_at"]
-    ingest.run_source(store, source("remoteok"), lambda s: batch_of(spark, REMOTEOK[:2]), now=NOW + datetime.timedelta(days=8))
-    (kept,) = store.read("jobs").collect()
-    assert kept["source_id"] == "lever" and kept["source_url"] == "https://l/z" and kept["min_years_experience"] == 1.0
+def test_rules_over_tables(spark, stored):
+    tables = stored.snapshot().tables()
+    good = catalog.as_table(spark, {"remoteok": source("remoteok")})
+    issues, metrics = quality.validate(tables, good, ["no maintainer"])
+    assert [r["code"] for r in issues.collect()] == ["source_catalog"] and metrics["active_companies"] == 3 and metrics["active_jobs"] == 3
+    closed = catalog.as_table(spark, {"remoteok": source("remoteok", redistribution="restricted")})
+    issues, _ = quality.validate(tables | {"evidence": tables["evidence"].filter("record_type = 'job'")}, closed, release=True)
+    count = {r["code"]: r["count"] for r in issues.groupBy("code").count().collect()}
+    assert count == {"company_provenance": 3, "restricted_company_source": 3, "restricted_job_source": 3, "release_company_count": 1, "release_job_count": 1}
+    twice = tables["jobs"].limit(1)
+    issues, _ = quality.validate(tables | {"jobs": tables["jobs"].unionByName(twice)}, good)
+    assert {r["code"] for r in issues.collect()} == {"duplicate_jobs", "duplicate_key"}
 
 
 def test_lifecycle(spark):
@@ -159,6 +225,7 @@ def test_lifecycle(spark):
     state = lambda j: {r["job_id"]: (r["status"], r["missing_runs"]) for r in j.collect()}
     assert state(lifecycle.age_missing(jobs, ids(), "s"))["a"] == ("active", 0)
     once = lifecycle.age_missing(jobs, ids("x"), "s")
+    assert state(lifecycle.aged(jobs, ids("x"), "s")) == {"a": ("active", 1)} and state(lifecycle.aged(once, ids("x"), "s")) == {"a": ("closed", 2)} and state(lifecycle.aged(jobs, ids("a"), "s")) == {}
     assert state(once) == {"a": ("active", 1), "b": ("active", 0)}
     assert state(lifecycle.age_missing(once, ids("x"), "s"))["a"] == ("closed", 2)
 
@@ -179,32 +246,6 @@ def test_history_is_the_sequence_of_steps(spark):
     assert got == state
 
 
-def candidates(spark, *rows):
-    names = [c.split(" ", 1)[0] for c in COMPANY_CANDIDATE.split(", ")]
-    made = [(k, *(r.get(n, {"source_id": "f", "source_url": "u", "aliases": [], "sectors": ["t"], "nepal_relationship": "based", "country": "Nepal", "confidence": 0.6, "observed_at": NOW}.get(n)) for n in names)) for k, r in enumerate(rows)]
-    return spark.createDataFrame(made, "pos long, " + COMPANY_CANDIDATE)
-
-
-def resolved(spark, existing, *rows):
-    wanted = candidates(spark, *rows)
-    verdict = resolution.resolve(existing, wanted).persist()
-    merged = resolution.merge(existing, resolution.prepared(wanted).join(verdict.select("pos", "company_id"), "pos"))
-    return verdict.orderBy("pos").collect(), upsert.upsert(existing, merged, "company_id").persist()
-
-
-def test_resolution(spark):
-    none = spark.createDataFrame([], TABLES["companies"])
-    (first,), companies = resolved(spark, none, {"name": "Lumbini Robotics", "website": "https://example.com"})
-    (again,), companies = resolved(spark, companies, {"name": "Lumbini Robo Pvt Ltd", "website": "https://www.example.com/about"})
-    assert again["company_id"] == first["company_id"] and first["is_new"] and not again["needs_review"]
-    (row,) = companies.collect()
-    assert row["canonical_name"] == "Lumbini Robotics" and row["aliases"] == ["Lumbini Robo Pvt Ltd"]
-    one, two, three = resolved(spark, none, {"name": "Pokhara Gateway Analytics"}, {"name": "Pokhara Gateway Analytic Pvt Ltd"}, {"name": "Kathmandu Software"})[0]
-    assert two["needs_review"] and two["is_new"] and three["company_id"] == one["company_id"] and not three["is_new"]
-    pair = resolved(spark, none, {"name": "A", "website": "https://same.io"}, {"name": "B", "website": "http://same.io/x"})[0]
-    assert pair[0]["company_id"] == pair[1]["company_id"]
-
-
 def test_fetcher():
     public = lambda host, port, proto=0: [(0, 0, 0, "", ("93.184.216.34", port))]
     for bad in ("file:///x", "https://u:p@x.org", "ftp://x.org"):
@@ -282,37 +323,6 @@ def test_stream_of_snapshots(spark, tmp_path):
     assert len(counts) == 2 and {r["n"] for r in counts} == {1}
 
 
-def test_companies_of_a_batch_meet_under_each_word(spark):
-    none = spark.createDataFrame([], TABLES["companies"])
-    made = resolved(spark, none, {"name": "Nepal Acme"}, {"name": "Himal Tea"}, {"name": "Tea"}, {"name": "Acme"}, {"name": "Acme Nepal"})[0]
-    one, two, three, four, five = made
-    assert one["is_new"] and two["is_new"] and not (three["is_new"] or four["is_new"] or five["is_new"])
-    assert three["company_id"] == two["company_id"] and one["company_id"] == four["company_id"] == five["company_id"]
-
-
-def test_store_keeps_the_last_version(spark, tmp_path, monkeypatch):
-    from provenir.schemas import TABLES
-    from provenir.sinks.store import StaleWrite, Store
-
-    store = Store(spark, f"file://{tmp_path}/tables")
-    runs = lambda *ids: spark.createDataFrame([(i, "s", None, None, "completed", True, 0, 0, 0, 0, 0, "{}") for i in ids], TABLES["ingestion_runs"])
-    assert store.version() == 0 and store.read("ingestion_runs").count() == 0
-    store.commit({"ingestion_runs": runs("a")}, {"n": 1})
-    with monkeypatch.context() as m:
-        m.setattr(Store, "_publish", lambda *_: (_ for _ in ()).throw(OSError("lost")))
-        with pytest.raises(OSError):
-            store.commit({"ingestion_runs": runs("a", "b")})
-    assert store.version() == 1 and [r["run_id"] for r in store.read("ingestion_runs").collect()] == ["a"]
-    late = Store(spark, store.root)
-    monkeypatch.setattr(late, "_pointer", lambda: {"version": 0, "tables": {}})
-    with pytest.raises(StaleWrite):
-        late.commit({"ingestion_runs": runs("x")})
-    with pytest.raises(StaleWrite):
-        store.commit({"ingestion_runs": runs("x")}, base=0)
-    assert store.commit({"ingestion_runs": runs("b")}) == 2 and store.notes() == {"n": 1}
-    assert [r["run_id"] for r in Store(spark, store.root).tables()["ingestion_runs"].collect()] == ["b"]
-
-
 def test_network_errors_are_tried_again():
     import urllib.error
 
@@ -349,11 +359,43 @@ def test_answers_are_archived_before_they_are_read(spark, tmp_path):
     assert told == ["archive_started", "archive_completed"]
 
 
+def test_command_line(spark, stored, tmp_path, capsys, monkeypatch):
+    """Commands over a data folder: a dry run, a weekly run with documents in the archive, validation, export, review, counts."""
+    from provenir import cli
+    from provenir.sinks.archive import FolderStore
+    from provenir.sources.http import Response
+
+    monkeypatch.setattr(cli, "session", lambda: spark)
+    (tmp_path / "sources").mkdir()
+    (tmp_path / "sources" / "remoteok.yaml").write_text("id: remoteok\nname: Feed\nowner: o\nkind: jobs\nconnector: remoteok\naccess_mode: api\nattribution: by\nbase_url: https://feed.example/api\nredistribution: attributed\nobey_robots: false\nrefresh: weekly\n")
+
+    class Fixed:
+        def fetch(self, url, **_):
+            return Response(url, 200, {"content-type": "application/json"}, json.dumps(FEED[:3]).encode())
+
+    def run(*args):
+        code = cli.main(["--data", str(tmp_path / "data"), "--sources", str(tmp_path / "sources"), *args], lambda s: collect(spark, s, Fixed(), {}, FolderStore(tmp_path / "data" / "raw"), "r"))
+        return code, capsys.readouterr().out.strip().splitlines()[-1]
+
+    assert run("sources", "list") == (0, "remoteok\tenabled\tapi\tFeed") and run("sources", "check") == (0, "ok")
+    assert json.loads(run("collect", "--source", "remoteok", "--dry-run")[1]) == {"jobs": 2} and not (tmp_path / "data" / "tables").exists()
+    code, said = run("run", "weekly", "--bootstrap", str(tmp_path / "none"))
+    assert code == 0 and json.loads(said)["remoteok"]["job_count"] == 2 and json.loads(said)["remoteok"]["fetched_count"] == 1
+    (document,) = Store(spark, str(tmp_path / "data" / "tables")).read("source_documents").collect()
+    assert (tmp_path / "data" / "raw" / document["storage_pointer"]).stat().st_size > 0
+    code, said = run("validate")
+    assert code == 0 and json.loads(said)["ok"] and json.loads(said)["active_jobs"] == 2
+    assert run("validate", "--release")[0] == 1 and json.loads((tmp_path / "data" / "reports" / "validation.json").read_text())["errors"] == {"release_company_count": 1, "release_job_count": 1}
+    assert "jobs.jsonl" in json.loads(run("export", "--format", "jsonl", "--output", str(tmp_path / "public"))[1])
+    assert run("review", "export", "--output", str(tmp_path / "queue")) == (0, "0")
+    assert json.loads(run("stats")[1]) == {"companies": 1, "active_jobs": 2, "pending_review": 0, "failed_runs": 0}
+
+
 def test_snapshots_in_parts_and_replays(spark, tmp_path):
     from datetime import UTC, datetime
 
     from provenir.schemas import TABLES
-    from provenir.sinks.store import Store
+    from provenir.sinks.store import Store, Upserted
     from provenir.streaming import lifecycle as stream
 
     store = Store(spark, f"file://{tmp_path}/tables")
