@@ -480,13 +480,14 @@ def job_deduplicate(spark, sf_dir):
 #: Company names of documents: the first words of a text in ASCII letters and digits, in lower case.
 _NAME_WORDS = "regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z0-9]+')"
 #: Common subsequence of a and b by rows of bits (names of up to 100 letters), and the token-set score made of it.
-_LCS = """length(a) - bit_count(list_reduce(string_split(b, ''), lambda v, c: (((v + (v & list_sum(list_transform(range(length(a)), lambda i: CASE WHEN substr(a, CAST(i + 1 AS INT), 1) = c THEN CAST(1 AS HUGEINT) << CAST(i AS INT) ELSE 0 END))::HUGEINT)
-  | (v - (v & list_sum(list_transform(range(length(a)), lambda i: CASE WHEN substr(a, CAST(i + 1 AS INT), 1) = c THEN CAST(1 AS HUGEINT) << CAST(i AS INT) ELSE 0 END))::HUGEINT))) & ((CAST(1 AS HUGEINT) << length(a)) - 1), (CAST(1 AS HUGEINT) << length(a)) - 1))"""
+_HIT = "(v & list_sum(list_transform(range(length(a)), lambda i: CASE WHEN substr(a, CAST(i + 1 AS INT), 1) = c THEN CAST(1 AS HUGEINT) << CAST(i AS INT) ELSE 0 END))::HUGEINT)"
+_FULL = "((CAST(1 AS HUGEINT) << length(a)) - 1)"
+_LCS = f"length(a) - bit_count(list_reduce(string_split(b, ''), lambda v, c: ((v + {_HIT}) | (v - {_HIT})) & {_FULL}, {_FULL}))"
 
 
 @query(
     f"""WITH RECURSIVE words AS (SELECT doc_id, {_NAME_WORDS.replace("text, 'ABC", "coalesce(text, ''), 'ABC")} AS w FROM documents),
-        named AS (SELECT doc_id, array_to_string(w[1 : CASE WHEN doc_id % 2 = 0 THEN 3 ELSE 2 END], ' ') AS name, CASE WHEN doc_id % 7 < 2 THEN w[2] || '.example' END AS domain FROM words WHERE len(w) >= 2),
+        named AS (SELECT doc_id, array_to_string(list_slice(w, 1, CASE WHEN doc_id % 2 = 0 THEN 3 ELSE 2 END), ' ') AS name, CASE WHEN doc_id % 7 < 2 THEN w[2] || '.example' END AS domain FROM words WHERE len(w) >= 2),
         known AS (SELECT doc_id AS id, name, domain FROM named WHERE doc_id % 2 = 0), batch AS (SELECT doc_id AS id, name, domain FROM named WHERE doc_id % 2 = 1),
         owned AS (SELECT b.id, min(k.id) AS owner FROM batch b JOIN known k USING (domain) GROUP BY b.id),
         led AS (SELECT b.*, owner, coalesce(min(b.id) OVER (PARTITION BY b.domain), b.id) AS first, CASE WHEN b.domain IS NULL THEN b.id ELSE min(b.id) OVER (PARTITION BY b.domain) END AS leader FROM batch b LEFT JOIN owned USING (id)),
