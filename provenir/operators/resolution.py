@@ -76,6 +76,7 @@ def resolve(existing: DataFrame, candidates: DataFrame) -> DataFrame:
     ranked = staged(asked.filter(meets).join(first, ["hay", "name_key", "token"]).select(*asked.columns, "rep").unionByName(asked.filter(~meets).withColumn("rep", F.col("pos"))), "ranked")
     reps = ranked.filter("pos = rep")
     old = existing.filter("canonical_name is not null").select(F.col("company_id").alias("id"), normalize_text("canonical_name").alias("name_key"), F.lower("canonical_name").alias("hay"), F.coalesce(F.unix_micros("first_seen_at"), F.lit(UNDATED)).alias("seen"))
+    old = old.groupBy("name_key", "hay").agg(F.min(F.struct("seen", "id")).alias("oldest")).select("oldest.*", "name_key", "hay")  # of equal names only the oldest is ever taken
     known = staged(matches(reps.filter("token is not null"), old, REVIEW_AT), "known")
     merged = known.filter(F.col("score") >= MERGE_AT).select("id")
     made = reps.select("id", F.col("own_key").alias("name_key"), "hay", "seen")

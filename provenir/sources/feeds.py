@@ -121,10 +121,15 @@ def _boards(source: Source) -> list[dict]:
     return [b if isinstance(b, dict) else {"token": b} for b in source.parameter("boards")]
 
 
+#: The path part before the token in the addresses of the boards' interfaces.
+_BEFORE_TOKEN = "boards|postings|job-board"
+
+
 def _board_columns(documents: DataFrame, source: Source) -> DataFrame:
-    """`documents` with board (token), company and website of the board whose token stands in the URL."""
+    """`documents` with board (token), company and website of the board that the URL asks for."""
     boards = documents.sparkSession.createDataFrame([(b["token"], b.get("company") or b["token"], b.get("website")) for b in _boards(source)], "board string, company string, website string")
-    return documents.join(F.broadcast(boards), F.expr("contains(concat(url, '/'), concat('/', board, '/')) or contains(url, concat('/', board, '?'))"))
+    token = F.url_decode(F.regexp_extract("url", f"^[^?#]*?/(?:{_BEFORE_TOKEN})/([^/?#]+)", 1))
+    return documents.withColumn("board", token).join(boards, "board")
 
 
 def _ats(documents: DataFrame, source: Source, schema: str, path, columns: Callable) -> Batch:

@@ -62,17 +62,17 @@ def test_other_feeds(spark):
 
 
 def test_boards(spark):
-    boards = {"parameters": {"boards": ["acme", {"token": "beta", "company": "Beta Co", "website": "https://beta.io"}]}}
-    at = {0: "https://b.example/acme/jobs?content=true", 1: "https://b.example/beta/jobs?content=true"}
+    boards = {"parameters": {"boards": ["acme", {"token": "beta", "company": "Beta Co", "website": "https://beta.io"}, "jobs", "v1"]}}  # two tokens that are parts of every address
+    at = {0: "https://b.example/v1/boards/acme/jobs?content=true", 1: "https://b.example/v1/boards/beta/jobs?content=true"}
     body = {"jobs": [{"id": 1, "absolute_url": "https://b/1", "title": "Dev", "content": "hybrid", "location": {"name": "Here"}, "updated_at": "2026-01-01"}]}
     got = feeds.greenhouse(documents(spark, body, body, urls=at), source("greenhouse", **boards))
     assert sorted((r["company_name"], r["workplace_type"], r["location_text"]) for r in got.jobs.collect()) == [("Beta Co", "hybrid", "Here"), ("acme", "hybrid", "Here")]
     assert sorted(r["name"] for r in got.companies.collect()) == ["Beta Co", "acme"]
     lever = [{"id": "a", "text": "Dev", "description": "one", "additional": "two", "hostedUrl": "https://l/a", "categories": {"location": "X", "commitment": "Full-time"}}]
-    (row,) = feeds.lever(documents(spark, lever, urls={0: "https://l.example/acme?mode=json"}), source("lever", **boards)).jobs.collect()
+    (row,) = feeds.lever(documents(spark, lever, urls={0: "https://l.example/v0/postings/acme?mode=json"}), source("lever", **boards)).jobs.collect()
     assert (row["description"], row["apply_url"], row["employment_type"]) == ("one two", "https://l/a", "Full-time")
     ashby = {"jobs": [{"title": "Dev", "jobUrl": "https://a/1", "descriptionHtml": "", "descriptionPlain": "p", "workplaceType": "Remote"}]}
-    (row,) = feeds.ashby(documents(spark, ashby, urls={0: "https://a.example/acme?x"}), source("ashby", **boards)).jobs.collect()
+    (row,) = feeds.ashby(documents(spark, ashby, urls={0: "https://a.example/posting-api/job-board/acme?x"}), source("ashby", **boards)).jobs.collect()
     assert (row["external_id"], row["description"], row["workplace_type"]) == ("https://a/1", "p", "remote")
     with pytest.raises(ValueError):
         source("lever").parameter("boards")
@@ -143,7 +143,7 @@ def test_weeks_that_follow(spark, stored, tmp_path):
     before = jobs_of(store)["Data Engineer"]
     board = source("lever", parameters={"boards": [{"token": "sakura", "company": "Sakura Cloud KK"}]})
     posting = [{"id": "zz", "text": "Data Engineer", "description": "spark, worldwide", "hostedUrl": "https://boards.test/zz", "categories": {"location": "Worldwide"}}]
-    ingest.run_source(store, board, lambda s: feeds.lever(documents(spark, posting, urls={0: "https://l.example/sakura?mode=json"}), board), now=week(2))
+    ingest.run_source(store, board, lambda s: feeds.lever(documents(spark, posting, urls={0: "https://l.example/v0/postings/sakura?mode=json"}), board), now=week(2))
     back = jobs_of(store)["Data Engineer"]
     assert (back["job_id"], back["first_seen_at"], back["missing_runs"], back["source_id"]) == (before["job_id"], before["first_seen_at"], 0, "lever")
     ingest.run_source(store, feed, lambda s: batch_of(spark, FEED), now=week(3))
