@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections import defaultdict
+from collections import Counter, defaultdict
 from collections.abc import Callable
 
 import numpy as np
@@ -45,11 +45,15 @@ def like(token: str) -> Callable[[str], bool]:
     return lambda text: pattern.search(text) is not None
 
 
-def _bags(texts: list[str], letters: dict[str, int]) -> np.ndarray:
-    made = np.zeros((len(texts), len(letters)), dtype=np.int32)
+def _bags(texts: list[str], most: dict[str, int]) -> np.ndarray:
+    """Letters of each text as marks: the n-th of a letter has a column of its own, so that products count shared letters."""
+    start, width = {}, 0
+    for c, n in most.items():
+        start[c], width = width, width + n
+    made = np.zeros((len(texts), width), dtype=np.float32)
     for i, text in enumerate(texts):
-        for c in text:
-            made[i, letters[c]] += 1
+        for c, n in Counter(text).items():
+            made[i, start[c] : start[c] + n] = 1
     return made
 
 
@@ -60,15 +64,12 @@ def similar(left: list[str], right: list[str], least: float, allowed: np.ndarray
     whatever their order, and computed only where the bound allows more than the shared words give.
     """
     sets = [[sorted(set(t.split())) for t in side] for side in (left, right)]
-    words: dict[str, int] = {}
-    for side in sets:
-        for tokens in side:
-            for w in tokens:
-                words.setdefault(w, len(words))
+    # words that only one side has are shared by no pair
+    words = {w: k for k, w in enumerate(sorted({w for t in sets[0] for w in t} & {w for t in sets[1] for w in t}))}
     held = [np.zeros((len(side), len(words)), dtype=np.float32) for side in sets]
     for matrix, side in zip(held, sets):
         for i, tokens in enumerate(side):
-            matrix[i, [words[w] for w in tokens]] = 1
+            matrix[i, [words[w] for w in tokens if w in words]] = 1
     long = np.array([len(w) for w in words], dtype=np.float32)
     shared = held[0] @ held[1].T
     common = (held[0] * long) @ held[1].T + np.maximum(shared - 1, 0)
@@ -81,11 +82,12 @@ def similar(left: list[str], right: list[str], least: float, allowed: np.ndarray
     inside = (shared > 0) & ((shared == number[0][:, None]) | (shared == number[1][None, :]))
     score = np.where(shared > 0, np.where(inside, 100.0, part), 0.0)
     score[~filled] = 0.0
-    letters = {c: k for k, c in enumerate(sorted({c for side in joined for t in side for c in t}))}
+    letters: Counter = Counter()
+    for side in joined:
+        for text in side:
+            letters |= Counter(text)
     bags = [_bags(side, letters) for side in joined]
-    most = np.zeros(score.shape)
-    for k in range(len(letters)):
-        most += np.minimum(bags[0][:, k][:, None], bags[1][:, k][None, :])
+    most = bags[0] @ bags[1].T
     bound = 200 * most / np.maximum(size[0][:, None] + size[1][None, :], 1)
     may = filled & (bound >= least) & (bound > score) & ~inside
     if allowed is not None:

@@ -16,6 +16,7 @@ from ..operators import jobs as postings_of
 from ..operators import lifecycle, quality, resolution, upsert
 from ..schemas import empty
 from ..sinks import export
+from ..staging import staged
 from . import ingest
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -515,7 +516,7 @@ def company_resolution(spark, sf_dir):
     named = words.select("doc_id", F.array_join(F.slice("w", 1, F.when(is_known, 3).otherwise(2)), " ").alias("name"), domain.alias("domain"), is_known.alias("is_known"))
     known = named.filter("is_known").select(F.col("doc_id").cast("string").alias("company_id"), F.col("name").alias("canonical_name"), "domain", F.timestamp_seconds("doc_id").alias("first_seen_at"))
     wanted = named.filter("not is_known").select(F.col("doc_id").alias("pos"), "name", F.concat(F.lit("https://"), "domain").alias("website"), F.col("doc_id").cast("string").alias("external_id"), F.lit("").alias("country"))
-    found = resolution.resolve(known, wanted)
+    found = staged(resolution.resolve(known, wanted), "resolved")
     made = resolution.prepared(wanted).select("pos", "new_id").join(found.filter("is_new").select("pos"), "pos").select(F.col("new_id").alias("company_id"), F.col("pos").alias("made"))
     return found.join(made, "company_id", "left").select("pos", F.coalesce(F.col("made"), F.col("company_id").try_cast("long")).alias("company"), "is_new", "needs_review", F.round("score", 4).alias("score"))
 
