@@ -66,6 +66,7 @@ INELIGIBLE = (
 )
 ELIGIBLE = (r"\bnepal\b", r"\bworldwide\b", r"\banywhere in the world\b", r"\bwork from anywhere\b", r"\bglobal remote\b", r"\basia(?:[- ]pacific| pacific)?\b", r"\bsouth asia\b")
 LIKELY = (r"\banywhere\b", r"\bremote\b", r"\bdistributed team\b", r"\basynchronous\b", r"\bcontractor\b")
+#: What is told of each outcome, the version of the rules, and the evidence of none.
 EXPLANATIONS = {
     "restricted": "The posting explicitly restricts applicants to a region that excludes Nepal.",
     "named": "The posting explicitly names Nepal or a geography that includes Nepal.",
@@ -81,6 +82,15 @@ PRIORITY = {100: ("greenhouse", "lever", "ashby"), 50: ("himalayas", "remoteok",
 CURRENCIES = ("USD", "NPR", "EUR", "GBP", "INR", "AUD", "CAD")
 SYMBOLS = {"$": "USD", "€": "EUR", "£": "GBP"}
 
+#: Forms in which experience is asked for, first to last, with the groups of the least and the most years.
+_NUMBER = r"(\d+(?:\.\d+)?)"
+EXPERIENCE = (
+    (rf"{_NUMBER}\s*(?:-|–|to)\s*{_NUMBER}\+?\s*years?", 1, 2),
+    (rf"(?:minimum|min\.?|at least)\s*{_NUMBER}\+?\s*years?", 1, None),
+    (rf"{_NUMBER}\+\s*years?", 1, None),
+    (rf"{_NUMBER}\s*years? (?:of )?experience", 1, 1),
+)
+
 
 def _first(text: Column, rules: dict[str, str], otherwise: Column) -> Column:
     """Name of the first rule whose pattern is found."""
@@ -116,15 +126,8 @@ def employment_type(text: Column) -> Column:
 def extract_experience(text: Column) -> Column:
     """struct(min, max) of years asked for: a range, else a minimum, else N+, else N years of experience."""
     t = western_digits(F.coalesce(text, F.lit("")))
-    number = r"(\d+(?:\.\d+)?)"
-    forms = (
-        (rf"{number}\s*(?:-|–|to)\s*{number}\+?\s*years?", 1, 2),
-        (rf"(?:minimum|min\.?|at least)\s*{number}\+?\s*years?", 1, None),
-        (rf"{number}\+\s*years?", 1, None),
-        (rf"{number}\s*years? (?:of )?experience", 1, 1),
-    )
     found = None
-    for pattern, low, high in forms:
+    for pattern, low, high in EXPERIENCE:
         value = lambda k, p=pattern: F.regexp_extract(t, p, k).try_cast("double") if k else F.lit(None).cast("double")
         both = F.struct(value(low).alias("min"), value(high).alias("max"))
         found = F.when(t.rlike(pattern), both) if found is None else found.when(t.rlike(pattern), both)

@@ -329,14 +329,8 @@ def extract_skills(spark, sf_dir):
     return postings(spark, sf_dir).select("doc_id", F.array_join(rules.extract_skills(F.col("body")), ",").alias("skills"))
 
 
-_NUMBER = r"(\d+(?:\.\d+)?)"
-_FORMS = (
-    (rf"{_NUMBER}\s*(?:-|–|to)\s*{_NUMBER}\+?\s*years?", 1, 2), (rf"(?:minimum|min\.?|at least)\s*{_NUMBER}\+?\s*years?", 1, 0), (rf"{_NUMBER}\+\s*years?", 1, 0), (rf"{_NUMBER}\s*years? (?:of )?experience", 1, 1),
-)
-
-
 def _years(k: int) -> str:
-    return "CASE " + " ".join(f"WHEN regexp_matches(description, '{f[0]}') THEN " + (f"CAST(regexp_extract(description, '{f[0]}', {f[k]}) AS DOUBLE)" if f[k] else "NULL") for f in _FORMS) + " END"
+    return "CASE " + " ".join(f"WHEN regexp_matches(description, '{f[0]}') THEN " + (f"CAST(regexp_extract(description, '{f[0]}', {f[k]}) AS DOUBLE)" if f[k] else "NULL") for f in rules.EXPERIENCE) + " END"
 
 
 @query(f"SELECT doc_id, {_years(1)} AS min_years, {_years(2)} AS max_years FROM ({B_POSTINGS})")
