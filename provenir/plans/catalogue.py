@@ -94,21 +94,46 @@ def snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Public datasets and counts
 
 
+class _Bound(dict):
+    """The tables that the public views and counts read, bound to those at hand; each is made when it is asked for."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        super().__init__()
+        self.of = lambda name: table(spark, sf_dir, name)
+        self.companies, self.runs = lambda: companies(spark, sf_dir), lambda: runs(spark, sf_dir)
+
+    def __missing__(self, name: str) -> DataFrame:
+        self[name] = made = getattr(self, f"_{name}")()
+        return made
+
+    def _companies(self) -> DataFrame:
+        return self.companies()
+
+    def _jobs(self) -> DataFrame:
+        return self.of("orders").select(
+            F.col("o_orderkey").alias("job_id"), F.col("o_custkey").alias("company_id"), F.when(F.col("o_orderstatus") == "O", "active").otherwise("closed").alias("status"),
+            F.when(F.col("o_orderpriority") == "5-LOW", "ineligible").otherwise("eligible").alias("eligibility"), F.col("o_totalprice"), F.col("o_orderdate").alias("last_seen_at"), F.col("o_orderpriority"), F.lit("").alias("public_description"),
+        )
+
+    def _evidence(self) -> DataFrame:
+        even = F.col("l_linenumber") % 2 == 0
+        return self.of("lineitem").select(F.when(even, "company").otherwise("job").alias("record_type"), F.when(even, F.col("l_suppkey")).otherwise(F.col("l_orderkey")).alias("record_id"), F.concat_ws("/", "l_orderkey", "l_linenumber").alias("evidence_id"))
+
+    def _review_queue(self) -> DataFrame:
+        return self.of("events").select(F.col("event_id").alias("review_id"), F.when(F.col("event_type") == "click", "pending").otherwise("done").alias("status"), F.col("ts").alias("created_at"), "user_id")
+
+    def _ingestion_runs(self) -> DataFrame:
+        held = self.runs().withColumn("started_at", F.col("finished_at")).withColumn("metrics_json", F.lit("{}"))
+        return held.withColumn("status", F.when(F.col("job_count") < 20, "failed").otherwise("completed"))
+
+
 def bound_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """The tables that the public views and counts read, bound to those at hand."""
-    orders = table(spark, sf_dir, "orders").select(
-        F.col("o_orderkey").alias("job_id"), F.col("o_custkey").alias("company_id"), F.when(F.col("o_orderstatus") == "O", "active").otherwise("closed").alias("status"),
-        F.when(F.col("o_orderpriority") == "5-LOW", "ineligible").otherwise("eligible").alias("eligibility"), F.col("o_totalprice"), F.col("o_orderdate").alias("last_seen_at"), F.col("o_orderpriority"), F.lit("").alias("public_description"),
-    )
-    evidence = table(spark, sf_dir, "lineitem").select(F.when(F.col("l_linenumber") % 2 == 0, "company").otherwise("job").alias("record_type"), F.when(F.col("l_linenumber") % 2 == 0, F.col("l_suppkey")).otherwise(F.col("l_orderkey")).alias("record_id"), F.concat_ws("/", "l_orderkey", "l_linenumber").alias("evidence_id"))
-    reviews = table(spark, sf_dir, "events").select(F.col("event_id").alias("review_id"), F.when(F.col("event_type") == "click", "pending").otherwise("done").alias("status"), F.col("ts").alias("created_at"), "user_id")
-    held = runs(spark, sf_dir).withColumn("started_at", F.col("finished_at")).withColumn("metrics_json", F.lit("{}"))
-    return {"companies": companies(spark, sf_dir), "jobs": orders, "evidence": evidence, "review_queue": reviews, "ingestion_runs": held.withColumn("status", F.when(F.col("job_count") < 20, "failed").otherwise("completed"))}
+    return _Bound(spark, sf_dir)
 
 
 @query(f"SELECT * FROM ({B_COMPANIES}) WHERE active ORDER BY canonical_name, company_id")
 def export_companies(spark, sf_dir):
-    return export.public_views(bound_tables(spark, sf_dir))["companies"]
+    return export.public_view(bound_tables(spark, sf_dir), "companies")
 
 
 @query(
@@ -116,7 +141,7 @@ def export_companies(spark, sf_dir):
        WHERE o_orderstatus = 'O' AND o_orderpriority <> '5-LOW' ORDER BY o_orderdate DESC, o_orderkey"""
 )
 def export_jobs(spark, sf_dir):
-    jobs = export.public_views(bound_tables(spark, sf_dir))["jobs"]
+    jobs = export.public_view(bound_tables(spark, sf_dir), "jobs")
     return jobs.select(F.col("job_id").alias("o_orderkey"), F.col("company_id").alias("o_custkey"), "o_totalprice", F.col("last_seen_at").alias("o_orderdate"), "o_orderpriority")
 
 
@@ -125,7 +150,7 @@ _STATUS = "CASE WHEN job_count < 20 THEN 'failed' ELSE 'completed' END"
 
 @query(f"SELECT run_id, source_id, {_STATUS} AS status, finished_at, job_count FROM ({B_RUNS}) ORDER BY finished_at DESC, run_id")
 def export_runs(spark, sf_dir):
-    return export.public_views(bound_tables(spark, sf_dir))["runs"].select("run_id", "source_id", "status", "finished_at", "job_count")
+    return export.public_view(bound_tables(spark, sf_dir), "runs").select("run_id", "source_id", "status", "finished_at", "job_count")
 
 
 @query(
@@ -134,7 +159,7 @@ def export_runs(spark, sf_dir):
        (SELECT c_custkey FROM customer WHERE c_acctbal > 0 UNION ALL SELECT o_orderkey FROM orders WHERE o_orderstatus = 'O' AND o_orderpriority <> '5-LOW')"""
 )
 def export_evidence(spark, sf_dir):
-    return export.public_views(bound_tables(spark, sf_dir))["evidence"]
+    return export.public_view(bound_tables(spark, sf_dir), "evidence")
 
 
 @query("SELECT event_id, ts, user_id FROM events WHERE event_type = 'click' ORDER BY ts, event_id")

@@ -15,7 +15,7 @@ from ..operators import jobs as postings
 from ..operators.lifecycle import aged
 from ..operators.resolution import merge, prepared, resolve
 from ..operators.upsert import last_per_key, upsert
-from ..sinks.export import restored
+from ..sinks.export import counted, restored
 from ..sinks.store import StaleWrite, Store, Upserted
 from ..schemas import KEYS, TABLES, empty
 from ..sources.catalog import Source
@@ -181,9 +181,4 @@ def bootstrap(store: Store, folder: str) -> bool:
 
 
 def stats(tables: dict[str, DataFrame]) -> dict[str, int]:
-    from ..operators.quality import public_job
-
-    return {
-        "companies": tables["companies"].filter("active").count(), "active_jobs": tables["jobs"].filter(public_job()).count(),
-        "pending_review": tables["review_queue"].filter("status = 'pending'").count(), "failed_runs": tables["ingestion_runs"].filter("status = 'failed'").count(),
-    }
+    return counted(tables)

@@ -6,6 +6,7 @@ import json
 import shutil
 from dataclasses import asdict
 from datetime import UTC, datetime
+from functools import reduce
 from pathlib import Path
 
 from pyspark.sql import DataFrame
@@ -17,18 +18,28 @@ from ..sources.catalog import Source
 FORMATS = ("csv", "jsonl", "parquet", "duckdb")
 
 
+VIEWS = ("companies", "jobs", "evidence", "runs")
+
+
+def public_view(tables: dict[str, DataFrame], name: str) -> DataFrame:
+    """One public dataset, in order; nulls last wherever rows are sorted. Only the tables that it is made of are read."""
+    companies = lambda: tables["companies"].filter("active")
+    jobs = lambda: tables["jobs"].filter(public_job())
+    if name == "companies":
+        return companies().orderBy(F.asc_nulls_last("canonical_name"), "company_id")
+    if name == "jobs":
+        return jobs().drop("public_description").orderBy(F.desc_nulls_last("last_seen_at"), "job_id")
+    if name == "evidence":
+        published = companies().select(F.col("company_id").alias("record_id")).unionByName(jobs().select(F.col("job_id").alias("record_id")))
+        return tables["evidence"].join(published, "record_id", "left_semi").select(*tables["evidence"].columns).orderBy("record_type", "record_id", "evidence_id")
+    if name == "runs":
+        return tables["ingestion_runs"].drop("metrics_json").orderBy(F.desc_nulls_last("started_at"), "run_id")
+    raise ValueError(f"no view {name}")
+
+
 def public_views(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    """The four public datasets, in order; nulls last wherever rows are sorted."""
-    companies = tables["companies"].filter("active")
-    jobs = tables["jobs"].filter(public_job())
-    published = companies.select(F.col("company_id").alias("record_id")).unionByName(jobs.select(F.col("job_id").alias("record_id")))
-    runs = tables["ingestion_runs"].drop("metrics_json")
-    return {
-        "companies": companies.orderBy(F.asc_nulls_last("canonical_name"), "company_id"),
-        "jobs": jobs.drop("public_description").orderBy(F.desc_nulls_last("last_seen_at"), "job_id"),
-        "evidence": tables["evidence"].join(published, "record_id", "left_semi").select(*tables["evidence"].columns).orderBy("record_type", "record_id", "evidence_id"),
-        "runs": runs.orderBy(F.desc_nulls_last("started_at"), "run_id"),
-    }
+    """The four public datasets."""
+    return {name: public_view(tables, name) for name in VIEWS}
 
 
 def _flat(rows: DataFrame) -> DataFrame:
@@ -80,6 +91,16 @@ def manifest(spark, folder: str) -> DataFrame:
     return files.filter(inside != "manifest.json").select(inside.alias("path"), F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256")).orderBy("path")
 
 
+def counted(tables: dict[str, DataFrame]) -> dict[str, int]:
+    """Companies, public postings, pending reviews and failed runs, in one job."""
+    wanted = {
+        "companies": tables["companies"].filter("active"), "active_jobs": tables["jobs"].filter(public_job()),
+        "pending_review": tables["review_queue"].filter("status = 'pending'"), "failed_runs": tables["ingestion_runs"].filter("status = 'failed'"),
+    }
+    parts = [rows.agg(F.count("*").alias("n")).select(F.lit(name).alias("name"), "n") for name, rows in wanted.items()]
+    return {r["name"]: r["n"] for r in reduce(DataFrame.unionByName, parts).collect()}
+
+
 def export(tables: dict[str, DataFrame], sources: dict[str, Source], folder: str | Path, kind: str = "csv") -> list[str]:
     """Every public dataset in one format, with sources.json, ATTRIBUTION.md, COVERAGE.md, DATA_DICTIONARY.md and manifest.json."""
     if kind not in FORMATS:
@@ -92,10 +113,8 @@ def export(tables: dict[str, DataFrame], sources: dict[str, Source], folder: str
     else:
         for name, rows in views.items():
             write(rows, str(out / f"{name}.{kind}"), kind)
-    counts = {
-        "Verified/relevant companies": views["companies"].count(), "Active publishable jobs": views["jobs"].count(),
-        "Pending review items": tables["review_queue"].filter("status = 'pending'").count(),
-    }
+    totals = counted(tables)
+    counts = {"Verified/relevant companies": totals["companies"], "Active publishable jobs": totals["active_jobs"], "Pending review items": totals["pending_review"]}
     now = datetime.now(UTC).isoformat()
     (out / "sources.json").write_text(json.dumps([asdict(s) for s in sources.values()], indent=2, ensure_ascii=False), encoding="utf-8")
     credits = "".join(f"- **{s.name}:** {s.attribution} ({s.terms_url or s.base_url or 'manual source'})\n" for s in sources.values())
