@@ -154,13 +154,18 @@ def _scored(weights: bytes | None, model: Model | None):
 def score(docs: DataFrame, model: Model | None) -> DataFrame:
     """doc_id and score (probability of label 1) of every document of `docs` (doc_id, text).
 
-    Null and blank texts have no n-gram and get the model's prior; without a model every score is 0.5. Repeated
-    rows are scored each; other columns are ignored; an empty table gives no rows.
+    Null and blank texts have no n-gram and get the model's prior; without a model every score is 0.5. Very long texts are
+    read whole, one at a time. Equal texts have equal scores, so ties stay ties. Repeated rows are scored each; other
+    columns are ignored, whatever their names; an empty table gives no rows.
     """
     slim = model and Model(np.empty(0), model.bias, model.slope, model.shift)
     return docs.select("doc_id", "text").mapInArrow(_scored(model and model.weights.astype(np.float32).tobytes(), slim), "doc_id long, score double")
 
 
 def classify(docs: DataFrame, labels: DataFrame, label: str = "quality") -> DataFrame:
-    """Scores `docs` with a model of the labelled rows outside the held-out quarter."""
+    """Scores `docs` with a model of the labelled rows outside the held-out quarter.
+
+    The order of rows does not matter: labelled rows are taken and sorted by what they hold. Repeated labelled rows count each.
+    Nulls, very long texts, ties and empty tables are as `score` has them.
+    """
     return score(docs, fit(docs, labels.filter(learnable(F.col("doc_id"))), label))

@@ -28,6 +28,20 @@ def test_edges(spark):
     assert model.score(q.features("good text")) > model.score(q.features("junk $$$"))
 
 
+def test_ties_and_the_order_of_rows(spark):
+    """Equal texts tie whatever their ids, and a model does not depend on the order or the partitions of its rows."""
+    rows = [(k, ("clear calm prose number %d" if k % 2 else "$$ buy %d now $$") % (k % 5)) for k in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(k, k % 2) for k in range(60)] + [(1, 1), (2, 0)], "doc_id long, quality int")
+    one = {r["doc_id"]: r["score"] for r in q.classify(docs, labels).collect()}
+    two = {r["doc_id"]: r["score"] for r in q.classify(docs.orderBy(F.desc("doc_id")).repartition(7), labels.orderBy(F.rand(3))).collect()}
+    assert one == two and len(one) == 60
+    by_text = {}
+    for k, text in rows:
+        by_text.setdefault(text, set()).add(one[k])
+    assert len(by_text) == 10 and all(len(s) == 1 for s in by_text.values())
+
+
 def test_dual_coordinate_descent_meets_its_conditions():
     pick = np.random.default_rng(2)
     rows = [np.unique(pick.integers(0, 60, 12)) + (0 if k % 2 else 20) for k in range(80)]
