@@ -94,11 +94,11 @@ class Index:
             near[at : at + 1024] = np.argsort(far, axis=1, kind="stable")[:, : near.shape[1]]
         return cls(centroids, near, largest)
 
-    def distances(self, x: np.ndarray, ratio: float, floor: float = 0.0) -> np.ndarray:
+    def distances(self, x: np.ndarray, ratio: float, floor: float = 0.0, least: int = LEAST_SEEN) -> np.ndarray:
         """Distances to the centroids that a search of the graph meets (infinite for the others), a row for each of `x`.
 
         From entries spread over the tree, every centroid within `ratio` times the smallest distance so far (`floor` at least), or among
-        the `LEAST_SEEN` nearest, is expanded to its neighbours, until none is left.
+        the `least` nearest, is expanded to its neighbours, until none is left.
         """
         n, k = len(x), len(self.centroids)
         found = np.full((n, k), np.inf)
@@ -106,8 +106,8 @@ class Index:
         entries = np.arange(0, k, ENTRY_EACH)
         found[:, entries] = np.sqrt(np.maximum(0.0, (x**2).sum(1)[:, None] - 2 * x @ self.centroids[entries].T + (self.centroids[entries] ** 2).sum(1)))
         while True:
-            least = np.partition(found, min(LEAST_SEEN, k) - 1, axis=1)[:, min(LEAST_SEEN, k) - 1]
-            bound = np.maximum(np.maximum(found.min(1), floor) * ratio, np.where(np.isfinite(least), least, found.min(1)))
+            nearest_of = np.partition(found, min(least, k) - 1, axis=1)[:, min(least, k) - 1]
+            bound = np.maximum(np.maximum(found.min(1), floor) * ratio, np.where(np.isfinite(nearest_of), nearest_of, found.min(1)))
             row, node = np.nonzero((found <= bound[:, None]) & ~done)
             if not len(row):
                 return found
@@ -125,8 +125,8 @@ class Index:
     def homes(self, x: np.ndarray, boundary: float, replicas: int) -> tuple[np.ndarray, np.ndarray]:
         """(row, list): the nearest list of each vector, and of those within `boundary` times its distance the ones that lie
         in other directions: a list is left out if one already taken is nearer to it than the vector is."""
-        found = self.distances(x, boundary)
         width = min(len(self.centroids), 2 * replicas)
+        found = self.distances(x, 1.0, least=width)
         lists = np.argpartition(found, width - 1, axis=1)[:, :width]
         away = np.take_along_axis(found, lists, 1)
         order = np.lexsort((lists, away))
